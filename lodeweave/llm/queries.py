@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
+from .credentials import p3_found, p3_redacted
 from .neardup import p2_found
 
-QUERIES = {"p2_found": p2_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted}
 SQL: dict[str, str] = {}
