@@ -1 +1,8 @@
 """lodeweave: Spark jobs over source repositories, trackers and version history."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# functions of this package travel to the executors by value: they need not have it installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
