@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from .credentials import p3_found, p3_redacted
 from .handwritten import p5_found
+from .leakage import p7_found
 from .neardup import p2_found
 from .stuffing import p8_found
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p5_found": p5_found, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p5_found": p5_found, "p7_found": p7_found, "p8_found": p8_found}
 SQL: dict[str, str] = {}
