@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list = []
+from lodeweave.plans import orphans
+
+MODULES = [orphans]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
