@@ -6,8 +6,9 @@ from .credentials import p3_found, p3_redacted
 from .handwritten import p5_found
 from .leakage import p7_found
 from .neardup import p2_found
+from .overlap import p4_found, p4_report
 from .packing import p6_assignment, p6_fill
 from .stuffing import p8_found
 
-QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p5_found": p5_found, "p6_assignment": p6_assignment, "p6_fill": p6_fill, "p7_found": p7_found, "p8_found": p8_found}
+QUERIES = {"p2_found": p2_found, "p3_found": p3_found, "p3_redacted": p3_redacted, "p4_found": p4_found, "p4_report": p4_report, "p5_found": p5_found, "p6_assignment": p6_assignment, "p6_fill": p6_fill, "p7_found": p7_found, "p8_found": p8_found}
 SQL: dict[str, str] = {}
