@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.plans import orphans
+from lodeweave.plans import orphans, retrieval
 
-MODULES = [orphans]
+MODULES = [orphans, retrieval]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return retrieval.rt_hybrid(spark, sf_dir)
 
 
 def queries() -> dict:
