@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.plans import orphans, retrieval
+from lodeweave.plans import linking, orphans, retrieval
 
-MODULES = [orphans, retrieval]
+MODULES = [orphans, retrieval, linking]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
