@@ -44,9 +44,11 @@ def bm25(posts: DataFrame, corpus: DataFrame, terms: DataFrame, k: int, mode: st
     wanted = terms.select("term").distinct()
     seen = posts.join(wanted, "term", "left_semi")
     df = seen.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    idf = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = df.crossJoin(F.broadcast(corpus)).select("term", F.when(idf > 0, idf).otherwise(FLOOR_IDF).alias("idf"), (F.col("total") / F.col("n")).alias("mean"))
-    part = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / F.col("mean")))
+    size = corpus.first()  # one row of two numbers
+    n, mean = F.lit(size["n"]), F.lit((size["total"] or 0) / max(1, size["n"]))
+    idf = F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = df.select("term", F.when(idf > 0, idf).otherwise(FLOOR_IDF).alias("idf"))
+    part = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
     scored = (
         seen.join(weights, "term").join(terms, "term")
         .groupBy("query", "doc").agg(F.round(F.sum(part), 9).alias("score"), F.count(F.lit(1)).alias("hits"))

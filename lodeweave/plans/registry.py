@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.plans import linking, orphans, retrieval
+from lodeweave.plans import dataset, history, linking, orphans, retrieval
 
-MODULES = [orphans, retrieval, linking]
+MODULES = [orphans, retrieval, linking, dataset, history]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
