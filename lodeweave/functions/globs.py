@@ -7,7 +7,7 @@ import re
 
 def glob_regex(pattern: str) -> str:
     """A pattern as in ignore and attribute files, as a regular expression over a path with slashes."""
-    anchored = "/" in pattern.rstrip("/").removesuffix("/**") and not pattern.startswith("**/")
+    anchored = "/" in pattern.rstrip("/") and not pattern.startswith("**/")
     body = pattern.lstrip("/")
     out, i = [], 0
     while i < len(body):
