@@ -203,7 +203,7 @@ def bare_values(line: str) -> Iterator[tuple[str, str, int, int]]:
         gap = line[m.end(1) : m.start(2)]
         if gap.strip() or setter:
             yield m.group(1), m.group(2), m.start(2), m.end(2)
-        at = m.start(2) if not gap.strip() else max(m.end(2), m.start(2) + 1)
+        at = m.start(2) - 1 if not gap.strip() else max(m.end(2), m.start(2) + 1)
 
 
 OPENS = re.compile(r"^(\s*)[\"']?([A-Za-z_][\w.\-]*)[\"']?\s*[:=]\s*(?:[|>][+-]?|\{|\[|\()?\s*$")

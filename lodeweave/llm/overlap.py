@@ -31,7 +31,7 @@ from lodeweave.operators.components import connected_components
 from lodeweave.session import materialize, read
 
 from .neardup import LIGHT, path_links
-from .shingles import WORD, WordHashes, windows, word_hashes
+from .shingles import WORD, WordHashes, mix, windows, word_hashes
 
 WIDTH = 6
 SHORT, SHORT_WIDTH = 18, 3  # strings of fewer words are cut into shorter segments
@@ -43,6 +43,26 @@ BITMAP = 1 << 24
 # ---- segments and windows --------------------------------------------------------------------
 
 
+def told_once(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Strings that say few words over and over keep the runs of three words they have not said before."""
+    keep = np.ones(len(flat), dtype=bool)
+    for end, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
+        if n < 9:
+            continue
+        words = flat[end - n : end]
+        if len(np.unique(words)) * 5 >= n:
+            continue
+        runs = mix(mix(words[:-2]) * np.uint64(3) + mix(words[1:-1] + np.uint64(1)) * np.uint64(5) + words[2:])
+        first = np.zeros(n, dtype=bool)
+        at = np.unique(runs, return_index=True)[1]
+        first[at] = first[at + 1] = first[at + 2] = True
+        keep[end - n : end] = first
+    if keep.all():
+        return flat, counts
+    owner = np.repeat(np.arange(len(counts)), counts)
+    return flat[keep], np.bincount(owner[keep], minlength=len(counts))
+
+
 def _parts(flat: np.ndarray, counts: np.ndarray):
     """Windows of both widths with owner, position and whether they are segments of a string."""
     out = []
@@ -58,7 +78,7 @@ def _parts(flat: np.ndarray, counts: np.ndarray):
 def _bitmap_batches(batches):
     cache, bits = WordHashes(), np.zeros(BITMAP // 64, dtype=np.uint64)
     for batch in batches:
-        flat, counts = word_hashes(batch.column(1).to_pylist(), cache)
+        flat, counts = told_once(*word_hashes(batch.column(1).to_pylist(), cache))
         h, _, _, segment = _parts(flat, counts)
         p = np.unique(h[segment] % np.uint64(BITMAP))
         np.bitwise_or.at(bits, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
@@ -81,7 +101,7 @@ def _window_batches(bitmap: np.ndarray):
         cache = WordHashes()
         for batch in batches:
             ids = np.array(batch.column(0).to_pylist(), dtype=np.int64)
-            flat, counts = word_hashes(batch.column(1).to_pylist(), cache)
+            flat, counts = told_once(*word_hashes(batch.column(1).to_pylist(), cache))
             h, owner, at, segment = _parts(flat, counts)
             p = h % np.uint64(BITMAP)
             hit = (bitmap[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
@@ -99,12 +119,12 @@ def _window_batches(bitmap: np.ndarray):
 
 def edits_within(a: list, b: list, k: int) -> int | None:
     """Edit distance of two sequences if it is at most k: furthest points on the diagonals of the band."""
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
-    start = 0
-    while start < len(a) and start < len(b) and a[start] == b[start]:
+    start, n, m = 0, len(a), len(b)
+    while n and m and a[n - 1] == b[m - 1]:
+        n, m = n - 1, m - 1
+    while start < n and start < m and a[start] == b[start]:
         start += 1
-    a, b = a[start:], b[start:]
+    a, b = a[start:n], b[start:m]
     n, m = len(a), len(b)
     if abs(n - m) > k:
         return None
@@ -192,7 +212,10 @@ def segment_links(texts: DataFrame) -> DataFrame:
         return hits.groupBy("a", "b").agg(F.max("inside").alias("inside"), F.count(F.lit(1)).alias("hits")).where("inside = 1 or hits >= 2").select("a", "b")
 
     near = meet(light, shared.where(F.col("c") <= LIGHT))
-    star = hot.groupBy("h").agg(F.min("id").alias("a")).join(hot.select("h", F.col("id").alias("b")), "h").where("a < b").select("a", "b")
+    # a segment of many strings: with the first of its holders now, with the others where they are still apart
+    held = shared.where(F.col("c") > LIGHT).join(hot.select("h").distinct(), "h", "left_semi").select("h", "id", "n").distinct()
+    first = held.groupBy("h").agg(F.min("id").alias("t"))
+    star = hot.select("h", "id").distinct().join(first, "h").where("id <> t").select(F.least("id", "t").alias("a"), F.greatest("id", "t").alias("b"))
     pairs = near.unionByName(star).distinct()
     pairs = pairs.join(able.withColumnRenamed("id", "a"), "a", "left_semi").join(able.withColumnRenamed("id", "b"), "b", "left_semi")
     links = materialize(verify(pairs, texts), "overlaps")
@@ -200,17 +223,16 @@ def segment_links(texts: DataFrame) -> DataFrame:
         return links
     group = connected_components(links).select(F.col("node").alias("id"), "root")
     mark = lambda df: df.join(group, "id", "left").withColumn("g", F.coalesce("root", "id")).drop("root")
-    apart = mark(hot).groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("h")
-    again = meet_apart(mark(hot.join(apart, "h")), sizes)
+    holders = mark(held.join(able, "id", "left_semi"))
+    apart = holders.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("h")
+    e, t = mark(hot.join(apart, "h", "left_semi").select("h", "id", "n").distinct()).alias("e"), holders.alias("t")
+    again = (
+        e.join(t, (F.col("e.h") == F.col("t.h")) & sizes & (F.col("e.g") != F.col("t.g")))
+        .select(F.least("e.id", "t.id").alias("a"), F.greatest("e.id", "t.id").alias("b")).distinct()
+    )
     return links.unionByName(materialize(verify(again, texts), "overlaps"))
 
 
-def meet_apart(hot: DataFrame, sizes) -> DataFrame:
-    """Pairs of strings on one hot segment that are not yet in one group."""
-    both = hot.alias("e").join(hot.alias("t"), (F.col("e.h") == F.col("t.h")) & sizes & (F.col("e.g") != F.col("t.g")) & (F.col("e.id") < F.col("t.id")))
-    return both.select(F.col("e.id").alias("a"), F.col("t.id").alias("b")).distinct()
-
-
 def cross_pairs(links: DataFrame, records: DataFrame) -> DataFrame:
     """links and records(id, split) -> (id_a, id_b), id_a < id_b: one of train and one of val or test in one group."""
     comps = connected_components(links)

@@ -120,7 +120,7 @@ def pack_texts(counts: DataFrame, profiles: DataFrame, block: int = BLOCK) -> Da
 
     start and size are in tokens of the text; containers are named within a profile.
     """
-    sizes = materialize(counts.where("tokens > 0").groupBy("id").agg(F.max("tokens").alias("tokens")), "tokens")
+    sizes = materialize(counts.where("id is not null and tokens > 0").groupBy("id").agg(F.max("tokens").alias("tokens")), "tokens")
     # a fixed table of a few rows: the profiles are part of the plan, and more than MAX_PROFILES are refused
     wanted = profiles.where("profile is not null and capacity_tokens > 0").groupBy("profile").agg(F.max("capacity_tokens").cast("bigint").alias("capacity")).limit(MAX_PROFILES + 1).collect()
     if len(wanted) > MAX_PROFILES:
