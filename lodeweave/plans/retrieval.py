@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from lodeweave.api import Store, hybrid, with_fixes
+from lodeweave.functions import text as T
 from lodeweave.operators import retrieval as R
 from lodeweave.session import read
 
@@ -90,6 +92,27 @@ def rt_search_commits(spark, sf_dir, k=5):
     return hits.join(meta, hits.doc == meta.sha).select("query", "rank", "score", "sha", "subject", "excerpt")
 
 
+def rt_hybrid_issues(spark, sf_dir, k=5):
+    """Hybrid top issues per prompt with hashed vectors, enriched with their best linked pull and its first hunks."""
+    store = Store(spark, sf_dir)
+    issues = store.issues()
+    queries = _prompts(spark, sf_dir).select(F.col("item_id").alias("query"), F.col("prompt").alias("text"))
+    hits = hybrid(issues, "issue_number", F.concat_ws("\n", "title", "body"), queries, k)
+    return with_fixes(hits, issues, read(spark, sf_dir, "issue_pr_links"), store.pulls(), 0.8)
+
+
+def rt_best_line(spark, sf_dir):
+    """The line of each of the five best documents per prompt that holds most of its words."""
+    hits = _bm25(spark, sf_dir, "documents", "doc_id", F.col("text"), 5).select("query", "doc")
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").withColumnRenamed("doc_id", "doc")
+    lines = hits.select("doc").distinct().join(docs, "doc").select("doc", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    words = lines.select("doc", "line_no", F.explode(F.array_distinct(T.words(F.col("line")))).alias("term"))
+    terms = R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")).select("query", "term")
+    found = hits.join(words, "doc").join(terms, ["query", "term"]).groupBy("query", "doc", "line_no").agg(F.count(F.lit(1)).alias("hits"))
+    w = Window.partitionBy("query", "doc").orderBy(F.desc("hits"), "line_no")
+    return found.withColumn("_r", F.row_number().over(w)).where("_r = 1").select("query", "doc", (F.col("line_no") + 1).cast("bigint").alias("line_no"), "hits")
+
+
 def _terms_sql(table: str, key: str, text: str) -> str:
     return f"""
 toks as (select {key} as doc, regexp_extract_all(lower({text}), '[\\p{{L}}\\p{{N}}]+') as w from {table} where {key} is not null),
@@ -134,6 +157,8 @@ QUERIES = {
     "rt_weighted_fusion": rt_weighted_fusion,
     "rt_similar_issues": rt_similar_issues,
     "rt_search_commits": rt_search_commits,
+    "rt_hybrid_issues": rt_hybrid_issues,
+    "rt_best_line": rt_best_line,
 }
 _DOC = ("documents", "doc_id", "coalesce(text, '')")
 SQL = {
@@ -168,3 +193,7 @@ select query, doc, round(sum(part), 6) as score, row_number() over (partition by
 
 
 SQL["rt_weighted_fusion"] = _fusion_sql()
+SQL["rt_best_line"] = _bm25_sql(*_DOC, 5) + """, l as (select doc_id as doc, unnest(string_split(text, chr(10))) as line, generate_subscripts(string_split(text, chr(10)), 1) as line_no from documents where doc_id in (select doc from top)),
+w as (select doc, line_no, unnest(list_distinct(regexp_extract_all(lower(line), '[\\p{L}\\p{N}]+'))) as term from l),
+f as (select query, doc, line_no, count(*) as hits from top join w using (doc) join (select query, term from qt) using (query, term) group by 1, 2, 3)
+select query, doc, line_no, hits from f qualify row_number() over (partition by query, doc order by hits desc, line_no) = 1"""
