@@ -63,6 +63,7 @@ LOGIN = (
     re.compile(r"(?:[:,]\s|\bis\s|\buse\s|\bwith\s|\bas\s|^)[A-Za-z][\w.@\-]*\s+/\s+(\S{5,})\s*$"),
 )
 PROSE = re.compile(r"(?i)\b([\w\-]*(?:key|token|secret|password|passwd|passphrase|pwd|pass|kennwort|pw|bearer))\s+(?:was|is|are|ist|est|es)\s+[\"'`]?(\S{8,}?)[\"'`]?[.,;]?\s*$")
+QUERY = re.compile(r"(?i)[?&;](?:auth|sig|signature|key|token|access_token|auth_token|api_?key|secret|client_secret|password|passwd|pwd)=([^&\s\"'`<>;]+)")
 BASIC = re.compile(r"(?i)\bbasic\s+([A-Za-z0-9+/]{8,}={0,2})")
 SCHEME = re.compile(r"(?i)^(?:bearer|token|basic|apikey|digest)\s+")
 LITERAL = re.compile(r"\"((?:[^\"\\]|\\.)*)\"|'((?:[^'\\]|\\.)*)'|`([^`]*)`")
@@ -73,7 +74,7 @@ BARE = re.compile(
 )
 SETTER = re.compile(r"(?:^|\s)(?:ENV|export|set|setenv|#define|ARG|--[\w\-]+)\s")
 # a line without any of these cannot hold a find; the first group is looked for in lower case
-CUES_LOW = ("passw", "passp", "passc", "_pass", "pwd", "_pw", "secret", "token", "key", "bearer", "auth", "kennwort", "contrase", "clave", "pem", "credential", "mot_de", "motde", "mot-de", "login", "--user", " -u ", "identified", "basic ", " / ", "pass\"", "pass'", "pass=", "pass:", "pass ", "pass`", "pass_", "pw=", "pw:", "pw\"", "pw ")
+CUES_LOW = ("pass", "pw", "secret", "token", "key", "bearer", "auth", "kennwort", "contrase", "clave", "pem", "credential", "mot_de", "motde", "mot-de", "login", "--user", " -u ", "identified", "basic ", " / ", "sig=", "signature=")
 CUES = ("AKIA", "ASIA", "k_live_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "AIza", "npm_", "hf_", "eyJ", "SG.", "@")
 
 
@@ -84,6 +85,9 @@ def cue_positions(text: str) -> list[int]:
         for cue in cues:
             at = where.find(cue)
             while at >= 0:
+                if cue == "pass" and where.startswith(("iv", "es", "ed", "ing", "age"), at + 4):
+                    at = where.find(cue, at + 4)
+                    continue
                 out.append(at)
                 at = where.find("\n", at)  # one hit a line is enough
                 at = where.find(cue, at) if at >= 0 else -1
@@ -91,7 +95,7 @@ def cue_positions(text: str) -> list[int]:
 
 
 REFERENCE = re.compile(
-    r"\$\{|\$\(|\{\{|@@|^%[\w]+%$|^<.*>$|^\$\w+$|^(?:env|vault|file|secret|ref|ssm|arn|sops|param|kms|op)[:/]|^(?:process\.env|os\.environ|os\.getenv|getenv|System\.getenv|config|settings|vault|secrets|env)\b[.\[(]|^/(?:run|etc|var|home|opt|mnt|secrets)/|^__\w+__$|^#\{|^\[[A-Z_]+\]$|^!\w"
+    r"\$\{|\$\(|\{\{|@@|^%[\w]+%$|^<.*>$|^\$\w+$|^(?:env|vault|file|secret|ref|ssm|arn|sops|param|kms|op)[:/]|^(?:process\.env|os\.environ|os\.getenv|getenv|System\.getenv|config|settings|vault|secrets|env)\b[.\[(]|^/(?:run|etc|var|home|opt|mnt|secrets)/|^__\w+__$|^#\{|^\[[A-Z_]+\]$"
 )
 PUBLIC = re.compile(r"^(?:ssh-(?:ed25519|rsa|dss)|ecdsa-|sha\d+[-:]|md5:|data:|-----BEGIN (?:CERTIFICATE|PUBLIC|RSA PUBLIC))")
 CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
@@ -114,7 +118,9 @@ def is_sensitive(key: str) -> bool:
     if not words or set(words) & HARMLESS:
         return False
     joined = "".join(words)
-    if set(words) & SENSITIVE or joined in SENSITIVE or joined.endswith(("motdepasse", "password", "passwd", "passphrase", "apikey", "accesstoken", "privatekey")):
+    if joined.endswith("pass") and not joined.endswith(("compass", "bypass", "trespass", "overpass")):
+        return True
+    if set(words) & SENSITIVE or joined in SENSITIVE or joined.endswith(("motdepasse", "password", "passwd", "passphrase", "secret", "token", "apikey", "accesskey", "secretkey", "privatekey", "deploykey", "signingkey", "licensekey")):
         return "tokens" not in words
     if words[-1] == "key":
         return any(w in KEY_OF for w in words[:-1])
@@ -185,7 +191,7 @@ def values_of(line: str) -> Iterator[tuple[str, str, int, int]]:
     while i < len(literals):
         value, start, end = literals[i]
         j = i + 1
-        while j < len(literals) and re.fullmatch(r"\s*(?:\+|\.\.?|\|\||&)?\s*(?:r|b|f|u)?", line[end + 1 : literals[j][1] - 1]) and line[end + 1 : literals[j][1] - 1].strip(" rbfu"):
+        while j < len(literals) and re.fullmatch(r"\s*(?:\+|\.\.?|\|\||&|\s)\s*(?:r|b|f|u)?", line[end + 1 : literals[j][1] - 1]):
             value, end, j = value + literals[j][0], literals[j][2], j + 1
         yield _key_before(line[: start - 1]), value, start, end
         if re.match(r"--?[A-Za-z][\w\-]*=", value) or ("=" in value and "?" in value):
@@ -243,11 +249,12 @@ def line_spans(lines: list[str], i: int, line: str) -> list[tuple[int, int, str,
     spans: list[tuple[int, int, str, str]] = []
     if "PRIVATE KEY" in line and (span := private_key_span(lines, i, line)):
         spans.append((*span, "pem", "private key"))
-    spans += [(m.start(), m.end(), "", "issued") for m in ISSUED.finditer(line) if len(set(m.group())) > 8 and not is_sample(re.split("[_-]", m.group())[-1])]
-    if "://" in line and "@" in line:
+    spans += [(m.start(), m.end(), "", "issued") for m in ISSUED.finditer(line) if len(set(m.group()[-14:])) > 5]
+    if "://" in line:
         for m in URL.finditer(line):
             if m.group(2) and not is_reference(m.group(2)) and not re.match(r"^[\$%{<]|.*[}>%]$", m.group(2)) and not is_sample(m.group(2)):
                 spans.append((m.start(2), m.end(2), "url", "login"))
+        spans += [(m.start(1), m.end(1), "query", "value") for m in QUERY.finditer(line) if is_secret(m.group(1))]
     for pattern in LOGIN:
         spans += [(m.start(1), m.end(1), "login", "login") for m in pattern.finditer(line) if is_secret(m.group(1))]
     spans += [(m.start(1), m.end(1), "authorization", "login") for m in BASIC.finditer(line) if decoded_login(m.group(1))]
