@@ -38,6 +38,7 @@ SHORT, SHORT_WIDTH = 18, 3  # strings of fewer words are cut into shorter segmen
 EDIT_SHARE = 9
 LEAST_SHARED = 0.3  # of the segments; below it no likeness of one half is left
 BITMAP = 1 << 24
+BROADCAST_PAIRS = 200_000  # so many ids are a few MB
 
 
 # ---- segments and windows --------------------------------------------------------------------
@@ -172,6 +173,11 @@ def _verify_batches(batches):
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Alike pairs among (a, b). Where the pairs are few, only their texts are shuffled: the ids are handed to every task."""
+    pairs = materialize(pairs, "candidates")
+    if pairs.count() <= BROADCAST_PAIRS:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        texts = texts.join(F.broadcast(ids), "id", "left_semi")
     x = texts.select(F.col("id").alias("a"), F.col("text").alias("x"))
     y = texts.select(F.col("id").alias("b"), F.col("text").alias("y"))
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify_batches, "a bigint, b bigint")
@@ -194,12 +200,15 @@ def segment_links(texts: DataFrame) -> DataFrame:
     keep = F.greatest(need - (cut - size), F.ceil(size * 0.6)).cast("int")
     kept = (
         mine.where(size >= cut * LEAST_SHARED)
-        .select("id", "n", F.explode(F.slice("s", F.lit(1), keep)).alias("s"))
-        .select("id", "n", "s.c", "s.h", "s.at")
+        .withColumn("bound", F.size(F.filter("s", lambda x: x["c"] > LIGHT)) >= cut * LEAST_SHARED)
+        .select("id", "n", "bound", F.explode(F.slice("s", F.lit(1), keep)).alias("s"))
+        .select("id", "n", "bound", "s.c", "s.h", "s.at")
     )
     kept = materialize(kept, "segments")
     able = kept.select("id").distinct()  # a string with too few shared segments is like none
-    light, hot = kept.where(F.col("c") <= LIGHT), kept.where(F.col("c") > LIGHT)
+    # what two strings share is either found by a light segment, or they share so many hot ones that both are bound to them
+    light, hot = kept.where(F.col("c") <= LIGHT), kept.where((F.col("c") > LIGHT) & F.col("bound"))
+    bound = hot.select("id").distinct()
     sizes = (F.col("e.id") != F.col("t.id")) & (F.least("e.n", "t.n") >= F.greatest("e.n", "t.n") * 0.4)
 
     def meet(segments: DataFrame, found: DataFrame) -> DataFrame:
@@ -213,7 +222,7 @@ def segment_links(texts: DataFrame) -> DataFrame:
 
     near = meet(light, shared.where(F.col("c") <= LIGHT))
     # a segment of many strings: with the first of its holders now, with the others where they are still apart
-    held = shared.where(F.col("c") > LIGHT).join(hot.select("h").distinct(), "h", "left_semi").select("h", "id", "n").distinct()
+    held = shared.where(F.col("c") > LIGHT).join(bound, "id", "left_semi").join(hot.select("h").distinct(), "h", "left_semi").select("h", "id", "n").distinct()
     first = held.groupBy("h").agg(F.min("id").alias("t"))
     star = hot.select("h", "id").distinct().join(first, "h").where("id <> t").select(F.least("id", "t").alias("a"), F.greatest("id", "t").alias("b"))
     pairs = near.unionByName(star).distinct()
@@ -223,7 +232,7 @@ def segment_links(texts: DataFrame) -> DataFrame:
         return links
     group = connected_components(links).select(F.col("node").alias("id"), "root")
     mark = lambda df: df.join(group, "id", "left").withColumn("g", F.coalesce("root", "id")).drop("root")
-    holders = mark(held.join(able, "id", "left_semi"))
+    holders = mark(held)
     apart = holders.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("h")
     e, t = mark(hot.join(apart, "h", "left_semi").select("h", "id", "n").distinct()).alias("e"), holders.alias("t")
     again = (
