@@ -138,7 +138,7 @@ go.sum linguist-generated
 flake.lock linguist-generated
 """
 # fixed values: names that carry a content hash of a build
-HASHED = r"(?:^|/)[^/]*[.\-](?=[0-9a-f]*[0-9])[0-9a-f]{8,40}\.(?:js|mjs|css)$"
+HASHED = r"[.\-](?=[0-9a-f]*[0-9])[0-9a-f]{8,40}\.(?:js|mjs|css)$"
 
 
 def parse_attributes(content: str | None) -> list[tuple[int, str, str, bool | None]]:
@@ -160,14 +160,41 @@ def parse_attributes(content: str | None) -> list[tuple[int, str, str, bool | No
     return rules
 
 
-def _any_level(pattern: str) -> str:
-    """The catalogue's directory patterns hold at any depth, as mined ones do."""
-    return pattern if pattern.startswith("**/") or "/" not in pattern else "**/" + pattern
+def matches(low: Column, name: Column, dirs: Column, patterns: list[str]) -> Column:
+    """Whether a lower-case path with this name and these directories matches one of the patterns, at any level.
+
+    Directory names are looked up as a set, plain endings and names are compared, and only
+    what is left runs as a regular expression, over the name where the pattern has no slash.
+    """
+    folders, names, ends, name_rules, path_rules = [], [], [], [], []
+    for p in sorted({p.lower() for p in patterns}):
+        plain = lambda x: not re.search(r"[*?\[/]", x)
+        bare = p.removeprefix("**/").removeprefix("/")
+        if bare.endswith("/**") and plain(bare[:-3]):
+            folders.append(bare[:-3])
+        elif plain(bare):
+            names.append(bare)
+        elif bare.startswith("*") and plain(bare[1:]):
+            ends.append(bare[1:])
+        else:
+            body = glob_regex("/" + bare)[1:-1]
+            (path_rules if "/" in bare else name_rules).append(body)
+    out = F.lit(False)
+    if folders:
+        out = out | F.arrays_overlap(dirs, F.array(*map(F.lit, folders)))
+    if names:
+        out = out | name.isin(names)
+    for end in ends:
+        out = out | name.endswith(end)
+    if name_rules:
+        out = out | name.rlike(f"^(?:{'|'.join(name_rules)})$")
+    if path_rules:
+        out = out | low.rlike(f"(?:^|/)(?:{'|'.join(path_rules)})$")
+    return out
 
 
-def catalogue_regex(content: str = CATALOGUE) -> str:
-    patterns = [p for _, p, _, on in parse_attributes(content) if on]
-    return "(?i)(?:" + "|".join(glob_regex(_any_level(p)) for p in patterns) + ")"
+def catalogue(content: str = CATALOGUE) -> list[str]:
+    return [p for _, p, _, on in parse_attributes(content) if on]
 
 
 def clean_path(col: Column) -> Column:
@@ -229,20 +256,22 @@ def not_handwritten(files: DataFrame, attribute_files: DataFrame | None = None,
     paths = files.where("file_id is not null").select(
         "file_id", "repo", clean_path(F.coalesce("relpath", F.lit(""))).alias("path"), F.col("size_bytes").alias("size"), F.lower(F.regexp_replace(F.coalesce("ext", F.lit("")), r"^\.", "")).alias("ext")
     )
-    pattern = catalogue_regex()
+    patterns = catalogue()
     word = F.lit(None).cast("boolean")
     if attribute_files is not None:
         rules = declared_rules(attribute_files)
-        mined = [row["pattern"] for row in mined_patterns(rules).limit(5000).collect()]  # patterns of the rules, not of the files
-        pattern = catalogue_regex(CATALOGUE + "".join(f"{p} linguist-generated\n" for p in mined))
+        patterns += [row["pattern"] for row in mined_patterns(rules).limit(5000).collect()]  # patterns of the rules, not of the files
         said = resolve_declared(paths, rules).groupBy("file_id").agg(F.max("value").alias("said"))
         paths = paths.join(said, "file_id", "left")
         word = F.col("said")
+    # columns of their own: used many times below, computed once
+    paths = paths.withColumn("low", F.lower("path")).withColumn("parts", F.split("low", "/"))
+    paths = paths.withColumn("name", F.element_at("parts", -1)).withColumn("dirs", F.slice("parts", 1, F.size("parts") - 1))
     reason = (
         F.when(word, "declared")
         .when(~word, None)
-        .when(F.col("path").rlike(pattern), "pattern")
-        .when(F.lower("path").rlike(HASHED), "hashed name")
+        .when(matches(F.col("low"), F.col("name"), F.col("dirs"), patterns), "pattern")
+        .when(F.col("name").rlike(HASHED), "hashed name")
         .when((F.col("path") == "") & F.col("ext").isin("map", "lock", "snap"), "pattern")
         .when(F.col("size") >= bulk_bytes, "bulk")
     )
