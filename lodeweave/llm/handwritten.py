@@ -264,9 +264,10 @@ def not_handwritten(files: DataFrame, attribute_files: DataFrame | None = None,
         said = resolve_declared(paths, rules).groupBy("file_id").agg(F.max("value").alias("said"))
         paths = paths.join(said, "file_id", "left")
         word = F.col("said")
-    # columns of their own: used many times below, computed once
-    paths = paths.withColumn("low", F.lower("path")).withColumn("parts", F.split("low", "/"))
-    paths = paths.withColumn("name", F.element_at("parts", -1)).withColumn("dirs", F.slice("parts", 1, F.size("parts") - 1))
+    # a generator keeps the cleaned path and its parts from being computed again in every branch below
+    paths = paths.select(*[c for c in paths.columns if c != "path"], F.inline(F.array(F.struct("path", F.lower("path").alias("low")))))
+    parts = F.split("low", "/")
+    paths = paths.select("*", F.inline(F.array(F.struct(F.element_at(parts, -1).alias("name"), F.slice(parts, 1, F.size(parts) - 1).alias("dirs")))))
     reason = (
         F.when(word, "declared")
         .when(~word, None)
