@@ -20,8 +20,10 @@ their smallest id before any pair is made.
 Paths. A file record is reduced to repo, directories below the checkout root, name
 letters, digits and extension; equal paths become one node per run of sizes within
 the tolerance (sorted neighbours, not pairs). Nodes meet on the directory set, or
-the set less one directory; the pivot table over letter-pair fingerprints of the
-names discards, and an edit test word by word verifies.
+the set less one directory, and on the letters of a name in one of three classes: a
+swap keeps all letters and a dropped or doubled one is of one class, so two slips
+anywhere leave a class as it was (exact at any length). The pivot table over
+letter-pair fingerprints of the names discards, and an edit test word by word verifies.
 
 Nulls: a null or short text, or a null id, is in no group; a null repo or path is in
 no group; a null size agrees with any size. Extra columns are ignored. Empty tables
@@ -202,6 +204,7 @@ NESTED = r"^(?:(?:\.?worktrees|\.trees|tmp/wt)/[^/]+/)+"
 SIZE_TOLERANCE = 0.03
 NAME_BITS = 256
 NAME_BOUND = 12  # two slips of the pen change at most six letter pairs each
+LETTER_CLASSES = 3  # one more than the slips that same_name allows
 
 
 def canonical_paths(files: DataFrame) -> DataFrame:
@@ -263,6 +266,14 @@ def _same_name_batches(batches):
         yield batch.filter(keep).select(["a", "b"])
 
 
+def _class_letters(letters: str) -> Column:
+    """For each class its letters in the name, sorted; digits are equal where names meet, dots are no letters of a word."""
+    return F.expr(
+        f"transform(sequence(0, {LETTER_CLASSES - 1}), c -> concat(c, array_join(array_sort("
+        f"filter(split({letters}, ''), x -> x <> '' and pmod(ascii(x), {LETTER_CLASSES}) = c)), '')))"
+    )
+
+
 def _letter_pairs(key: str) -> Column:
     return F.expr(f"transform(sequence(1, greatest(length({key}) - 1, 1)), i -> cast(pmod(hash(substring({key}, i, 2)), {NAME_BITS}) as bigint))")
 
@@ -289,14 +300,14 @@ def path_links(files: DataFrame, tolerance: float = SIZE_TOLERANCE) -> DataFrame
 
     nodes = nodes.select(
         "id", "lo", "hi", "open", "stem", "key", F.size("dirs").alias("depth"),
-        F.array_sort("dirs").alias("bag"), F.xxhash64("repo", "ext", "digits").alias("base"), _letter_pairs("key").alias("hs"),
-    )
+        F.array_sort("dirs").alias("bag"), F.xxhash64("repo", "ext", "digits").alias("base"),
+        F.regexp_replace("key", r"\.", "").alias("letters"),
+    ).withColumn("hs", _letter_pairs("letters"))
     nodes = materialize(with_pivots(nodes, "id", NAME_BITS).drop("hs"), "names")
     less_one = "transform(sequence(0, size(bag)), i -> concat_ws('/', filter(bag, (x, j) -> j <> i)))"  # i = size keeps all
     meet = nodes.withColumn("at", F.explode(F.array_distinct(F.expr(less_one)))).where("at <> '' or depth = 0")
-    ends = F.array_distinct(F.array(F.concat(F.lit("<"), F.substring("key", 1, 4)), F.concat(F.lit(">"), F.expr("right(key, 4)"))))
-    meet = meet.withColumn("end", F.explode(ends)).select(
-        "id", "lo", "hi", "open", "stem", "key", "bag", "p1", "p2", F.xxhash64("base", "at", "end").alias("k")
+    meet = meet.withColumn("part", F.explode(_class_letters("letters"))).select(
+        "id", "lo", "hi", "open", "stem", "key", "p1", "p2", F.xxhash64("base", "at", "part").alias("k")
     )
     gap = F.greatest(F.col("x.lo"), F.col("y.lo")) - F.least(F.col("x.hi"), F.col("y.hi"))
     sized = (F.col("x.open") == 1) | (F.col("y.open") == 1) | (gap <= F.greatest(F.col("x.lo"), F.col("y.lo")) * tolerance)

@@ -148,6 +148,24 @@ def test_encoder_is_no_slip_of_decoder():
     assert N.slip("abc", "acb") == 1 and N.slip("abc", "abbc") == 1 and N.slip("abc", "ab") == 1 and N.slip("abc", "abd") == 2
 
 
+def slips_of(word):
+    swaps = {word[:i] + word[i + 1] + word[i] + word[i + 2 :] for i in range(len(word) - 1)}
+    return swaps | {word[:i] + word[i + 1 :] for i in range(len(word))} | {word[: i + 1] + word[i:] for i in range(len(word))}
+
+
+def test_every_slip_of_a_name_is_met(spark):
+    """All one-slip spellings of keys of 4 to 10 letters, and all two-slip spellings of two words, against brute force."""
+    names = ["unit", "utils", "parser", "clients", "reporter", "generator", "dispatcher"]
+    cases = [(w, v) for w in names for v in sorted(slips_of(w) - {w})]
+    pairs = [("ab", "cd"), ("load", "user"), ("cache", "index"), ("a.bcd", "efg.h")]
+    cases += [(f"{x}_{y}", f"{v}_{w}") for x, y in pairs for v in sorted(slips_of(x)) for w in sorted(slips_of(y))]
+    cases += [("a.b.c.d.load_cache", "a_b_c_d_laod_cahce")]
+    rows = [(f"r{i}", f"/x/r{i}/src/{name}.py", 1000) for i, case in enumerate(cases) for name in case]
+    key = lambda s: s.replace("_", "")
+    want = {i for i, (a, b) in enumerate(cases) if N.same_name(a, b, key(a), key(b))}
+    assert len(want) > 300 and {i // 2 for i, _ in paths(spark, rows)} == want
+
+
 def test_sizes_chain_within_the_tolerance(spark):
     rows = [("r", "/a/r/x/file_name.c", s) for s in (1000, 1025, 1050, 1200, None)]
     assert paths(spark, rows[:4]) == {(0, 1), (0, 2)}
