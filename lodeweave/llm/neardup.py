@@ -110,12 +110,14 @@ def pivots_allow(a: str, b: str, bound: Column, bits: int = BITS) -> Column:
 # ---- texts -----------------------------------------------------------------------------------
 
 
-def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD) -> DataFrame:
+def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, light: int | None = None, check=None) -> DataFrame:
     """texts(id bigint, text string) -> links (a, b) that join every pair of alike texts into one group.
 
     Every alike pair of different shingle sets is either a row or joined by rows; equal sets
-    are linked to their smallest id.
+    are linked to their smallest id. `check(pairs, table, threshold)` keeps the alike pairs
+    of the candidates.
     """
+    light_texts, check = light or LIGHT, check or verify
     sets = texts.where("id is not null and text is not null and length(text) > 0").mapInArrow(
         shingle_batches(width), "id bigint, n int, hs array<bigint>"
     )
@@ -151,7 +153,7 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
         "id", "n", "p1", "p2",
         F.explode(F.arrays_zip(F.slice("cs", F.lit(1), keep).alias("c"), F.slice("hs", F.lit(1), keep).alias("h"))).alias("x"),
     ).select("id", "n", "p1", "p2", "x.c", "x.h")
-    light, hot = prefix.where(F.col("c") <= LIGHT), prefix.where(F.col("c") > LIGHT)
+    light, hot = prefix.where(F.col("c") <= light_texts), prefix.where(F.col("c") > light_texts)
     bound = (F.col("x.n") + F.col("y.n")) * F.lit(pivot_bound(threshold))
     sizes = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold)
     near = (
@@ -160,9 +162,9 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     )
     star = hot.groupBy("h").agg(F.min("id").alias("a")).join(hot.select("h", F.col("id").alias("b")), "h").where("a < b").select("a", "b")
-    found = materialize(verify(near.unionByName(star).distinct(), table, threshold), "links")
+    found = materialize(check(near.unionByName(star).distinct(), table, threshold), "links")
     if not hot.isEmpty():
-        found = found.unionByName(hot_links(hot, found, table, threshold))
+        found = found.unionByName(hot_links(hot, found, table, threshold, check))
     return copies.unionByName(found)
 
 
@@ -181,7 +183,7 @@ def verify(pairs: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
     )
 
 
-def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
+def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: float, check=verify) -> DataFrame:
     """Second look at shingles of many texts: only members of different groups are still compared."""
     comps = connected_components(found)
     marked = hot.join(comps.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("g", F.coalesce("root", "id"))
@@ -194,7 +196,7 @@ def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: flo
         .where((F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g")) & sizes & pivots_allow("x", "y", bound))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     )
-    return verify(pairs, table, threshold)
+    return check(pairs, table, threshold)
 
 
 # ---- paths -----------------------------------------------------------------------------------

@@ -1,20 +1,19 @@
 """The same or nearly the same record in training and evaluation splits: edit-distance segment join.
 
-A string of n words is cut into n // WIDTH segments of WIDTH words. k edits leave one
-of any k + 1 segments whole, and a whole segment stands in the other string as a
-window, shifted by no more than k and the difference in length. So of every string
-the k + 1 rarest segments are looked up among the windows of all strings, at allowed
-positions, or two of them at any (halves in another order); k = n // 9 is what a similarity of one half over three-word runs
-leaves for spread edits. Candidates are verified by dynamic programming within a band
-of k diagonals, which proves the likeness, and where the band is too narrow (a block
-moved or added) by the runs themselves.
+The segments of a string are its distinct runs of three words, at every position. A
+similarity of one half leaves one of any k + 1 of its n segments whole in the other
+string, k = n - ceil(n / 2), whatever the edits are and wherever they stand. So of every
+string the k + 1 rarest segments are looked up among those of the others, and pairs
+whose numbers of segments differ by more than half are passed over (both exact; longer
+segments, positions and numbers of words prove nothing about sets of runs). Candidates
+are verified by dynamic programming within a band of k diagonals, k = n // 9, which
+proves the likeness, and where the band is too narrow by the runs themselves.
 
 Likeness is passed on, so every string is cut and not the evaluation strings alone:
-the chain from one to the other may lead through training records. Windows that meet
-no segment are dropped before the shuffle by a bitmap of fixed size, which only
-filters less when it fills. A segment of many strings is matched with one of them
-first, and again only between groups that are still apart. Paths meet on segments
-too: the first and last letters of a name, one of which a slip leaves whole.
+the chain from one to the other may lead through training records. Equal sets of
+segments are linked first. A segment of many strings is matched with one of them
+first, and again only between groups that are still apart. Paths meet as in the groups
+of near-equal records.
 
 Nulls, empty and short texts are as in the groups of near-equal records; a null split
 makes a record neither train nor evaluation. Extra columns are ignored, empty tables
@@ -25,23 +24,19 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodeweave.operators.components import connected_components
 from lodeweave.session import materialize, read
 
-from .neardup import LIGHT, path_links
-from .shingles import WORD, WordHashes, mix, windows, word_hashes
+from .neardup import LIGHT, path_links, text_links
+from .shingles import WORD, mix
 
-WIDTH = 6
-SHORT, SHORT_WIDTH = 18, 3  # strings of fewer words are cut into shorter segments
 EDIT_SHARE = 9
-LEAST_SHARED = 0.3  # of the segments; below it no likeness of one half is left
-BITMAP = 1 << 24
 BROADCAST_PAIRS = 200_000  # so many ids are a few MB
 
 
-# ---- segments and windows --------------------------------------------------------------------
+# ---- segments --------------------------------------------------------------------
 
 
 def told_once(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -64,57 +59,6 @@ def told_once(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndar
     return flat[keep], np.bincount(owner[keep], minlength=len(counts))
 
 
-def _parts(flat: np.ndarray, counts: np.ndarray):
-    """Windows of both widths with owner, position and whether they are segments of a string."""
-    out = []
-    for width, wanted, cut in ((WIDTH, counts >= SHORT // 2, counts >= SHORT), (SHORT_WIDTH, counts < 2 * SHORT + 2, counts < SHORT)):
-        h, owner, at = windows(flat, counts, width)
-        h = (h << np.uint64(1) | np.uint64(width == WIDTH)) & np.uint64((1 << 45) - 1)
-        segment = cut[owner] & (at % width == 0)
-        keep = wanted[owner]
-        out.append((h[keep], owner[keep], at[keep], segment[keep]))
-    return [np.concatenate(x) for x in zip(*out)]
-
-
-def _bitmap_batches(batches):
-    cache, bits = WordHashes(), np.zeros(BITMAP // 64, dtype=np.uint64)
-    for batch in batches:
-        flat, counts = told_once(*word_hashes(batch.column(1).to_pylist(), cache))
-        h, _, _, segment = _parts(flat, counts)
-        p = np.unique(h[segment] % np.uint64(BITMAP))
-        np.bitwise_or.at(bits, (p >> np.uint64(6)).astype(np.int64), np.uint64(1) << (p & np.uint64(63)))
-    at = np.flatnonzero(bits)
-    for lo in range(0, len(at), 65536):
-        part = at[lo : lo + 65536]
-        yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(bits[part].view(np.int64))], names=["word", "bits"])
-
-
-def segment_bitmap(texts: DataFrame) -> np.ndarray:
-    """A bitmap of the hashes of all segments; its size is fixed, whatever the table."""
-    words = texts.mapInArrow(_bitmap_batches, "word int, bits bigint").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(BITMAP // 64, dtype=np.uint64)
-    out[words.column("word").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return out
-
-
-def _window_batches(bitmap: np.ndarray):
-    def run(batches):
-        cache = WordHashes()
-        for batch in batches:
-            ids = np.array(batch.column(0).to_pylist(), dtype=np.int64)
-            flat, counts = told_once(*word_hashes(batch.column(1).to_pylist(), cache))
-            h, owner, at, segment = _parts(flat, counts)
-            p = h % np.uint64(BITMAP)
-            hit = (bitmap[(p >> np.uint64(6)).astype(np.int64)] >> (p & np.uint64(63)) & np.uint64(1)).astype(bool)
-            h, owner, at, segment = h[hit], owner[hit], at[hit], segment[hit]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h.astype(np.int64)), pa.array(ids[owner]), pa.array(at.astype(np.int32)), pa.array(counts[owner].astype(np.int32)), pa.array(segment)],
-                names=["h", "id", "at", "n", "segment"],
-            )
-
-    return run
-
-
 # ---- verification ----------------------------------------------------------------------------
 
 
@@ -189,57 +133,7 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def segment_links(texts: DataFrame) -> DataFrame:
     """texts(id, text) -> links (a, b) that join all alike texts into groups."""
     texts = texts.where("id is not null and length(text) > 0").select("id", "text")
-    rows = texts.mapInArrow(_window_batches(segment_bitmap(texts)), "h bigint, id bigint, at int, n int, segment boolean")
-    shared = rows.withColumn("c", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("c > 1")
-    shared = materialize(shared, "windows")
-
-    width = F.when(F.col("n") >= SHORT, WIDTH).otherwise(SHORT_WIDTH)
-    cut, need = F.floor(F.col("n") / width), F.floor(F.col("n") / EDIT_SHARE) + 1
-    mine = shared.where("segment").groupBy("id").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(F.struct("c", "h", "at"))).alias("s"))
-    size = F.size("s")
-    keep = F.greatest(need - (cut - size), F.ceil(size * 0.6)).cast("int")
-    kept = (
-        mine.where(size >= cut * LEAST_SHARED)
-        .withColumn("bound", F.size(F.filter("s", lambda x: x["c"] > LIGHT)) >= cut * LEAST_SHARED)
-        .select("id", "n", "bound", F.explode(F.slice("s", F.lit(1), keep)).alias("s"))
-        .select("id", "n", "bound", "s.c", "s.h", "s.at")
-    )
-    kept = materialize(kept, "segments")
-    able = kept.select("id").distinct()  # a string with too few shared segments is like none
-    # what two strings share is either found by a light segment, or they share so many hot ones that both are bound to them
-    light, hot = kept.where(F.col("c") <= LIGHT), kept.where((F.col("c") > LIGHT) & F.col("bound"))
-    bound = hot.select("id").distinct()
-    sizes = (F.col("e.id") != F.col("t.id")) & (F.least("e.n", "t.n") >= F.greatest("e.n", "t.n") * 0.4)
-
-    def meet(segments: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs with a segment at an allowed position, or two segments anywhere (halves put in another order)."""
-        both = segments.alias("e").join(found.alias("t"), (F.col("e.h") == F.col("t.h")) & sizes)
-        band = F.floor(F.col("e.n") / EDIT_SHARE) + F.abs(F.col("e.n") - F.col("t.n"))
-        hits = both.select(
-            F.least("e.id", "t.id").alias("a"), F.greatest("e.id", "t.id").alias("b"), (F.abs(F.col("e.at") - F.col("t.at")) <= band).cast("int").alias("inside")
-        )
-        return hits.groupBy("a", "b").agg(F.max("inside").alias("inside"), F.count(F.lit(1)).alias("hits")).where("inside = 1 or hits >= 2").select("a", "b")
-
-    near = meet(light, shared.where(F.col("c") <= LIGHT))
-    # a segment of many strings: with the first of its holders now, with the others where they are still apart
-    held = shared.where(F.col("c") > LIGHT).join(bound, "id", "left_semi").join(hot.select("h").distinct(), "h", "left_semi").select("h", "id", "n").distinct()
-    first = held.groupBy("h").agg(F.min("id").alias("t"))
-    star = hot.select("h", "id").distinct().join(first, "h").where("id <> t").select(F.least("id", "t").alias("a"), F.greatest("id", "t").alias("b"))
-    pairs = near.unionByName(star).distinct()
-    pairs = pairs.join(able.withColumnRenamed("id", "a"), "a", "left_semi").join(able.withColumnRenamed("id", "b"), "b", "left_semi")
-    links = materialize(verify(pairs, texts), "overlaps")
-    if hot.isEmpty():
-        return links
-    group = connected_components(links).select(F.col("node").alias("id"), "root")
-    mark = lambda df: df.join(group, "id", "left").withColumn("g", F.coalesce("root", "id")).drop("root")
-    holders = mark(held)
-    apart = holders.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("h")
-    e, t = mark(hot.join(apart, "h", "left_semi").select("h", "id", "n").distinct()).alias("e"), holders.alias("t")
-    again = (
-        e.join(t, (F.col("e.h") == F.col("t.h")) & sizes & (F.col("e.g") != F.col("t.g")))
-        .select(F.least("e.id", "t.id").alias("a"), F.greatest("e.id", "t.id").alias("b")).distinct()
-    )
-    return links.unionByName(materialize(verify(again, texts), "overlaps"))
+    return text_links(texts, light=LIGHT, check=lambda pairs, table, threshold: verify(pairs, texts))
 
 
 def cross_pairs(links: DataFrame, records: DataFrame) -> DataFrame:

@@ -85,6 +85,25 @@ def test_hot_shingles_still_find_every_link(spark, monkeypatch):
     assert {tuple(r) for r in connected_components(O.segment_links(df)).collect()} == want
 
 
+def spread():
+    """Texts with a word put in at even distances or with blocks in another order: alike, though hardly a longer run is left whole."""
+    rows = []
+    for n, step in ((24, 8), (48, 8), (96, 8), (240, 8), (70, 7), (60, 6)):
+        base = [f"s{n}w{i}" for i in range(n)]
+        more = [w for i, w in enumerate(base, 1) for w in ([w, f"s{n}x{i}"] if i % step == 0 else [w])]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(more))]
+    head, *blocks = [f"b{i}" for i in range(3)], *[[f"b{3 + 6 * j + i}" for i in range(6)] for j in range(12)]
+    rows += [(len(rows), " ".join(sum(blocks, head))), (len(rows) + 1, " ".join(sum(blocks[::-1], head)))]
+    return rows
+
+
+def test_evenly_spread_insertions_equal_all_pairs(spark):
+    want = brute(spread())
+    assert len(want) >= 5
+    df = spark.createDataFrame(spread(), "id bigint, text string")
+    assert {tuple(r) for r in connected_components(O.segment_links(df)).collect()} == want
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "id bigint, text string")
     assert N.groups(N.text_links(none)).count() == 0 and connected_components(O.segment_links(none)).count() == 0
