@@ -22,7 +22,6 @@ give no rows.
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -30,35 +29,12 @@ from lodeweave.operators.components import connected_components
 from lodeweave.session import materialize, read
 
 from .neardup import LIGHT, path_links, text_links
-from .shingles import WORD, mix
+from .shingles import WORD
 
 EDIT_SHARE = 9
 BROADCAST_PAIRS = 200_000  # so many ids are a few MB
 
 
-# ---- segments --------------------------------------------------------------------
-
-
-def told_once(flat: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Strings that say few words over and over keep the runs of three words they have not said before."""
-    keep = np.ones(len(flat), dtype=bool)
-    for end, n in zip(np.cumsum(counts).tolist(), counts.tolist()):
-        if n < 9:
-            continue
-        words = flat[end - n : end]
-        if len(np.unique(words)) * 5 >= n:
-            continue
-        runs = mix(mix(words[:-2]) * np.uint64(3) + mix(words[1:-1] + np.uint64(1)) * np.uint64(5) + words[2:])
-        first = np.zeros(n, dtype=bool)
-        at = np.unique(runs, return_index=True)[1]
-        first[at] = first[at + 1] = first[at + 2] = True
-        keep[end - n : end] = first
-    if keep.all():
-        return flat, counts
-    owner = np.repeat(np.arange(len(counts)), counts)
-    return flat[keep], np.bincount(owner[keep], minlength=len(counts))
-
-
 # ---- verification ----------------------------------------------------------------------------
 
 

@@ -104,6 +104,17 @@ def test_evenly_spread_insertions_equal_all_pairs(spark):
     assert {tuple(r) for r in connected_components(O.segment_links(df)).collect()} == want
 
 
+def test_texts_told_again_equal_all_pairs(spark):
+    """Numbers of words differ by any factor while the sets of runs are alike."""
+    base, phrase = [f"t{i}" for i in range(100)], [f"p{i}" for i in range(10)]
+    rows = [(i, " ".join(w)) for i, w in enumerate((base, base * 3, phrase * 4, phrase * 6, phrase * 50, ["q", "r", "s", "t"] * 3, ["q", "r", "s", "t"] * 40))]
+    want = {(0, 1), (2, 3), (2, 4), (5, 6)}
+    assert brute(rows) == want
+    df = spark.createDataFrame(rows, "id bigint, text string")
+    assert {tuple(r) for r in connected_components(O.segment_links(df)).collect()} == want
+    assert {tuple(r) for r in N.groups(N.text_links(df)).collect()} == want
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "id bigint, text string")
     assert N.groups(N.text_links(none)).count() == 0 and connected_components(O.segment_links(none)).count() == 0
