@@ -231,6 +231,81 @@ def key_path(lines: list[str], i: int) -> str:
     return ".".join(reversed(path))
 
 
+NEUTRAL = {"value", "val", "data", "content", "default", "literal", "string", "plain", "plaintext", "raw", "current"}
+POINTS = {"ref", "refs", "from"}  # a block of such a key says where the secret lies
+NAMED = re.compile(r"^[\s\-]*[\"']?(?:name|key|variable|setting)[\"']?\s*[:=]\s*[\"']?([A-Za-z_][\w.\-]*)[\"']?\s*,?\s*$", re.IGNORECASE)
+ITEM = re.compile(r"^\s*-(?:\s+|$)")
+
+
+def is_neutral(key: str) -> bool:
+    return all(w in NEUTRAL for w in key_words(key))
+
+
+def _place(line: str, diff: bool) -> tuple[int, bool, str]:
+    """Column of the content, whether it is an item of a list, and the content; a diff's mark counts as none."""
+    body = line[DIFF.match(line).end() :] if diff else line
+    m = ITEM.match(body)
+    content = body[m.end() :] if m else body.lstrip()
+    return len(body) - len(content), bool(m), content
+
+
+def block_lines(lines: list[str], i: int, diff: bool) -> Iterator[int]:
+    """Lines of the block that opens in line i, by bracket or indentation, but those under a key that is about a secret."""
+    depth, outer = 0, []
+    bracket = lines[i].rstrip().endswith(("{", "[", "("))
+    base = _place(lines[i], diff)[0]
+    for j in range(i, len(lines)):
+        line = lines[j]
+        if j > i:
+            column, item, content = _place(line, diff)
+            if not content.strip():
+                continue
+            start = column - (2 if item else 0)
+            if line.startswith(("@@ ", "diff --git ")) or start < base or (not bracket and start == base and not item):
+                return
+            while outer and outer[-1][0] >= column:
+                outer.pop()
+            if m := OPENS.match(content):
+                outer.append((column, m.group(2)))
+            if not any(set(key_words(k)) & (HARMLESS | POINTS) for _, k in outer):
+                yield j
+        if bracket:
+            bare = LITERAL.sub("", line)
+            depth += sum(bare.count(c) for c in "{[(") - sum(bare.count(c) for c in "}])")
+            if depth <= 0:
+                return
+
+
+def sibling_lines(lines: list[str], i: int, diff: bool) -> Iterator[int]:
+    """Lines of the map entry around line i that stand at the same column."""
+    column, first, _ = _place(lines[i], diff)
+    for step in (1,) if first else (1, -1):
+        j = i + step
+        while 0 <= j < len(lines) and not lines[j].startswith(("@@ ", "diff --git ")):
+            at, item, content = _place(lines[j], diff)
+            if not content.strip() or at < column or (item and step > 0 and at == column):
+                break
+            if at == column:
+                yield j
+                if item or content[0] in "{}[]":
+                    break
+            j += step
+
+
+def inherited_keys(lines: list[str], hits: set[int]) -> dict[int, tuple[str, bool]]:
+    """Line -> the sensitive key its neutral keys stand for, and whether that is a name beside it and not the block's."""
+    out: dict[int, tuple[str, bool]] = {}
+    diff = any(x.startswith(("@@ ", "diff --git ")) for x in lines)
+    for i in sorted(hits):
+        diff = diff or lines[i].startswith("+")
+        content = _place(lines[i], diff)[2]
+        if (m := OPENS.match(content)) and is_sensitive(m.group(2)) and not set(key_words(m.group(2))) & POINTS:
+            out |= {j: (m.group(2), False) for j in block_lines(lines, i, diff)}
+        elif (m := NAMED.match(content)) and is_sensitive(m.group(1)):
+            out |= {j: (m.group(1), True) for j in sibling_lines(lines, i, diff)}
+    return out
+
+
 def private_key_span(lines: list[str], i: int, line: str) -> tuple[int, int] | None:
     """Span of a private key that opens in this line, when key text follows in it or below it."""
     if not (m := PEM.search(line)):
@@ -244,8 +319,8 @@ def private_key_span(lines: list[str], i: int, line: str) -> tuple[int, int] | N
     return None
 
 
-def line_spans(lines: list[str], i: int, line: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, key, kind) of the credentials in one line."""
+def line_spans(lines: list[str], i: int, line: str, inherited: tuple[str, bool] = ("", False)) -> list[tuple[int, int, str, str]]:
+    """(start, end, key, kind) of the credentials in one line; a neutral key stands for the inherited one."""
     spans: list[tuple[int, int, str, str]] = []
     if "PRIVATE KEY" in line and (span := private_key_span(lines, i, line)):
         spans.append((*span, "pem", "private key"))
@@ -260,9 +335,13 @@ def line_spans(lines: list[str], i: int, line: str) -> list[tuple[int, int, str,
     spans += [(m.start(1), m.end(1), "authorization", "login") for m in BASIC.finditer(line) if decoded_login(m.group(1))]
     spans += [(m.start(2), m.end(2), m.group(1), "value") for m in PROSE.finditer(line) if is_secret(m.group(2), False)]
     for key, value, start, end in values_of(line):
-        if not is_sensitive(key):
+        if inherited[0] and is_neutral(key) and not re.match(r"[\"'`]\s*:", line[end:]):
+            meant, key = inherited[0], f"{inherited[0]}.{key}".rstrip(".") if inherited[1] else key
+        elif is_sensitive(key):
+            meant = key
+        else:
             continue
-        encoded = decoded_secret(SCHEME.sub("", value)) if re.search(r"(?i)b64|base64|hex|enc", key) else None
+        encoded = decoded_secret(SCHEME.sub("", value)) if re.search(r"(?i)b64|base64|hex|enc", meant) else None
         if encoded or (encoded is None and is_secret(value)):
             spans.append((start, end, key, "value"))
     return spans
@@ -280,14 +359,15 @@ def scan(text: str) -> list[Find]:
     for i in hits:
         if i + 1 < len(lines) and lines[i].rstrip().endswith((":", "=", "|", ">", "|-", ">-")) and (m := OPENS.match(lines[i][DIFF.match(lines[i]).end() :])) and is_sensitive(m.group(2)):
             below.add(i + 1)
+    inherited = inherited_keys(lines, hits)
     found: list[Find] = []
     inside = -1  # last line of a key block
-    for i in sorted(hits | below):
+    for i in sorted(hits | below | inherited.keys()):
         if i <= inside:
             continue
         cut = DIFF.match(lines[i]).end()
         line = lines[i][cut:]
-        spans = line_spans(lines, i, line)
+        spans = line_spans(lines, i, line, inherited.get(i, ("", False)))
         if any(kind == "private key" for *_, kind in spans) and "-----END" not in line:
             inside = i + 1
             while inside < len(lines) and "-----END" not in lines[inside] and KEY_BODY.match(lines[inside]):
@@ -296,6 +376,9 @@ def scan(text: str) -> list[Find]:
         if not spans and i in below and len(line.split()) == 1 and is_secret(value := line.strip().strip("\"'`,;")):
             at = line.index(value)
             spans = [(at, at + len(value), "", "value")]
+        if not spans and i in inherited and not inherited[i][1] and (m := ITEM.match(lines[i]) or ITEM.match(line)) and len(rest := m.string[m.end() :].split()) == 1 and is_secret(value := rest[0].strip("\"'`,;")):
+            at = m.string.index(value, m.end()) - (cut if m.string is lines[i] else 0)
+            spans = [(at, at + len(value), "", "value")]
         path = key_path(lines, i) if spans else ""
         for start, end, key, kind in spans:
             found.append(Find(i + 1, starts[i] + cut + start, starts[i] + cut + end, f"{path}.{key}".strip("."), kind))

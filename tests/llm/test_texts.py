@@ -64,6 +64,37 @@ def test_redaction_leaves_all_else(text):
     assert S.redact("nothing here\n" * 3) == "nothing here\n" * 3
 
 
+@pytest.mark.parametrize(
+    "text,line",
+    [
+        ("password:\n value: X9k2Lm4p", 2),
+        ("db:\n  password:\n    # of the replica\n    prod:\n      value: X9k2Lm4p", 5),
+        ('"secret": {\n  "rotated": true,\n  "value": "X9k2Lm4p"\n}', 3),
+        ('secret: {\n"value": "X9k2Lm4p"\n}', 2),
+        ("env:\n  - name: DB_PASSWORD\n    value: X9k2Lm4p", 3),
+        ("- value: X9k2Lm4p\n  name: DB_PASSWORD", 1),
+        ("- name: DB_PASSWORD\n  value: X9k2Lm4p", 2),
+        ('{\n  "name": "API_KEY",\n  "value": "X9k2Lm4p"\n}', 3),
+        ("+secret:\n+  - X9k2Lm4p", 2),
+        ("@@ -1,2 +1 @@\n-  - name: DB_PASSWORD\n-    value: X9k2Lm4p", 3),
+    ],
+)
+def test_value_under_a_sensitive_path(text, line):
+    assert [f.line for f in S.scan(text)] == [line]
+    assert S.redact(text) == text.replace("X9k2Lm4p", S.MARK.decode())
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "password:\n  policy:\n    value: X9k2Lm4p", "password:\n  host: X9k2Lm4p", "password:\n  kind: a\nvalue: X9k2Lm4p", "- name: DB_PASSWORD\n  valueFrom:\n    value: X9k2Lm4p",
+        "- name: DB_PASSWORD\n  used: yes\n- name: HOST\n  value: X9k2Lm4p", "password:\n  value: ${DB_PW}", "secretKeyRef:\n  value: X9k2Lm4p", "- name: PORT\n  value: X9k2Lm4p\n- name: DB_PASSWORD\n  valueFrom: x",
+    ],
+)
+def test_value_under_another_path(text):
+    assert S.scan(text) == []
+
+
 def test_scan_in_spark(spark):
     rows = [("samples", "1", SECRETS[0]), ("samples", "1", SECRETS[0]), ("samples", "2", None), ("samples", None, SECRETS[0]), ("samples", "3", ""), ("pulls", "4", "x " * 200000 + "\n" + SECRETS[1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "src_table string, row_key string, text string, line_no int")
