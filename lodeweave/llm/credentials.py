@@ -78,10 +78,15 @@ CUES_LOW = ("pass", "pw", "secret", "token", "key", "bearer", "auth", "kennwort"
 CUES = ("AKIA", "ASIA", "k_live_", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "github_pat_", "glpat-", "xox", "AIza", "npm_", "hf_", "eyJ", "SG.", "@")
 
 
+def lower_in_place(text: str) -> str:
+    """Lower case at the same positions: a letter whose lower case is longer stays as it is."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(x if len(x) == 1 else c for c, x in ((c, c.lower()) for c in text))
+
+
 def cue_positions(text: str) -> list[int]:
     out = []
-    low = text.lower()
-    for where, cues in ((low if len(low) == len(text) else text, CUES_LOW), (text, CUES)):
+    for where, cues in ((lower_in_place(text), CUES_LOW), (text, CUES)):
         for cue in cues:
             at = where.find(cue)
             while at >= 0:
@@ -99,7 +104,7 @@ REFERENCE = re.compile(
 )
 PUBLIC = re.compile(r"^(?:ssh-(?:ed25519|rsa|dss)|ecdsa-|sha\d+[-:]|md5:|data:|-----BEGIN (?:CERTIFICATE|PUBLIC|RSA PUBLIC))")
 CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-DIFF = re.compile(r"^(?:<\|fim_\w+\|>)?[+\- ]?")
+DIFF = re.compile(r"^(?:<\|fim_\w+\|>)?(?:[+ ]|-(?!----BEGIN ))?")
 
 
 def key_words(key: str) -> list[str]:

@@ -95,6 +95,11 @@ def test_value_under_another_path(text):
     assert S.scan(text) == []
 
 
+@pytest.mark.parametrize("text", ["DB_PASSWORD=X9k2Lm4p", "API_KEY: X9k2Lm4p", SECRETS[19][1:].replace("\n+", "\n")])
+def test_a_letter_that_grows_in_lower_case_hides_nothing(text):
+    assert [f.line for f in S.scan("\u0130stanbul\n" + text)] == [2]
+
+
 def test_scan_in_spark(spark):
     rows = [("samples", "1", SECRETS[0]), ("samples", "1", SECRETS[0]), ("samples", "2", None), ("samples", None, SECRETS[0]), ("samples", "3", ""), ("pulls", "4", "x " * 200000 + "\n" + SECRETS[1])]
     df = spark.createDataFrame([(*r, 1) for r in rows], "src_table string, row_key string, text string, line_no int")
