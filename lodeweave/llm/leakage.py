@@ -203,8 +203,15 @@ def _by_join(documents: DataFrame, items: DataFrame, ngrams: int) -> DataFrame:
     own = texts.mapInArrow(grams, "h bigint, id bigint, at int").groupBy("h").agg(F.min("id").alias("item_id"), F.max("id").alias("other"), F.min("at").alias("q")).where("item_id = other").drop("other")
     seen = documents.select("doc_id", "text").mapInArrow(grams, "h bigint, id bigint, at int").withColumnRenamed("id", "doc_id")
     hits = seen.join(own, "h").groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("q", "at")).alias("hits")).where(F.size("hits") >= 3)
-    sentences = texts.select("id", F.explode(F.split("text", r"(?<=[.!?])\s+")).alias("s")).groupBy("s").agg(F.countDistinct("id").alias("n")).where("n > 1").select("s")
-    stock = texts.select("id", "text", F.explode(F.split("text", r"(?<=[.!?])\s+")).alias("s")).join(sentences, "s", "left_semi").groupBy("id").agg(F.collect_set("s").alias("stock"))
+    def normalised(batches):
+        for batch in batches:
+            ids, found = batch.column(0).to_pylist(), [{" ".join(t) for s in END.split(x) if (t := tokens(s))} for x in batch.column(1).to_pylist()]
+            pairs = [(i, s) for i, ss in zip(ids, found) for s in ss]
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in pairs], pa.int64()), pa.array([s for _, s in pairs], pa.string())], names=["id", "s"])
+
+    sentences = texts.mapInArrow(normalised, "id bigint, s string").distinct()
+    several = sentences.groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("s")
+    stock = sentences.join(several, "s", "left_semi").groupBy("id").agg(F.collect_set("s").alias("stock"))
     rows = hits.join(documents.select("doc_id", "text"), "doc_id").join(texts.withColumnRenamed("text", "passage").withColumnRenamed("id", "item_id"), "item_id").join(stock.withColumnRenamed("id", "item_id"), "item_id", "left")
 
     def verify(batches):
@@ -212,7 +219,7 @@ def _by_join(documents: DataFrame, items: DataFrame, ngrams: int) -> DataFrame:
             out = []
             for r in batch.to_pylist():
                 p = passages([(r["item_id"], r["passage"])])[0]
-                shared = {" ".join(tokens(s)) for s in r["stock"] or []}
+                shared = set(r["stock"] or [])
                 p = p._replace(counted=[" ".join(p.words[a:b]) not in shared for a, b in p.sentences])
                 if verdict := judge(p, tokens(r["text"]), [(x["q"], x["at"]) for x in r["hits"]]):
                     out.append((r["doc_id"], *verdict))

@@ -235,6 +235,17 @@ def test_leaks_by_broadcast_and_by_join(spark, leak):
     assert L.passage_hits(d.limit(0), e).count() == 0 and L.passage_hits(d, e.limit(0)).count() == 0
 
 
+def test_stock_sentences_in_other_typography_by_join(spark):
+    rnd = random.Random(8)
+    sentence = lambda: " ".join(f"v{rnd.randrange(10**6)}" for _ in range(12)).capitalize() + "."
+    own, other, stock = [sentence() for _ in range(3)], [sentence() for _ in range(3)], sentence()
+    items = [(1, " ".join([own[0], stock, *own[1:]])), (2, " ".join([*other[:2], stock.upper().replace(" ", ", ", 1), other[2]]))]
+    d = spark.createDataFrame([(1, items[0][1]), (2, items[1][1])], "doc_id bigint, text string")
+    e = spark.createDataFrame(items, "item_id bigint, passage string")
+    one, two = (sorted(map(repr, L.passage_hits(d, e, limit).collect())) for limit in (L.BROADCAST_NGRAMS, 10))
+    assert len(one) == 2 and one == two
+
+
 def test_spans_are_cut_out(leak):
     items, docs, _ = leak
     known = L.passages(items)
