@@ -1,44 +1,56 @@
 """Keyword-stuffed pages and link lists, by rank-frequency curves.
 
-One Arrow pass reduces a page to its frequency spectrum (how many words occur how
-often), its divergence from the prose of its language (Kullback-Leibler, over the
-head words of the language and one bin for all others), and the share of its text
-that stands in runs of keywords, bare links or product tags. SQL windows turn the
-spectrum into ranks and fit log frequency against log rank; slope, residual and
-divergence are set against the median page of the same language and a comparable
-length. A page is spam when one of the three is extreme and more than half of its
-text is such runs, which spares code, logs, tables and references: they are unlike
-prose too, but not made of bare keywords.
-
-The head words are counted over all pages and bounded per language (HEAD words, at
-most 26*26 languages), which bounds what the tasks are handed. Spectra are a few
-rows a page whatever its length. Null and empty texts, and texts under MIN_WORDS
-words, are no cases; a null or odd lang is replaced by the nearest language; ids
-that are null are skipped, repeated rows give one row, other columns are ignored.
+A page is cut into lines and sentences. Lines of marks (code, settings, log and table
+rows, headings) are set aside: a page that is mostly such lines is no case. What
+remains is running text; a link counts as one word, a tag as another. One Arrow pass
+reduces it to its frequency spectrum (how many words occur how often) and to its
+divergence (Kullback-Leibler) from the prose of its languages over three bins: the
+head words of the languages, links and tags, all others. SQL windows turn the spectrum
+into ranks and fit log frequency against log rank; slope, residual and divergence are
+set against the median page of prose of the same language and a comparable length.
+
+The curves decide. A divergence well beyond that of a page of which one half is prose
+makes a case; one well below makes none, unless slope or residual are extreme. In
+between, and for the latter, a count breaks the tie: the share of the text that
+stands in keyword runs, bare links or tags must be more than half.
+
+Head words are counted over the running text of all pages and bounded per language
+(HEAD words, at most 26*26 languages), which bounds what the tasks are handed. Spectra
+are a few rows a page whatever its length. Null and empty texts, and texts under
+MIN_WORDS words, are no cases; a null or odd lang is replaced by the nearest language;
+ids that are null are skipped, repeated rows give one row, other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter, defaultdict
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from lodeweave.session import materialize, read
 
-HEAD = 150
+HEAD = 60
 MIN_WORDS = 20
-SPAM_SHARE = 0.5
-EXTREME = 1.5  # deviations from the median page of prose
+SPAM_SHARE = 0.5  # of the text in a tie
+MARKED_SHARE = 0.5  # of the text in lines of marks, beyond which a page is no page of words
+CERTAIN, DOUBTFUL = 1.6, 0.6  # divergence over that of a page of which one half is prose
+EXTREME = 6.0  # deviations of slope and residual from the median page of prose
 LETTERS = re.compile(r"[^\W\d_]+")
 
 URL = r"(?:https?://|www\.)[^\s\"'<>|)\]]+"
 LINK = re.compile(rf"<a\s[^>]*>(.*?)</a>|\[([^\]]*)\]\({URL}\)|{URL}", re.S | re.I)
+LINKED = re.compile(r"://|www\.|<a\s", re.I)
 HASHTAG = re.compile(r"(?<!\S)#\w+[,;|]?")
-SENTENCE = re.compile(r"(?<=[.!?])[\s ]+|\n+")
-FOREIGN_LINKED = re.compile(r"[_{}()=`\[\]\\$]")
-FOREIGN = re.compile(r"[_{}()=<>`\"\[\]\\$]|\d{1,2}:\d{2}|^\s*(?:#{1,6}|//|--|%)\s|^\s*[+@]")
+TAG = re.compile(r"(?<!\S)#(?=\w)")
+SENTENCE = re.compile(r"(?<=[.!?])\s+")
+HARD = re.compile(r"[_{}()=<>`\"\[\]\\$]|\d{1,2}:\d{2}|::|->|;$")
+LEAD = re.compile(r"\s*(?:#{1,6}\s|//|--\s|%|@@|\|)")
+HARD_SHARE = 1 / 8  # words with marks in a line of marks
+LINK_WORD, TAG_WORD = "://", "#"
 
 
 def language(lang: str | None) -> str:
@@ -46,54 +58,132 @@ def language(lang: str | None) -> str:
     return code if re.fullmatch(r"[a-z]{2}", code) and (lang or "").lower() != "und" else ""
 
 
+class Running(NamedTuple):
+    words: list[str]
+    marked: float  # share of the text in lines of marks
+
+
+def running(text: str) -> Running:
+    """The words of the running text in lower case, a link and a tag as one word each; lines of marks are left out."""
+    words: list[str] = []
+    marked = total = 0
+    for line in text.split("\n"):
+        size = len(line.strip())
+        if not size:
+            continue
+        total += size
+        if not HARD.search(line.rstrip()) and "#" not in line and not LINKED.search(line) and not LEAD.match(line):
+            words += LETTERS.findall(line.lower())
+            continue
+        for piece in SENTENCE.split(line):
+            links = 0
+            if LINKED.search(piece):
+                links = sum(1 for _ in LINK.finditer(piece))
+                bare = LINK.sub(lambda m: f" {m.group(1) or m.group(2) or ''} ", piece)
+            else:
+                bare = piece
+            tags = len(TAG.findall(bare)) if "#" in bare else 0
+            tokens = (TAG.sub(" ", bare) if tags else bare).split()
+            hard = sum(1 for t in tokens[:-1] if HARD.search(t.rstrip(";"))) + bool(tokens and HARD.search(tokens[-1]))
+            if (not links and not tags and LEAD.match(piece)) or (hard and hard >= (len(tokens) + 8 * links + tags) * HARD_SHARE):
+                marked += len(piece.strip())
+                continue
+            words += LETTERS.findall(" ".join(t for t in tokens if not HARD.search(t.rstrip(";"))).lower() if hard else " ".join(tokens).lower())
+            words += [LINK_WORD] * links + [TAG_WORD] * tags
+    return Running(words, marked / total if total else 0.0)
+
+
 # ---- head words of each language -------------------------------------------------------------
 
 
+class Prose(NamedTuple):
+    owner: dict[str, str]  # head word -> the language in which it is most widespread
+    mass: dict[str, float]  # language -> share of head words in its running text
+    links: dict[str, float]  # language -> share of links and tags
+
+
 def _word_batches(batches):
     for batch in batches:
-        counts: dict[str, Counter] = defaultdict(Counter)
-        pages: Counter = Counter()
+        pages: dict[str, Counter] = defaultdict(Counter)
+        times: dict[str, Counter] = defaultdict(Counter)
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             if (code := language(lang)) and text:
-                counts[code].update({w for w in LETTERS.findall(text) if len(w) <= 12 and w.islower()})
-                pages[code] += 1
-        rows = [(code, w, n) for code, c in counts.items() for w, n in c.items()] + [(code, "", n) for code, n in pages.items()]
-        cols = list(zip(*rows)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.string(), pa.string(), pa.int64()))], names=["lang", "word", "pages"])
-
-
-def head_words(documents: DataFrame, head: int = HEAD) -> dict[str, dict[str, float]]:
-    """language -> {word: share of its pages}, the `head` most widespread words; the size is bounded by its parameters."""
-    counts = documents.where("text is not null").select("text", "lang").mapInArrow(_word_batches, "lang string, word string, pages bigint")
-    total = counts.groupBy("lang", "word").agg(F.sum("pages").alias("pages"))
-    ranked = total.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("pages"), "word"))).where(F.col("r") <= head + 1)
-    out: dict[str, dict[str, float]] = defaultdict(dict)
-    size: dict[str, int] = {}
-    for row in ranked.collect():
-        if row["word"] == "":
-            size[row["lang"]] = row["pages"]
-        else:
-            out[row["lang"]][row["word"]] = float(row["pages"])
-    most = max(size.values(), default=0)
-    return {lang: {w: n / size[lang] for w, n in words.items()} for lang, words in out.items() if size.get(lang, 0) >= max(2, most / 1000)}
+                counts = Counter(running(text).words)
+                short = {w: n for w, n in counts.items() if len(w) <= 12}
+                times[code].update(short)
+                pages[code].update(short.keys())
+                times[code][""] += sum(counts.values())
+                pages[code][""] += 1
+        rows = [(code, w, n, times[code][w]) for code, c in pages.items() for w, n in c.items()]
+        cols = list(zip(*rows)) or [()] * 4
+        types = (pa.string(), pa.string(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["lang", "word", "pages", "times"])
+
+
+def head_words(documents: DataFrame, head: int = HEAD) -> Prose:
+    """The `head` most widespread words of each language and how often prose has them; the size is bounded by its parameters."""
+    counts = documents.where("text is not null").select("text", "lang").mapInArrow(_word_batches, "lang string, word string, pages bigint, times bigint")
+    total = counts.groupBy("lang", "word").agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"))
+    special = F.col("word").isin("", LINK_WORD, TAG_WORD)
+    order = Window.partitionBy("lang").orderBy(F.desc("pages"), "word")
+    heads = total.where(~special).withColumn("r", F.row_number().over(order)).where(F.col("r") <= head).drop("r")
+    rows = heads.unionByName(total.where(special)).collect()  # so many rows a language
+    size = {r["lang"]: (r["pages"], r["times"]) for r in rows if r["word"] == ""}
+    most = max((pages for pages, _ in size.values()), default=0)
+    kept = {lang for lang, (pages, times) in size.items() if pages >= max(2, most / 1000) and times}
+    best: dict[str, tuple[float, str]] = {}
+    for r in rows:
+        if r["lang"] in kept and r["word"] not in ("", LINK_WORD, TAG_WORD):
+            best[r["word"]] = max(best.get(r["word"], (0.0, "")), (r["pages"] / size[r["lang"]][0], r["lang"]))
+    share = lambda words: {lang: sum(r["times"] for r in rows if r["lang"] == lang and words(r["word"])) / size[lang][1] for lang in kept}
+    return Prose({w: lang for w, (_, lang) in best.items()}, share(lambda w: w not in ("", LINK_WORD, TAG_WORD)), share(lambda w: w in (LINK_WORD, TAG_WORD)))
 
 
 # ---- one page --------------------------------------------------------------------------------
 
 
-def head_mass(counts: Counter, n: int, model: dict[str, float]) -> float:
-    """Share of the words of a page that are head words of a language."""
-    return sum(counts[w] for w in counts.keys() & model.keys()) / n if n else 0.0
+def relative_entropy(q: tuple[float, ...], p: tuple[float, ...]) -> float:
+    """Divergence of the bins p of a page from the bins q of prose, both kept away from zero."""
+    clip = lambda xs: [max(x, 0.002) for x in xs]
+    q, p = clip(q), clip(p)
+    return sum(a / sum(q) * math.log(a / sum(q) / (b / sum(p))) for a, b in zip(q, p))
+
+
+def divergence(counts: Counter, n: int, prose: Prose) -> tuple[str, float, float, float]:
+    """(language, head mass, divergence, the same over that of a page of which one half is prose); a mixed page has mixed prose."""
+    by_language: Counter = Counter()
+    for w, c in counts.items():
+        if lang := prose.owner.get(w):
+            by_language[lang] += c
+    hits = sum(by_language.values())
+    code = max(by_language, key=lambda c: (by_language[c], c), default=max(prose.mass, key=lambda c: (prose.mass[c], c), default=""))
+    if not code:
+        return "", 0.0, 0.0, 0.0
+    mixed = lambda of: sum(of[c] * k for c, k in by_language.items()) / hits if hits else of[code]
+    usual, linked = mixed(prose.mass), mixed(prose.links)
+    q = (usual, linked, max(0.0, 1 - usual - linked))
+    mass, links = hits / n, (counts[LINK_WORD] + counts[TAG_WORD]) / n
+    # more head words than usual, or fewer links, is no sign of keywords
+    p = (min(mass, usual), max(links, linked), 0.0)
+    p = (p[0], p[1], max(0.0, 1 - p[0] - p[1]))
+    half = relative_entropy(q, (usual / 2, linked, 1 - usual / 2 - linked))
+    d = relative_entropy(q, p)
+    return code, mass, d, d / half if half > 0 else 0.0
+
 
+FOREIGN_LINKED = re.compile(r"[_{}()=`\[\]\\$]")
+FOREIGN = re.compile(r"[_{}()=<>`\"\[\]\\$]|\d{1,2}:\d{2}|^\s*(?:#{1,6}|//|--|%)\s|^\s*[+@]")
+PIECE = re.compile(r"(?<=[.!?])[\s ]+|\n+")
 
-def spam_share(text: str, prose_words: frozenset[str], function_words: frozenset[str]) -> float:
+
+def spam_share(text: str, prose_words) -> float:
     """Share of the text in keyword runs, bare links and product tags; links with an account of them are none."""
     words_all = [w.lower() for w in LETTERS.findall(LINK.sub(lambda m: f" {m.group(1) or m.group(2) or ''} ", text))]
     counts = Counter(words_all)
     least = max(4, len(words_all) / 80)
-    dominant = {w for w, c in counts.items() if c >= least and (w not in prose_words or (w not in function_words and c * 25 >= len(words_all)))}
+    dominant = {w for w, c in counts.items() if c >= least and w not in prose_words}
     spam = total = 0
-    for piece in SENTENCE.split(text):
+    for piece in PIECE.split(text):
         size = len(piece.strip())
         if not size:
             continue
@@ -112,7 +202,7 @@ def spam_share(text: str, prose_words: frozenset[str], function_words: frozenset
         elif links or len(tags) >= 2 or (tags and not words):
             if known * 6 <= len(words) or len(words) <= 5 * links:
                 spam += size  # links without an account, tags
-        elif words and len(words) <= 5 and not re.search(r"[.!?:,]$", piece.strip()):
+        elif words and not known and len(words) <= 5 and not re.search(r"[.!?:,]$", piece.strip()):
             spam += size  # a bare phrase on a line of its own
         elif words and known * 6 <= len(words):
             separators = len(re.findall(r"[,;/|•·]", rest))
@@ -121,25 +211,25 @@ def spam_share(text: str, prose_words: frozenset[str], function_words: frozenset
     return spam / total if total else 0.0
 
 
-def _page_batches(models: dict[str, dict[str, float]]):
-    prose = frozenset(w for m in models.values() for w in m)
-    function = frozenset(w for m in models.values() for w, share in m.items() if share >= 0.5)
-
+def _page_batches(prose: Prose):
     def run(batches):
         for batch in batches:
-            out: list[list] = [[] for _ in range(6)]
-            for doc, text, lang in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = LETTERS.findall(text.lower())
-                if len(words) < MIN_WORDS:
+            out: list[list] = [[] for _ in range(9)]
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words, marked = running(text)
+                if len(words) < MIN_WORDS or marked > MARKED_SHARE:
                     continue
                 counts = Counter(words)
-                masses = {code: head_mass(counts, len(words), m) for code, m in models.items()}
-                code = max(masses, key=lambda c: (masses[c], c == language(lang), c), default="")
+                code, mass, d, ratio = divergence(counts, len(words), prose)
                 spectrum = sorted(Counter(counts.values()).items(), reverse=True)
-                for column, value in zip(out, (doc, code, len(words), masses.get(code, 0.0), spam_share(text, prose, function), [{"f": f, "c": c} for f, c in spectrum])):
+                top = max((c for w, c in counts.items() if w not in prose.owner), default=0)
+                # the count can matter only between the limits, or where some word repeats enough to bend the curve
+                tie = ratio < CERTAIN and (ratio >= DOUBTFUL or top * 25 >= len(words))
+                share = spam_share(text, prose.owner) if tie else 0.0
+                for column, value in zip(out, (doc, code, len(words), marked, mass, d, ratio, share, [{"f": f, "c": c} for f, c in spectrum])):
                     column.append(value)
-            types = (pa.int64(), pa.string(), pa.int32(), pa.float64(), pa.float64(), pa.list_(pa.struct([("f", pa.int32()), ("c", pa.int32())])))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "lang", "words", "mass", "share", "spectrum"])
+            types = (pa.int64(), pa.string(), pa.int32(), *[pa.float64()] * 5, pa.list_(pa.struct([("f", pa.int32()), ("c", pa.int32())])))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "lang", "words", "marked", "mass", "divergence", "ratio", "share", "spectrum"])
 
     return run
 
@@ -148,63 +238,56 @@ def _page_batches(models: dict[str, dict[str, float]]):
 
 
 def curves(pages: DataFrame) -> DataFrame:
-    """pages(doc_id, words, spectrum, ...) -> (doc_id, slope, residual) of log frequency against log rank."""
-    points = pages.select("doc_id", F.explode("spectrum").alias("s")).select("doc_id", F.col("s.f").alias("f"), F.col("s.c").alias("c"))
+    """pages(doc_id, ..., spectrum) -> the same rows with slope and residual of log frequency against log rank; one shuffle by doc_id."""
+    kept = [c for c in pages.columns if c not in ("doc_id", "spectrum")]
+    points = pages.select("doc_id", *kept, F.explode("spectrum").alias("s")).select("doc_id", *kept, F.col("s.f").alias("f"), F.col("s.c").alias("c"))
     w = Window.partitionBy("doc_id").orderBy(F.desc("f")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = points.withColumn("last", F.sum("c").over(w)).withColumn("first", F.col("last") - F.col("c") + 1)
     x, y, c = F.log(F.sqrt(F.col("first") * F.col("last"))), F.log("f"), F.log1p("c")
-    s = ranked.select("doc_id", x.alias("x"), y.alias("y"), c.alias("w")).groupBy("doc_id").agg(
-        F.sum("w").alias("sw"), F.sum(F.expr("w * x")).alias("sx"), F.sum(F.expr("w * y")).alias("sy"),
-        F.sum(F.expr("w * x * x")).alias("sxx"), F.sum(F.expr("w * x * y")).alias("sxy"), F.sum(F.expr("w * y * y")).alias("syy"),
+    s = ranked.select("doc_id", *kept, x.alias("_x"), y.alias("_y"), c.alias("_w")).groupBy("doc_id").agg(
+        *[F.first(k).alias(k) for k in kept],
+        F.sum("_w").alias("sw"), F.sum(F.expr("_w * _x")).alias("sx"), F.sum(F.expr("_w * _y")).alias("sy"),
+        F.sum(F.expr("_w * _x * _x")).alias("sxx"), F.sum(F.expr("_w * _x * _y")).alias("sxy"), F.sum(F.expr("_w * _y * _y")).alias("syy"),
     )
     vx, vxy, vy = F.expr("sxx - sx * sx / sw"), F.expr("sxy - sx * sy / sw"), F.expr("syy - sy * sy / sw")
     slope = F.when(vx > 1e-9, vxy / vx).otherwise(0.0)
-    return s.select("doc_id", slope.alias("slope"), F.sqrt(F.greatest(F.lit(0.0), (vy - slope * vxy) / F.col("sw"))).alias("residual"))
+    return s.select("doc_id", *kept, slope.alias("slope"), F.sqrt(F.greatest(F.lit(0.0), (vy - slope * vxy) / F.col("sw"))).alias("residual"))
 
 
 def deviations(scored: DataFrame) -> DataFrame:
-    """Adds divergence, and for slope, residual and divergence the distance from prose in robust deviations.
+    """Adds the distance of slope, residual and divergence from prose of the language and length, in robust deviations.
 
-    Prose are the pages of a language and length with at least 0.7 of their median head mass.
+    Prose are the pages whose divergence is below DOUBTFUL of that of a page of which one half is prose.
     """
     keyed = scored.withColumn("bucket", F.floor(F.log2("words")))
-    usual = keyed.groupBy("lang", "bucket").agg(F.percentile_approx("mass", 0.5, 1000).alias("b_mass"), F.count(F.lit(1)).alias("n"))
-    general = keyed.groupBy("lang").agg(F.percentile_approx("mass", 0.5, 1000).alias("l_mass"))
-    # at most languages times 64 lengths
-    keyed = keyed.join(F.broadcast(usual), ["lang", "bucket"], "left").join(F.broadcast(general), "lang", "left")
-    usual_mass = F.when(F.col("n") >= 50, F.greatest("b_mass", F.col("l_mass") * 0.8)).otherwise(F.col("l_mass"))
-    clip = lambda c: F.least(F.greatest(c, F.lit(0.002)), F.lit(0.998))
-    p, q = clip(F.col("mass")), clip(usual_mass)
-    keyed = keyed.withColumn("divergence", F.when(p < q, q * F.log(q / p) + (1 - q) * F.log((1 - q) / (1 - p))).otherwise(0.0))
-    keyed = keyed.withColumn("prose", F.col("mass") >= usual_mass * 0.7)
-    measures = ("slope", "residual", "divergence")
+    prose, measures = keyed.where(F.col("ratio") < DOUBTFUL), ("slope", "residual", "divergence")
     for tag, keys in {"b": ["lang", "bucket"], "l": ["lang"]}.items():
-        quartiles = keyed.where("prose").groupBy(*keys).agg(
+        quartiles = prose.groupBy(*keys).agg(
             F.count(F.lit(1)).alias(f"{tag}_n"),
             *[F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), 1000).alias(f"{tag}_{m}") for m in measures],
         )
-        keyed = keyed.join(F.broadcast(quartiles), keys, "left")
+        keyed = keyed.join(F.broadcast(quartiles), keys, "left")  # at most languages times 64 lengths
     for m in measures:
         quartile = F.when(F.col("b_n") >= 50, F.col(f"b_{m}")).otherwise(F.col(f"l_{m}"))
         spread = F.greatest((quartile[2] - quartile[0]) * F.lit(0.7413), F.lit(0.01))
-        keyed = keyed.withColumn(f"z_{m}", (F.col(m) - quartile[1]) / spread)
-    return keyed.select("doc_id", "lang", "words", "mass", "share", *measures, *[f"z_{m}" for m in measures])
+        keyed = keyed.withColumn(f"z_{m}", F.coalesce((F.col(m) - quartile[1]) / spread, F.lit(0.0)))
+    return keyed.select(*scored.columns, *[f"z_{m}" for m in measures])
 
 
 def score_pages(documents: DataFrame) -> DataFrame:
-    """documents(doc_id, text, lang) -> one row a page: words, slope, residual, divergence, their deviations, share."""
-    models = head_words(documents)
+    """documents(doc_id, text, lang) -> one row a page of words: divergence, ratio, slope, residual, their deviations, share."""
+    prose = head_words(documents)
     pages = (
-        documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text", "lang")
-        .mapInArrow(_page_batches(models), "doc_id bigint, lang string, words int, mass double, share double, spectrum array<struct<f: int, c: int>>")
+        documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text")
+        .mapInArrow(_page_batches(prose), "doc_id bigint, lang string, words int, marked double, mass double, divergence double, ratio double, share double, spectrum array<struct<f: int, c: int>>")
     )
-    pages = materialize(pages, "pages")
-    return deviations(pages.drop("spectrum").join(curves(pages.dropDuplicates(["doc_id"])), "doc_id"))
+    return deviations(materialize(curves(pages.dropDuplicates(["doc_id"])), "curves"))
 
 
 def stuffed_pages(documents: DataFrame) -> DataFrame:
-    extreme = (F.abs("z_slope") > EXTREME) | (F.abs("z_residual") > EXTREME) | (F.col("z_divergence") > EXTREME)
-    return score_pages(documents).where(extreme & (F.col("share") > SPAM_SHARE))
+    bent = (F.abs("z_slope") > EXTREME) | (F.abs("z_residual") > EXTREME)
+    tie = ((F.col("ratio") >= DOUBTFUL) | bent) & (F.col("share") > SPAM_SHARE)
+    return score_pages(documents).where((F.col("ratio") >= CERTAIN) | tie)
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -298,6 +298,30 @@ def test_stuffed_pages(spark, pages):
     assert K.stuffed_pages(df.limit(0)).count() == 0
 
 
+def test_the_curves_decide(spark, pages):
+    plain, spam, fine = pages
+    rows = plain + [(k, v, "en") for k, v in (spam | fine).items()]
+    scored = K.score_pages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    # the divergence alone makes most cases, the count only breaks a tie, and ordinary prose is below both limits
+    certain = {r.doc_id for r in scored if r.ratio >= K.CERTAIN}
+    assert certain == set(spam) - {1006} and all(r.share == 0 for r in scored if r.doc_id in certain)
+    assert all(r.ratio < K.DOUBTFUL for r in scored if r.doc_id not in spam)
+
+
+@pytest.mark.parametrize("text, words, marked", [
+    ("The cat sat. On it", ["the", "cat", "sat", "on", "it"], 0.0),
+    ("x = f(1)\nreturn (x)", [], 1.0),
+    ("see https://a.example/b now", ["see", "now", "://"], 0.0),
+    ("#one #two", ["one", "two", "#", "#"], 0.0),
+    ("let a: B;", [], 1.0),
+    ("one a; two b; three c", ["one", "a", "two", "b", "three", "c"], 0.0),
+    ("| a | b |", [], 1.0), ("", [], 0.0), ("\n \n", [], 0.0),
+])
+def test_running_text(text, words, marked):
+    got = K.running(text)
+    assert got.words == words and got.marked == marked
+
+
 def test_rank_frequency_slope_of_a_power_law(spark):
     spectrum = [(max(1, round(1000 / r)), 1) for r in range(1, 60)]
     merged = {}
