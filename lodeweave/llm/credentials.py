@@ -6,7 +6,7 @@ XML property, SQL setting) and, where that key says nothing, the key path of the
 enclosing block. A value is a credential when the words of its key are sensitive
 and its shape is that of a secret, when its own shape names an issuer, when it is
 the password of a login (URL, netrc, -u, prose), or when it opens a private key
-block. References to variables, vaults or files, sample words, public keys,
+block, which goes up to its END line or as far as key text goes. References to variables, vaults or files, sample words, public keys,
 certificates, checksums and ids are none. Every find carries byte offsets into the
 UTF-8 text, and redaction splices the original bytes, so all else stays as it was.
 
@@ -23,7 +23,7 @@ import binascii
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -104,7 +104,7 @@ REFERENCE = re.compile(
 )
 PUBLIC = re.compile(r"^(?:ssh-(?:ed25519|rsa|dss)|ecdsa-|sha\d+[-:]|md5:|data:|-----BEGIN (?:CERTIFICATE|PUBLIC|RSA PUBLIC))")
 CAMEL = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|\d+")
-DIFF = re.compile(r"^(?:<\|fim_\w+\|>)?(?:[+ ]|-(?!----BEGIN ))?")
+DIFF = re.compile(r"^(?:<\|fim_\w+\|>)?(?:[+ ]|-(?!----(?:BEGIN|END) ))?")
 
 
 def key_words(key: str) -> list[str]:
@@ -218,22 +218,41 @@ def bare_values(line: str) -> Iterator[tuple[str, str, int, int]]:
 
 
 OPENS = re.compile(r"^(\s*)[\"']?([A-Za-z_][\w.\-]*)[\"']?\s*[:=]\s*(?:[|>][+-]?|\{|\[|\()?\s*$")
-KEY_BODY = re.compile(r"^[+\- ]?[\s#/*;]*[A-Za-z0-9+/=:\-, ]*\s*$")
+SECTION = re.compile(r"^\s*\[{1,2}\s*[\"']?([A-Za-z_][\w.\- :\"']*?)[\"']?\s*\]{1,2}\s*$")
+TRIPLE = re.compile(r"([A-Za-z_][\w.\-]*)\s*[:=]\s*[rbfuRBFU]?(?:\"\"\"|\'\'\')\s*\\?\s*$")
+ELEMENT = re.compile(r"<([A-Za-z_][\w.:\-]*)(\s[^<>]*)?>\s*([^<>]*?)\s*(?:</\1\s*>|$)")
+ATTRIBUTE = re.compile(r"\b(?:key|name|id)\s*=\s*[\"']([^\"']+)[\"']", re.IGNORECASE)
+ENTRIES = {"entry", "property", "setting", "param", "parameter", "add", "string", "item", "value", "variable", "var", "option", "field", "prop", "env"}
+
+
+def key_paths(lines: list[str], wanted: set[int]) -> dict[int, str]:
+    """Line -> the keys of the blocks around it, outermost first, by indentation and section; one pass down the text."""
+    out: dict[int, str] = {}
+    section, stack = "", []
+    for i in range(max(wanted, default=-1) + 1):
+        body = lines[i][DIFF.match(lines[i]).end() :]
+        if not body.strip():
+            continue
+        column = len(body) - len(body.lstrip())
+        while stack and stack[-1][0] >= column:
+            stack.pop()
+        if i in wanted:
+            out[i] = ".".join(k for k in (section, *(k for _, k in stack)) if k)
+        if m := SECTION.match(body):
+            section, stack = m.group(1), []
+        else:
+            m = OPENS.match(body)
+            stack.append((column, m.group(2) if m else ""))
+    return out
 
 
-def key_path(lines: list[str], i: int) -> str:
-    """The keys of the blocks around line i, outermost first, by indentation."""
-    indent = lambda s: len(s) - len(s.lstrip())
-    line = lines[i][DIFF.match(lines[i]).end() :]
-    depth, path = indent(line), []
-    while depth and i:
-        i -= 1
-        above = lines[i][DIFF.match(lines[i]).end() :]
-        if above.strip() and indent(above) < depth:
-            depth = indent(above)
-            if m := OPENS.match(above):
-                path.append(m.group(2))
-    return ".".join(reversed(path))
+def element_values(line: str) -> Iterator[tuple[str, str, int, int]]:
+    """(key, value, start, end) of the XML elements of a line; an entry is named by its attribute."""
+    for m in ELEMENT.finditer(line):
+        named = ATTRIBUTE.search(m.group(2) or "")
+        key = named.group(1) if named and m.group(1).lower() in ENTRIES else m.group(1)
+        if m.group(3):
+            yield key, m.group(3), m.start(3), m.end(3)
 
 
 NEUTRAL = {"value", "val", "data", "content", "default", "literal", "string", "plain", "plaintext", "raw", "current"}
@@ -254,6 +273,16 @@ def _place(line: str, diff: bool) -> tuple[int, bool, str]:
     return len(body) - len(content), bool(m), content
 
 
+def section_lines(lines: list[str], i: int, diff: bool) -> Iterator[int]:
+    """Lines of the section that opens in line i, up to the next one."""
+    for j in range(i + 1, len(lines)):
+        content = _place(lines[j], diff)[2]
+        if SECTION.match(content) or lines[j].startswith(("@@ ", "diff --git ")):
+            return
+        if content.strip():
+            yield j
+
+
 def block_lines(lines: list[str], i: int, diff: bool) -> Iterator[int]:
     """Lines of the block that opens in line i, by bracket or indentation, but those under a key that is about a secret."""
     depth, outer = 0, []
@@ -306,29 +335,59 @@ def inherited_keys(lines: list[str], hits: set[int]) -> dict[int, tuple[str, boo
         content = _place(lines[i], diff)[2]
         if (m := OPENS.match(content)) and is_sensitive(m.group(2)) and not set(key_words(m.group(2))) & POINTS:
             out |= {j: (m.group(2), False) for j in block_lines(lines, i, diff)}
+        elif (m := SECTION.match(content)) and is_sensitive(m.group(1)) and not set(key_words(m.group(1))) & POINTS:
+            out |= {j: (m.group(1), False) for j in section_lines(lines, i, diff)}
         elif (m := NAMED.match(content)) and is_sensitive(m.group(1)):
             out |= {j: (m.group(1), True) for j in sibling_lines(lines, i, diff)}
     return out
 
 
-def private_key_span(lines: list[str], i: int, line: str) -> tuple[int, int] | None:
-    """Span of a private key that opens in this line, when key text follows in it or below it."""
+KEY_END = re.compile(r"-----END [A-Z0-9 ]*-----")
+KEY_LINE = re.compile(r"^[\s#/*;\"'+\-]*([A-Za-z0-9+/=]+)(?:\\[nr])*[\"'\s+,;\\]*$")
+KEY_HEADER = re.compile(r"^[\s#/*;\"'+\-]*(?:Proc-Type|DEK-Info|Version|Comment|Hash|Charset): ")
+KEY_TEXT = re.compile(r"(?:\\[nr]|[A-Za-z0-9+/=\s])*")
+COMMENT = re.compile(r"^[\s#/*;\"']*")
+LINE_TAIL = re.compile(r"(?:\\[nr])*[\"'\s+,;\\]*$")
+
+
+def private_key(lines: list[str], i: int, line: str) -> tuple[int, int, int] | None:
+    """(start, last line, end in it) of a private key that opens in this line, when key text follows in it or below it.
+
+    The key goes up to its END line; where none follows, it goes as far as lines are key text, of which only the last is short.
+    """
     if not (m := PEM.search(line)):
         return None
-    rest = line[m.end() :].replace("\\n", "", 1).strip()
-    follow = lines[i + 1] if i + 1 < len(lines) else ""
-    content = re.sub(r"^[+\-]?[\s#/*;]*", "", DIFF.sub("", follow, count=1))
-    body = r"[A-Za-z0-9+/=]{16,}"
-    if re.match(body, rest) or re.match(body, content) or follow.startswith("<|fim") or content.startswith(("Proc-Type", "DEK-Info", "Version", "Comment")):
-        return m.start(), len(line)
-    return None
+    if close := KEY_END.search(line, m.end()):
+        return m.start(), i, close.end()
+    rest = KEY_TEXT.match(line, m.end())
+    if len(rest.group().replace("\\n", "").strip()) >= 16:
+        return m.start(), i, m.end() + len(rest.group().rstrip())
+    last, longest = i, 0
+    for j in range(i + 1, len(lines)):
+        body = lines[j][DIFF.match(lines[j]).end() :]
+        if (close := KEY_END.search(body)) and last > i:
+            return m.start(), j, close.end()
+        if longest == 0 and (KEY_HEADER.match(body) or (not COMMENT.sub("", body) and last > i) or (j == i + 1 and lines[j].startswith("<|fim") and not body.strip())):
+            last = j
+            continue
+        text = KEY_LINE.match(body)
+        if not text or (longest == 0 and len(text.group(1)) < 16):
+            break
+        last = j
+        if len(text.group(1)) < longest:
+            after = lines[j + 1] if j + 1 < len(lines) else ""
+            if close := KEY_END.search(after):
+                return m.start(), j + 1, close.end() - DIFF.match(after).end()
+            break
+        longest = len(text.group(1))
+    if last == i:
+        return None
+    return m.start(), last, len(lines[last]) - DIFF.match(lines[last]).end()
 
 
 def line_spans(lines: list[str], i: int, line: str, inherited: tuple[str, bool] = ("", False)) -> list[tuple[int, int, str, str]]:
     """(start, end, key, kind) of the credentials in one line; a neutral key stands for the inherited one."""
     spans: list[tuple[int, int, str, str]] = []
-    if "PRIVATE KEY" in line and (span := private_key_span(lines, i, line)):
-        spans.append((*span, "pem", "private key"))
     spans += [(m.start(), m.end(), "", "issued") for m in ISSUED.finditer(line) if len(set(m.group()[-14:])) > 5]
     if "://" in line:
         for m in URL.finditer(line):
@@ -339,7 +398,10 @@ def line_spans(lines: list[str], i: int, line: str, inherited: tuple[str, bool]
         spans += [(m.start(1), m.end(1), "login", "login") for m in pattern.finditer(line) if is_secret(m.group(1))]
     spans += [(m.start(1), m.end(1), "authorization", "login") for m in BASIC.finditer(line) if decoded_login(m.group(1))]
     spans += [(m.start(2), m.end(2), m.group(1), "value") for m in PROSE.finditer(line) if is_secret(m.group(2), False)]
-    for key, value, start, end in values_of(line):
+    values = values_of(line)
+    if "<" in line and ">" in line:
+        values = chain(element_values(line), values)
+    for key, value, start, end in values:
         if inherited[0] and is_neutral(key) and not re.match(r"[\"'`]\s*:", line[end:]):
             meant, key = inherited[0], f"{inherited[0]}.{key}".rstrip(".") if inherited[1] else key
         elif is_sensitive(key):
@@ -360,51 +422,72 @@ def scan(text: str) -> list[Find]:
     lines = text.split("\n")
     starts = list(accumulate((len(x) + 1 for x in lines), initial=0))
     hits = {bisect_right(starts, c) - 1 for c in cues}
-    below = set()  # a value may stand in the line below its key
+    below: dict[int, str] = {}  # a value may stand in the line below its key
     for i in hits:
-        if i + 1 < len(lines) and lines[i].rstrip().endswith((":", "=", "|", ">", "|-", ">-")) and (m := OPENS.match(lines[i][DIFF.match(lines[i]).end() :])) and is_sensitive(m.group(2)):
-            below.add(i + 1)
+        body = lines[i][DIFF.match(lines[i]).end() :]
+        key = ""
+        if body.rstrip().endswith((":", "=", "|", ">", "|-", ">-")) and (m := OPENS.match(body)):
+            key = m.group(2)
+        elif m := TRIPLE.search(body):
+            key = m.group(1)
+        if not key and ">" in body and (m := ELEMENT.search(body)) and not m.group(3) and body.rstrip().endswith(">"):
+            named = ATTRIBUTE.search(m.group(2) or "")
+            key = named.group(1) if named and m.group(1).lower() in ENTRIES else m.group(1)
+        if key and i + 1 < len(lines) and is_sensitive(key):
+            below[i + 1] = key
     inherited = inherited_keys(lines, hits)
-    found: list[Find] = []
+    found: list[tuple[int, int, int, str, str]] = []
     inside = -1  # last line of a key block
-    for i in sorted(hits | below | inherited.keys()):
+    for i in sorted(hits | below.keys() | inherited.keys()):
         if i <= inside:
             continue
         cut = DIFF.match(lines[i]).end()
         line = lines[i][cut:]
         spans = line_spans(lines, i, line, inherited.get(i, ("", False)))
-        if any(kind == "private key" for *_, kind in spans) and "-----END" not in line:
-            inside = i + 1
-            while inside < len(lines) and "-----END" not in lines[inside] and KEY_BODY.match(lines[inside]):
-                inside += 1
-            inside -= 1
-        if not spans and i in below and len(line.split()) == 1 and is_secret(value := line.strip().strip("\"'`,;")):
+        if "PRIVATE KEY" in line and (block := private_key(lines, i, line)):
+            start, inside, end = block
+            found.append((i, starts[i] + cut + start, starts[inside] + DIFF.match(lines[inside]).end() + end, "pem", "private key"))
+            spans = [s for s in spans if s[1] <= start or (inside == i and s[0] >= end)]
+        elif not spans and i in below and len(line.split()) == 1 and not line.rstrip().endswith(":") and is_secret(value := line.strip().strip("\"'`,;")):
             at = line.index(value)
-            spans = [(at, at + len(value), "", "value")]
-        if not spans and i in inherited and not inherited[i][1] and (m := ITEM.match(lines[i]) or ITEM.match(line)) and len(rest := m.string[m.end() :].split()) == 1 and is_secret(value := rest[0].strip("\"'`,;")):
+            spans = [(at, at + len(value), below[i], "value")]
+        elif not spans and i in inherited and not inherited[i][1] and (m := ITEM.match(lines[i]) or ITEM.match(line)) and len(rest := m.string[m.end() :].split()) == 1 and not rest[0].endswith(":") and is_secret(value := rest[0].strip("\"'`,;")):
             at = m.string.index(value, m.end()) - (cut if m.string is lines[i] else 0)
             spans = [(at, at + len(value), "", "value")]
-        path = key_path(lines, i) if spans else ""
-        for start, end, key, kind in spans:
-            found.append(Find(i + 1, starts[i] + cut + start, starts[i] + cut + end, f"{path}.{key}".strip("."), kind))
-    return sorted(set(found), key=lambda f: (f.start, -f.end))
+        found += [(i, starts[i] + cut + start, starts[i] + cut + end, key, kind) for start, end, key, kind in spans]
+    paths = key_paths(lines, {i for i, *_ in found})
+    full = lambda above, key: above if key and (above == key or above.endswith(f".{key}")) else f"{above}.{key}".strip(".")
+    finds = {Find(i + 1, start, end, full(paths.get(i, ""), key), kind) for i, start, end, key, kind in found}
+    return sorted(finds, key=lambda f: (f.start, -f.end))
+
+
+def splices(text: str, finds: list[Find]) -> list[tuple[int, int]]:
+    """The spans to replace, by place and without overlap; a block of several lines is replaced line by line, marks of a diff and comments stay."""
+    out: list[tuple[int, int]] = []
+    for f in finds:
+        at = f.start
+        while at < f.end:
+            stop = text.find("\n", at, f.end)
+            stop = f.end if stop < 0 else stop
+            start = at
+            if at > f.start:
+                start += DIFF.match(text[at:stop]).end()
+                start += len(COMMENT.match(text[start:stop]).group())
+            start = max(start, out[-1][1] if out else 0)
+            end = stop if stop == f.end else start + LINE_TAIL.search(text[start:stop]).start()
+            if start < end:
+                out.append((start, end))
+            at = stop + 1
+    return out
 
 
 def redact(text: str) -> str:
-    """The text with every credential replaced and every other byte unchanged; a key block goes up to its END line."""
-    data, out, at = text.encode("utf-8"), [], 0
-    for f in scan(text):
-        end_char = f.end
-        if f.kind == "private key":
-            stop = text.find("-----END", f.start)
-            close = re.compile(r"-----END [A-Z0-9 ]*-----").match(text, stop) if stop >= 0 else None
-            end_char = close.end() if close else f.end
-        start, end = len(text[: f.start].encode("utf-8")), len(text[:end_char].encode("utf-8"))
-        if start < at:
-            at = max(at, end)
-            continue
-        out += [data[at:start], MARK]
-        at = end
+    """The text with every credential replaced and every other byte unchanged; the number of lines stays."""
+    data, out, at, read = text.encode("utf-8"), [], 0, 0
+    for start, end in splices(text, scan(text)):
+        first = at + len(text[read:start].encode("utf-8"))
+        out += [data[at:first], MARK]
+        at, read = first + len(text[start:end].encode("utf-8")), end
     return b"".join([*out, data[at:]]).decode("utf-8")
 
 
@@ -423,7 +506,19 @@ def _scan_batches(batches):
 def _redact_batches(batches):
     for batch in batches:
         table, key, text = (batch.column(i).to_pylist() for i in range(3))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([x if not x else redact(x) for x in text], pa.string())], names=["src_table", "row_key", "redacted"])
+        out = [(x, 0, 0, 0) if not x else _redacted(x) for x in text]
+        cols = list(zip(*out)) or [()] * 4
+        types = (pa.string(), pa.int32(), pa.int64(), pa.int32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *[pa.array(list(c), t) for c, t in zip(cols, types)]], names=["src_table", "row_key", "redacted", "places", "bytes_removed", "left_over"])
+
+
+def _redacted(text: str) -> tuple[str, int, int, int]:
+    """(redacted text, places replaced, bytes replaced, places found again in the redacted text)."""
+    places = splices(text, scan(text))
+    if not places:
+        return text, 0, 0, 0
+    out = redact(text)
+    return out, len(places), sum(len(text[a:b].encode("utf-8")) for a, b in places), len(scan(out))
 
 
 def texts_of(samples: DataFrame, commits: DataFrame, pulls: DataFrame) -> DataFrame:
@@ -442,8 +537,11 @@ def find_credentials(texts: DataFrame) -> DataFrame:
 
 
 def redact_credentials(texts: DataFrame) -> DataFrame:
-    """(src_table, row_key, text) -> (src_table, row_key, redacted); one row out for each row in, null stays null."""
-    return texts.mapInArrow(_redact_batches, "src_table string, row_key string, redacted string")
+    """(src_table, row_key, text) -> (src_table, row_key, redacted, places, bytes_removed, left_over); a row out for each row in, null stays null.
+
+    left_over counts what a second look at the redacted text still finds: none.
+    """
+    return texts.mapInArrow(_redact_batches, "src_table string, row_key string, redacted string, places int, bytes_removed bigint, left_over int")
 
 
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -456,7 +554,7 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts of redacted and untouched texts per table, with the bytes kept."""
+    """Per table: texts, those redacted, places and bytes replaced, bytes in and out, and places a second look still finds."""
     texts = texts_of(
         read(spark, sf_dir, "samples", "sample_id", "text"),
         read(spark, sf_dir, "commits", "sha", "diff_text"),
@@ -467,7 +565,10 @@ def p3_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("src_table")
         .agg(
             F.count(F.lit(1)).alias("texts"),
-            F.sum(F.when(F.col("redacted").contains(MARK.decode()), 1).otherwise(0)).alias("redacted_texts"),
+            F.count_if(F.col("places") > 0).alias("redacted_texts"),
+            F.sum("places").alias("places"),
+            F.sum("bytes_removed").alias("bytes_removed"),
             F.sum(F.octet_length("redacted")).alias("bytes_out"),
+            F.sum("left_over").alias("left_over"),
         )
     )
