@@ -47,8 +47,10 @@ LINKED = re.compile(r"://|www\.|<a\s", re.I)
 HASHTAG = re.compile(r"(?<!\S)#\w+[,;|]?")
 TAG = re.compile(r"(?<!\S)#(?=\w)")
 SENTENCE = re.compile(r"(?<=[.!?])\s+")
-HARD = re.compile(r"[_{}()=<>`\"\[\]\\$]|\d{1,2}:\d{2}|::|->|;$")
+HARD = re.compile(r"[_{}()=<>`\"\[\]\\$]|\d{1,2}:\d{2}|::|->|;\s*$")
+HARD_WORD = re.compile(rf"(?<!\S)\S*?(?:{HARD.pattern})\S*")
 LEAD = re.compile(r"\s*(?:#{1,6}\s|//|--\s|%|@@|\|)")
+PLAIN_NOT = re.compile(r"[_{}()=<>`\"\[\]\\$#|%@/;]|:[\d:]|-[>-]|www\.", re.I)  # a line without any of these is words alone
 HARD_SHARE = 1 / 8  # words with marks in a line of marks
 LINK_WORD, TAG_WORD = "://", "#"
 
@@ -72,7 +74,7 @@ def running(text: str) -> Running:
         if not size:
             continue
         total += size
-        if not HARD.search(line.rstrip()) and "#" not in line and not LINKED.search(line) and not LEAD.match(line):
+        if not PLAIN_NOT.search(line):
             words += LETTERS.findall(line.lower())
             continue
         for piece in SENTENCE.split(line):
@@ -82,13 +84,12 @@ def running(text: str) -> Running:
                 bare = LINK.sub(lambda m: f" {m.group(1) or m.group(2) or ''} ", piece)
             else:
                 bare = piece
-            tags = len(TAG.findall(bare)) if "#" in bare else 0
-            tokens = (TAG.sub(" ", bare) if tags else bare).split()
-            hard = sum(1 for t in tokens[:-1] if HARD.search(t.rstrip(";"))) + bool(tokens and HARD.search(tokens[-1]))
-            if (not links and not tags and LEAD.match(piece)) or (hard and hard >= (len(tokens) + 8 * links + tags) * HARD_SHARE):
+            bare, tags = TAG.subn(" ", bare) if "#" in bare else (bare, 0)
+            plain, hard = HARD_WORD.subn(" ", bare) if HARD.search(bare) else (bare, 0)
+            if (not links and not tags and LEAD.match(piece)) or (hard and hard >= (len(plain.split()) + hard + 8 * links + tags) * HARD_SHARE):
                 marked += len(piece.strip())
                 continue
-            words += LETTERS.findall(" ".join(t for t in tokens if not HARD.search(t.rstrip(";"))).lower() if hard else " ".join(tokens).lower())
+            words += LETTERS.findall(plain.lower())
             words += [LINK_WORD] * links + [TAG_WORD] * tags
     return Running(words, marked / total if total else 0.0)
 
@@ -125,9 +126,8 @@ def head_words(documents: DataFrame, head: int = HEAD) -> Prose:
     counts = documents.where("text is not null").select("text", "lang").mapInArrow(_word_batches, "lang string, word string, pages bigint, times bigint")
     total = counts.groupBy("lang", "word").agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"))
     special = F.col("word").isin("", LINK_WORD, TAG_WORD)
-    order = Window.partitionBy("lang").orderBy(F.desc("pages"), "word")
-    heads = total.where(~special).withColumn("r", F.row_number().over(order)).where(F.col("r") <= head).drop("r")
-    rows = heads.unionByName(total.where(special)).collect()  # so many rows a language
+    order = Window.partitionBy("lang").orderBy(F.desc(special), F.desc("pages"), "word")
+    rows = total.withColumn("r", F.row_number().over(order)).where((F.col("r") <= head) | special).collect()  # so many rows a language
     size = {r["lang"]: (r["pages"], r["times"]) for r in rows if r["word"] == ""}
     most = max((pages for pages, _ in size.values()), default=0)
     kept = {lang for lang, (pages, times) in size.items() if pages >= max(2, most / 1000) and times}
