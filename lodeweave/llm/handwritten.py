@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from lodeweave.functions.globs import glob_regex
 from lodeweave.session import read
 
-from .neardup import NESTED
+from .paths import NESTED, clean_slashes
 
 ATTRIBUTES = ("linguist-generated", "linguist-vendored")
 BULK_BYTES = 400_000
@@ -198,8 +198,7 @@ def catalogue(content: str = CATALOGUE) -> list[str]:
 
 
 def clean_path(col: Column) -> Column:
-    p = F.regexp_replace(F.regexp_replace(col, r"\\", "/"), r"/(\./)+|/+", "/")
-    return F.regexp_replace(F.regexp_replace(p, r"^(?:\./)*/?", ""), NESTED, "")
+    return F.regexp_replace(F.regexp_replace(clean_slashes(col), r"^(?:\./)*/?", ""), NESTED, "")
 
 
 def declared_rules(attribute_files: DataFrame) -> DataFrame:

@@ -17,13 +17,12 @@ pair all of them: each is compared with the smallest id only, and a second look
 takes just those texts which are not yet in one group. Equal sets are collapsed to
 their smallest id before any pair is made.
 
-Paths. A file record is reduced to repo, directories below the checkout root, name
-letters, digits and extension; equal paths become one node per run of sizes within
-the tolerance (sorted neighbours, not pairs). Nodes meet on the directory set, or
-the set less one directory, and on the letters of a name in one of three classes: a
-swap keeps all letters and a dropped or doubled one is of one class, so two slips
-anywhere leave a class as it was (exact at any length). The pivot table over
-letter-pair fingerprints of the names discards, and an edit test word by word verifies.
+Paths. Records of one path and size are one node (see paths). The fingerprint of a name
+has a bit for each occurrence of each letter; a slip of the pen changes its Hamming
+distance to any reference set of letters by one at most. The table of these distances
+makes the candidates: a band join on three coordinates within equal directories, or
+directories less one on one side; the largest difference of all sixteen discards, and an
+edit test word by word verifies.
 
 Nulls: a null or short text, or a null id, is in no group; a null repo or path is in
 no group; a null size agrees with any size. Extra columns are ignored. Empty tables
@@ -32,8 +31,6 @@ give no rows.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -41,6 +38,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from lodeweave.operators.components import connected_components
 from lodeweave.session import materialize, read
 
+from .paths import SLIPS, by_directories, meeting, path_nodes, spelled_alike
 from .shingles import shingle_batches
 
 WIDTH, THRESHOLD = 3, 0.5
@@ -94,8 +92,8 @@ def with_pivots(sets: DataFrame, order: str, bits: int = BITS, pivots: int = PIV
     return sets.mapInArrow(distance_table(ref, bits), schema)
 
 
-def pivots_allow(a: str, b: str, bound: Column, bits: int = BITS) -> Column:
-    """True unless some coordinate of the distance table differs by more than the bound."""
+def pivots_allow(a: str, b: str, bound: Column, step: int = BITS // 256, slack: int | None = None) -> Column:
+    """True unless some coordinate of the distance table differs by more than the bound; slack is what rounding to steps may hide."""
     parts = [
         F.abs(
             F.shiftrightunsigned(F.col(f"{a}.{p}"), 8 * i).bitwiseAND(F.lit(255))
@@ -104,7 +102,7 @@ def pivots_allow(a: str, b: str, bound: Column, bits: int = BITS) -> Column:
         for p in ("p1", "p2")
         for i in range(8)
     ]
-    return F.greatest(*parts) * F.lit(bits // 256) <= bound + F.lit(bits // 256)
+    return F.greatest(*parts) * F.lit(step) <= bound + F.lit(step if slack is None else slack)
 
 
 # ---- texts -----------------------------------------------------------------------------------
@@ -201,125 +199,51 @@ def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: flo
 
 # ---- paths -----------------------------------------------------------------------------------
 
-# directories under a checkout that hold further checkouts, one level below them (fixed values)
-NESTED = r"^(?:(?:\.?worktrees|\.trees|tmp/wt)/[^/]+/)+"
-SIZE_TOLERANCE = 0.03
-NAME_BITS = 256
-NAME_BOUND = 12  # two slips of the pen change at most six letter pairs each
-LETTER_CLASSES = 3  # one more than the slips that same_name allows
-
-
-def canonical_paths(files: DataFrame) -> DataFrame:
-    """file_records -> (id, repo, size, dirs, name, key, digits, ext): the path below the checkout root, in one spelling."""
-    p = F.regexp_replace(F.regexp_replace(F.col("abspath"), r"\\", "/"), r"/(\./)+|/+", "/")
-    low = F.lower(p)
-    mark = F.concat(F.lit("/"), F.lower("repo"), F.lit("/"))
-    at = F.instr(low, mark)
-    below = F.when(at > 0, F.substring(p, at + F.length(mark), F.length(p))).otherwise(F.regexp_replace(p, r"^(?:[A-Za-z]:)?/", ""))
-    below = F.regexp_replace(F.regexp_replace(below, r"^(\./)+", ""), NESTED, "")
-    d = (
-        files.where("file_id is not null and repo is not null and abspath is not null and length(abspath) > 0")
-        .select(F.col("file_id").alias("id"), "repo", F.col("size_bytes").alias("size"), below.alias("below"))
-        .withColumn("name", F.element_at(F.split("below", "/"), -1))
-        .withColumn("dirs", F.expr("transform(filter(slice(split(below, '/'), 1, size(split(below, '/')) - 1), x -> x <> ''), x -> regexp_replace(lower(x), '[-_ ]', ''))"))
-        .withColumn("ext", F.lower(F.regexp_extract("name", r"[^.]\.([^.]+)$", 1)))
-        .withColumn("stem", F.when(F.col("ext") != "", F.expr("substring(name, 1, length(name) - length(ext) - 1)")).otherwise(F.col("name")))
-        .withColumn("digits", F.regexp_replace(F.regexp_replace("stem", r"[^0-9]+", " "), r"^ | $", ""))
-        .withColumn("key", F.regexp_replace(F.lower("stem"), r"[^\p{L}\p{N}.]", ""))
-    )
-    return d.select("id", "repo", "size", "dirs", "name", "stem", "key", "digits", "ext")
-
-
-def _split_words(stem: str) -> list[str]:
-    return [w.lower() for w in re.findall(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[^\W_a-zA-Z]+", stem)]
-
-
-def slip(a: str, b: str) -> int:
-    """0 equal, 1 one letter doubled, dropped or swapped with its neighbour, 2 anything else."""
-    if a == b:
-        return 0
-    if len(a) > len(b):
-        a, b = b, a
-    i = 0
-    while i < len(a) and a[i] == b[i]:
-        i += 1
-    if len(a) == len(b):
-        return 1 if i + 1 < len(a) and a[i] == b[i + 1] and a[i + 1] == b[i] and a[i + 2 :] == b[i + 2 :] else 2
-    return 1 if len(b) == len(a) + 1 and a[i:] == b[i + 1 :] else 2
-
-
-def same_name(a: str, b: str, ka: str, kb: str) -> bool:
-    """Names are one another's spelling: letters equal but for one slip, or one slip a word and two at most."""
-    if ka == kb:
-        return True
-    if min(len(ka), len(kb)) < 4:
-        return False
-    if slip(ka, kb) < 2:
-        return True
-    wa, wb = _split_words(a), _split_words(b)
-    slips = [slip(x, y) for x, y in zip(wa, wb)]
-    return len(wa) == len(wb) and max(slips, default=2) < 2 and sum(slips) <= 2
-
-
-def _same_name_batches(batches):
-    for batch in batches:
-        cols = [batch.column(c).to_pylist() for c in ("sa", "sb", "ka", "kb")]
-        keep = pa.array([same_name(*row) for row in zip(*cols)], pa.bool_())
-        yield batch.filter(keep).select(["a", "b"])
-
-
-def _class_letters(letters: str) -> Column:
-    """For each class its letters in the name, sorted; digits are equal where names meet, dots are no letters of a word."""
-    return F.expr(
-        f"transform(sequence(0, {LETTER_CLASSES - 1}), c -> concat(c, array_join(array_sort("
-        f"filter(split({letters}, ''), x -> x <> '' and pmod(ascii(x), {LETTER_CLASSES}) = c)), '')))"
-    )
+ALPHABET = "abcdefghijklmnopqrstuvwxyz"
+REFERENCES = 16  # of names: reference j holds the letters whose number meets j in an odd number of bits
+BAND, BANDED = 4, 3  # width of a band, and how many coordinates are cut into bands
 
 
-def _letter_pairs(key: str) -> Column:
-    return F.expr(f"transform(sequence(1, greatest(length({key}) - 1, 1)), i -> cast(pmod(hash(substring({key}, i, 2)), {NAME_BITS}) as bigint))")
-
-
-def path_links(files: DataFrame, tolerance: float = SIZE_TOLERANCE) -> DataFrame:
-    """file_records -> links (a, b) that join all records of one file of one repo into a group."""
-    paths = canonical_paths(files)
-    place = ["repo", "ext", "digits", "key", "dirs"]
-    node = F.xxhash64("repo", "ext", "digits", "key", F.concat_ws("/", "dirs"))
-    rows = paths.select("id", "size", node.alias("p"), *place, "stem")
-    # equal path: sorted neighbours within the tolerance form a run; a missing size joins the whole path
-    w = Window.partitionBy("p").orderBy("size", "id")
-    back = F.lag("size").over(w)
-    starts = F.when(back.isNull() | (F.col("size") - back > F.col("size") * tolerance), 1).otherwise(0)
-    any_null = F.max(F.when(F.col("size").isNull(), 1).otherwise(0)).over(Window.partitionBy("p"))
-    runs = rows.withColumn("open", any_null).withColumn("s", F.when(F.col("open") == 1, 0).otherwise(starts))
-    runs = runs.withColumn("run", F.sum("s").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = materialize(runs.select("id", "p", "run", "open", "size", *place, "stem"), "paths")
-    nodes = runs.groupBy("p", "run").agg(
-        F.min("id").alias("id"), F.max("open").alias("open"), F.min("size").alias("lo"), F.max("size").alias("hi"),
-        *[F.first(c).alias(c) for c in place], F.min("stem").alias("stem"),
-    )
-    inside = runs.select("p", "run", F.col("id").alias("b")).join(nodes.select("p", "run", F.col("id").alias("a")), ["p", "run"]).where("a < b").select("a", "b")
-
-    nodes = nodes.select(
-        "id", "lo", "hi", "open", "stem", "key", F.size("dirs").alias("depth"),
-        F.array_sort("dirs").alias("bag"), F.xxhash64("repo", "ext", "digits").alias("base"),
-        F.regexp_replace("key", r"\.", "").alias("letters"),
-    ).withColumn("hs", _letter_pairs("letters"))
-    nodes = materialize(with_pivots(nodes, "id", NAME_BITS).drop("hs"), "names")
-    less_one = "transform(sequence(0, size(bag)), i -> concat_ws('/', filter(bag, (x, j) -> j <> i)))"  # i = size keeps all
-    meet = nodes.withColumn("at", F.explode(F.array_distinct(F.expr(less_one)))).where("at <> '' or depth = 0")
-    meet = meet.withColumn("part", F.explode(_class_letters("letters"))).select(
-        "id", "lo", "hi", "open", "stem", "key", "p1", "p2", F.xxhash64("base", "at", "part").alias("k")
-    )
-    gap = F.greatest(F.col("x.lo"), F.col("y.lo")) - F.least(F.col("x.hi"), F.col("y.hi"))
-    sized = (F.col("x.open") == 1) | (F.col("y.open") == 1) | (gap <= F.greatest(F.col("x.lo"), F.col("y.lo")) * tolerance)
-    pairs = (
-        meet.alias("x").join(meet.alias("y"), F.col("x.k") == F.col("y.k"))
-        .where((F.col("x.id") < F.col("y.id")) & sized & pivots_allow("x", "y", F.lit(NAME_BOUND), NAME_BITS))
-        .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"), F.col("x.stem").alias("sa"), F.col("y.stem").alias("sb"), F.col("x.key").alias("ka"), F.col("y.key").alias("kb"))
-        .distinct()
+def reference_letters(j: int) -> str:
+    return "".join(c for n, c in enumerate(ALPHABET, 1) if (n & j).bit_count() % 2)
+
+
+def name_coordinate(letters: Column, j: int) -> Column:
+    """Hamming distance of the letters of a name (each occurrence a bit) to reference j, but for a constant: others less its letters."""
+    others = F.length(F.translate(letters, reference_letters(j), ""))
+    return 2 * others - F.length(letters)
+
+
+def name_table(nodes: DataFrame) -> DataFrame:
+    """Adds p1 and p2, the distances of a name to all references, 8 bits each, and c1 to c3, those cut into bands."""
+    shifted = lambda j: F.greatest(F.lit(0), F.least(F.lit(255), name_coordinate(F.col("letters"), j) + 128)).cast("bigint")
+    packed = lambda js: sum((F.shiftleft(shifted(j), 8 * i) for i, j in enumerate(js)), F.lit(0).cast("bigint"))
+    half = REFERENCES // 2
+    return nodes.select(
+        "*", packed(range(1, half + 1)).alias("p1"), packed(range(half + 1, REFERENCES + 1)).alias("p2"),
+        *[name_coordinate(F.col("letters"), 1 << n).alias(f"c{n + 1}") for n in range(BANDED)],
     )
-    return inside.unionByName(pairs.mapInArrow(_same_name_batches, "a bigint, b bigint"))
+
+
+def path_links(files: DataFrame) -> DataFrame:
+    """file_records -> links (a, b) that join all records of one file of one repo into a group.
+
+    Candidates are a band join on the pivot table: a slip changes a distance by one at most, so names of two slips lie
+    within two of one another in every coordinate. Three coordinates are cut into bands (a name on the left is offered to
+    the bands it can reach, exact at any length), the others discard, and the spelling test verifies.
+    """
+    nodes, inside = path_nodes(files, "abspath")
+    table = by_directories(name_table(nodes)).drop("letters")
+    bands = [f"c{n + 1}" for n in range(BANDED)]
+    low = lambda c, d: F.floor((F.col(c) + d) / BAND)
+    left = table.where("not less")
+    for c in bands:
+        left = left.withColumn(c, F.explode(F.sequence(low(c, -SLIPS), low(c, SLIPS))))
+    right = table.select("*", *[low(c, 0).alias(f"b{c}") for c in bands])
+    left = left.withColumn("k", F.xxhash64("at", *bands)).drop("at", *bands)
+    right = right.withColumn("k", F.xxhash64("at", *[f"b{c}" for c in bands])).drop("at", *bands, *[f"b{c}" for c in bands])
+    pairs = meeting(left, right, pivots_allow("x", "y", F.lit(SLIPS), step=1, slack=0))
+    return inside.unionByName(spelled_alike(pairs))
 
 
 # ---- groups ----------------------------------------------------------------------------------

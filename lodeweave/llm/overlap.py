@@ -12,8 +12,12 @@ proves the likeness, and where the band is too narrow by the runs themselves.
 Likeness is passed on, so every string is cut and not the evaluation strings alone:
 the chain from one to the other may lead through training records. Equal sets of
 segments are linked first. A segment of many strings is matched with one of them
-first, and again only between groups that are still apart. Paths meet as in the groups
-of near-equal records.
+first, and again only between groups that are still apart.
+
+Paths are relpaths of one repo, extension and digits. The letters of a name are cut into
+k + 1 segments for k = 2 slips, and a segment meets its like under equal directories, or
+directories less one on one side. Dynamic programming in a band of one diagonal verifies
+the whole name or its words.
 
 Nulls, empty and short texts are as in the groups of near-equal records; a null split
 makes a record neither train nor evaluation. Extra columns are ignored, empty tables
@@ -28,7 +32,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodeweave.operators.components import connected_components
 from lodeweave.session import materialize, read
 
-from .neardup import LIGHT, path_links, text_links
+from .neardup import LIGHT, text_links
+from .paths import SLIPS, by_directories, meeting, path_nodes, spelled_alike
 from .shingles import WORD
 
 EDIT_SHARE = 9
@@ -103,6 +108,52 @@ def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").mapInArrow(_verify_batches, "a bigint, b bigint")
 
 
+# ---- paths -----------------------------------------------------------------------------------
+
+
+def banded_slips(a: str, b: str, k: int = 1) -> int:
+    """Letters dropped, doubled or swapped with the next between two names, k + 1 where more than k: dynamic programming in a band."""
+    if abs(len(a) - len(b)) > k:
+        return k + 1
+    far = k + 1
+    before: list[int] = []
+    row = [j if j <= k else far for j in range(len(b) + 1)]
+    for i in range(1, len(a) + 1):
+        new = [far] * (len(b) + 1)
+        if i <= k:
+            new[0] = i
+        for j in range(max(1, i - k), min(len(b), i + k) + 1):
+            if a[i - 1] == b[j - 1]:
+                new[j] = row[j - 1]
+            else:
+                new[j] = min(row[j], new[j - 1]) + 1
+                if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                    new[j] = min(new[j], before[j - 2] + 1)
+        before, row = row, new
+    return min(row[-1], far)
+
+
+def name_segments(letters: str) -> Column:
+    """The letters in order, cut into one segment more than a name may have slips; numbered, for a segment meets its like alone.
+
+    Cuts fall between letters and not between places: a swap leaves the ordered letters as they are, and a dropped or doubled
+    letter is one edit of one segment, so two names with two slips have a segment whole in both, at its own number.
+    """
+    return F.expr(
+        f"transform(sequence(0, {SLIPS}), s -> concat(s, array_join(array_sort("
+        f"filter(split({letters}, ''), x -> x <> '' and pmod(ascii(x), {SLIPS + 1}) = s)), '')))"
+    )
+
+
+def path_segment_links(files: DataFrame) -> DataFrame:
+    """file_records -> links (a, b) of records whose relpaths name one file of one repo: segment join, banded verification."""
+    nodes, inside = path_nodes(files, "relpath")
+    cut = by_directories(nodes).withColumn("segment", F.explode(name_segments("letters")))
+    cut = cut.withColumn("k", F.xxhash64("at", "segment")).drop("at", "segment", "letters")
+    pairs = meeting(cut.where("not less"), cut)
+    return inside.unionByName(spelled_alike(pairs, banded_slips))
+
+
 # ---- join ------------------------------------------------------------------------------------
 
 
@@ -128,14 +179,14 @@ def cross_pairs(links: DataFrame, records: DataFrame) -> DataFrame:
 def overlaps(samples: DataFrame, files: DataFrame) -> DataFrame:
     texts = samples.select(F.col("sample_id").alias("id"), "text")
     return cross_pairs(segment_links(texts), samples.withColumnRenamed("sample_id", "id")).withColumn("src_table", F.lit("samples")).unionByName(
-        cross_pairs(path_links(files), files.withColumnRenamed("file_id", "id")).withColumn("src_table", F.lit("file_records"))
+        cross_pairs(path_segment_links(files), files.withColumnRenamed("file_id", "id")).withColumn("src_table", F.lit("file_records"))
     ).select("src_table", "id_a", "id_b")
 
 
 def _tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return (
         read(spark, sf_dir, "samples", "sample_id", "split", "source", "text"),
-        read(spark, sf_dir, "file_records", "file_id", "repo", "abspath", "size_bytes", "split"),
+        read(spark, sf_dir, "file_records", "file_id", "repo", "relpath", "size_bytes", "split"),
     )
 
 

@@ -4,7 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lodeweave.llm import neardup as N, overlap as O
+from lodeweave.llm import neardup as N, overlap as O, paths as P2
 from lodeweave.operators.components import connected_components
 
 WORDS = re.compile(r"[a-z0-9_]+")
@@ -140,6 +140,13 @@ def paths(spark, rows):
     return {tuple(r) for r in N.groups(N.path_links(df)).collect()}
 
 
+def relpaths(spark, rows):
+    """The same files, each by its path below the root, through the segment join."""
+    below = [(i, r, p and r and p.replace("\\", "/").split(f"/{r}/", 1)[-1], s) for i, (r, p, s) in enumerate(rows)]
+    df = spark.createDataFrame(below, "file_id bigint, repo string, relpath string, size_bytes bigint")
+    return {tuple(r) for r in N.groups(O.path_segment_links(df)).collect()}
+
+
 def test_paths_that_list_one_file(spark):
     base = "/home/ci/o/r/src/api/views/load_user_cache.py"
     rows = [
@@ -151,7 +158,7 @@ def test_paths_that_list_one_file(spark):
         ("o/r", "/x/o/r/src/views/load-user-cache.py", 1000),
         ("o/r", "/x/o/r/src/api/views/load_user_cachhe.py", 1000),
     ]
-    assert paths(spark, rows) == {(0, i) for i in range(1, len(rows))}
+    assert paths(spark, rows) == relpaths(spark, rows) == {(0, i) for i in range(1, len(rows))}
 
 
 @pytest.mark.parametrize(
@@ -169,13 +176,39 @@ def test_paths_that_list_one_file(spark):
     ],
 )
 def test_paths_of_other_files(spark, repo, path, size):
-    assert paths(spark, [("o/r", "/home/o/r/src/api/views/load_user_cache.py", 1000), (repo, path, size)]) == set()
+    rows = [("o/r", "/home/o/r/src/api/views/load_user_cache.py", 1000), (repo, path, size)]
+    assert paths(spark, rows) == relpaths(spark, rows) == set()
+
+
+def test_files_of_equal_name_in_unlike_directories(spark):
+    rows = [("o/r", f"/x/o/r/packages/{d}/index.ts", s) for d, s in (("alpha", 1000), ("beta", 1005), ("gamma", 1001))]
+    rows += [("o/r", "/x/o/r/src/billing/views.py", 700), ("o/r", "/x/o/r/src/orders/views.py", 700), ("o/r", "/x/o/r/test/tests/x_case.py", 5), ("o/r", "/x/o/r/tests/x_case.py", 5)]
+    # a directory more is a small difference, another directory is not
+    assert paths(spark, rows) == relpaths(spark, rows) == {(5, 6)}
+
+
+def test_one_name_in_many_directories_makes_no_pairs(spark):
+    pairs = {}
+    for n in (200, 400):
+        df = spark.range(n).selectExpr("id as file_id", "'o/r' as repo", "concat('packages/p', char(97 + id % 26), repeat('x', cast(id div 26 as int)), '/index.ts') as relpath", "1000 + id as size_bytes")
+        nodes, _ = P2.path_nodes(df, "relpath")
+        d = P2.by_directories(nodes).withColumn("k", F.xxhash64("at", "letters"))
+        pairs[n] = (nodes.count(), P2.meeting(d.where("not less"), d).count())
+    assert pairs == {200: (200, 0), 400: (400, 0)}
 
 
 def test_encoder_is_no_slip_of_decoder():
-    assert not N.same_name("x_decoder", "x_encoder", "xdecoder", "xencoder")
-    assert N.same_name("loadCache", "laodCachee", "loadcache", "laodcachee")
-    assert N.slip("abc", "acb") == 1 and N.slip("abc", "abbc") == 1 and N.slip("abc", "ab") == 1 and N.slip("abc", "abd") == 2
+    assert not P2.same_name("x_decoder", "x_encoder", "xdecoder", "xencoder")
+    assert P2.same_name("loadCache", "laodCachee", "loadcache", "laodcachee")
+    assert P2.slip("abc", "acb") == 1 and P2.slip("abc", "abbc") == 1 and P2.slip("abc", "ab") == 1 and P2.slip("abc", "abd") == 2
+
+
+def test_the_band_counts_slips():
+    rnd = random.Random(5)
+    for _ in range(3000):
+        a = "".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 9)))
+        b = rnd.choice(sorted(slips_of(a)) + ["".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 9)))])
+        assert O.banded_slips(a, b) == P2.slip(a, b)
 
 
 def slips_of(word):
@@ -192,8 +225,8 @@ def test_every_slip_of_a_name_is_met(spark):
     cases += [("a.b.c.d.load_cache", "a_b_c_d_laod_cahce")]
     rows = [(f"r{i}", f"/x/r{i}/src/{name}.py", 1000) for i, case in enumerate(cases) for name in case]
     key = lambda s: s.replace("_", "")
-    want = {i for i, (a, b) in enumerate(cases) if N.same_name(a, b, key(a), key(b))}
-    assert len(want) > 300 and {i // 2 for i, _ in paths(spark, rows)} == want
+    want = {i for i, (a, b) in enumerate(cases) if P2.same_name(a, b, key(a), key(b))}
+    assert len(want) > 300 and {i // 2 for i, _ in paths(spark, rows)} == want == {i // 2 for i, _ in relpaths(spark, rows)}
 
 
 def test_sizes_chain_within_the_tolerance(spark):
@@ -228,6 +261,6 @@ def test_banded_distance_equals_full():
 
 def test_clashing_extra_columns(spark):
     samples = spark.createDataFrame([(1, "train", "s", "a b c d e f", 1, 2), (2, "val", "s", "a b c d e f", 1, 2)], "sample_id bigint, split string, source string, text string, a int, root int")
-    files = spark.createDataFrame([(1, "r", "/x/r/a/b_c.py", 5, "train", 1), (2, "r", "/y/r/a/b_c.py", 5, "test", 1)], "file_id bigint, repo string, abspath string, size_bytes bigint, split string, p int")
+    files = spark.createDataFrame([(1, "r", "/x/r/a/b_c.py", "a/b_c.py", 5, "train", 1), (2, "r", "/y/r/a/b_c.py", "a/b_c.py", 5, "test", 1)], "file_id bigint, repo string, abspath string, relpath string, size_bytes bigint, split string, p int")
     assert {tuple(r) for r in N.near_duplicates(samples, files).collect()} == {("samples", 1, 2), ("file_records", 1, 2)}
     assert {tuple(r) for r in O.overlaps(samples, files).collect()} == {("samples", 1, 2), ("file_records", 1, 2)}
