@@ -43,6 +43,7 @@ from .shingles import shingle_batches
 
 WIDTH, THRESHOLD = 3, 0.5
 BITS, PIVOTS = 1024, 16
+SAMPLED, LEAST_CROWD, CROWDED, SALTS = 64, 32, 10_000, 256  # one text in 64 is asked which shingles are crowded: no row depends on it
 LIGHT = 48  # a shingle of so many texts at most pairs all of them
 
 
@@ -119,12 +120,13 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
     sets = texts.where("id is not null and text is not null and length(text) > 0").mapInArrow(
         shingle_batches(width), "id bigint, n int, hs array<bigint>"
     )
-    by_shingle = Window.partitionBy("h")
-    shared = (
-        sets.where("n > 0").select("id", "n", F.explode("hs").alias("h"))
-        .withColumn("c", F.count(F.lit(1)).over(by_shingle))
-        .where("c > 1")
-    )
+    sampled = texts.where(F.pmod(F.xxhash64("id", F.lit(13)), F.lit(SAMPLED)) == 0)
+    crowded = crowded_shingles(sampled.where("length(text) > 0").mapInArrow(shingle_batches(width), "id bigint, n int, hs array<bigint>"))
+    each = sets.where("n > 0").select("id", "n", F.explode("hs").alias("h")).join(F.broadcast(crowded), "h", "left")
+    # the rows of a crowded shingle are dealt to many tasks; its count from the sample is as good an order as any
+    salt = F.when(F.col("much").isNotNull(), F.pmod(F.xxhash64("id"), F.lit(SALTS))).otherwise(0)
+    count = F.count(F.lit(1)).over(Window.partitionBy("h", "salt"))
+    shared = each.withColumn("salt", salt).withColumn("c", F.coalesce("much", count)).where("c > 1").drop("much", "salt")
     least = F.ceil(F.col("n") * F.lit(threshold))
     docs = (
         shared.groupBy("id")
@@ -166,6 +168,12 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
     return copies.unionByName(found)
 
 
+def crowded_shingles(sets: DataFrame) -> DataFrame:
+    """(h, much): the CROWDED most frequent shingles of a sample with their counts, scaled up; the others hold at most one row in CROWDED each."""
+    counts = sets.select(F.explode("hs").alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= LEAST_CROWD)
+    return counts.orderBy(F.desc("c"), "h").limit(CROWDED).select("h", (F.col("c") * SAMPLED).alias("much"))
+
+
 def verify(pairs: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) whose sets have similarity of at least the threshold; the pivot table is asked first."""
     x, y = table.alias("x"), table.alias("y")

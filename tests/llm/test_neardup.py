@@ -135,6 +135,13 @@ def test_pivots_never_discard_an_alike_pair(spark, texts):
                         assert gap <= (a.n + b.n) / 3 + N.BITS // 256
 
 
+def test_crowded_shingles_change_no_group(spark, texts, monkeypatch):
+    for name, value in (("SAMPLED", 1), ("LEAST_CROWD", 3), ("CROWDED", 40), ("SALTS", 3)):
+        monkeypatch.setattr(N, name, value)
+    assert 0 < N.crowded_shingles(texts.where("length(text) > 0").mapInArrow(N.shingle_batches(3), "id bigint, n int, hs array<bigint>")).count() <= 40
+    assert {tuple(r) for r in N.groups(N.text_links(texts)).collect()} == brute(corpus() + EDGES)
+
+
 def paths(spark, rows):
     df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "file_id bigint, repo string, abspath string, size_bytes bigint")
     return {tuple(r) for r in N.groups(N.path_links(df)).collect()}
