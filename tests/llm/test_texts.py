@@ -185,7 +185,31 @@ def test_attribute_files_and_mined_patterns(spark):
     rows = [(1, "r1", "schema/a.c"), (2, "r1", "schema/own/a.c"), (3, "r1", "vendor/a.c"), (4, "r3", "lib/a.tbl"), (5, "r3", "a/schema/b.c"), (6, "r3", "vendor/a.c"), (7, "r1", "a.tbl")]
     files = spark.createDataFrame([(*r, 5, "c", True) for r in rows], "file_id bigint, repo string, relpath string, size_bytes bigint, ext string, value boolean")
     got = {r.file_id: r.reason for r in W.not_handwritten(files, attributes).collect()}
-    assert got == {1: "declared", 4: "pattern", 5: "pattern", 6: "pattern", 7: "declared"}
+    assert got == {1: "declared", 4: "mined", 5: "mined", 6: "mined", 7: "declared"}
+
+
+def test_mining_keeps_what_several_declare_and_few_take_back(spark):
+    rows = [("a", "", "/x/gen/** linguist-generated\n*.one linguist-generated\nodd/** linguist-generated"), ("b", "q", "y/gen/** linguist-generated\nodd/** -linguist-generated"), ("c", "", "build/only/** linguist-generated"), ("d", "", "build/only/** linguist-generated"), ("e", None, None), (None, "", "*.one linguist-generated")]
+    rules = W.declared_rules(spark.createDataFrame(rows, "repo string, dir string, content string"))
+    # gen/** is the last directory of two forms; build/only/** carries over as it is, and only/** alone does not
+    assert {r.pattern for r in W.mined_patterns(rules).collect()} == {"gen/**", "build/only/**"}
+
+
+def test_the_deeper_file_and_the_later_line_win(spark):
+    rows = [("r", "", "*.c linguist-generated\nlib/** linguist-vendored\nlib/keep.c -linguist-vendored"), ("r", "lib/own", "** -linguist-vendored -linguist-generated\nback.c linguist-generated"), ("r", "Tool", "/only.py linguist-generated")]
+    attributes = spark.createDataFrame(rows, "repo string, dir string, content string")
+    names = ["a.c", "lib/a.py", "lib/keep.c", "lib/own/a.c", "lib/own/back.c", "tool/only.py", "tool/x/only.py", "x/lib/a.py"]
+    files = spark.createDataFrame([(i, "r", p, 5, "c") for i, p in enumerate(names)], "file_id bigint, repo string, relpath string, size_bytes bigint, ext string")
+    got = {names[r.file_id]: r.rule for r in W.not_handwritten(files, attributes).where("reason = 'declared'").collect()}
+    assert got == {"a.c": "*.c", "lib/a.py": "lib/**", "lib/keep.c": "*.c", "lib/own/back.c": "back.c", "tool/only.py": "/only.py"}
+
+
+@pytest.mark.parametrize("pattern, key, sure", [
+    ("vendor/**", "d:vendor", True), ("/yarn.lock", "n:yarn.lock", True), ("*.pb.go", "s:.pb.go", True), ("**/*_pb2.py", "s:_pb2.py", True), ("*.min.*", "t:min", False),
+    ("build/static/**", "d:static", False), ("jquery*.js", "t:js", False), ("external/*/**", "d:external", False), ("moc_*.cpp", "t:moc", False), ("*foo*", ":", False), ("[ab]x.c", "t:c", False),
+])
+def test_keys_of_patterns(pattern, key, sure):
+    assert W.pattern_key(pattern) == (key, sure)
 
 
 # ---- packing -----------------------------------------------------------------------------------
