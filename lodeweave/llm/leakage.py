@@ -11,8 +11,12 @@ or so; the sentences found must themselves keep the order of the passage. A docu
 gives an item away when such sentences, two at least, hold a quarter of the words of
 the passage. Sentences that several items share count for nothing.
 
+Leaked spans are cut out of the text as it is written, whatever its typography; a
+document that is mostly passages is left out whole.
+
 Null or empty texts and passages give no rows, null ids are skipped, repeated rows
-give one row, short passages are matched whole. Other columns are ignored.
+give one row. One hit is enough to look at a pair; a passage shorter than an n-gram
+has none, and as a single sentence it would be no case. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lodeweave.session import read
+from lodeweave.session import materialize, read
 
 from .shingles import WordHashes, windows
 
@@ -53,6 +57,22 @@ def tokens(text: str | None) -> list[str]:
     return TOKEN.findall(normal(text)) if text else []
 
 
+def token_places(text: str) -> list[tuple[int, int]]:
+    """Where the tokens of a text stand in the text as it is written: (start, end) in characters, one for each of tokens(text)."""
+    if text.isascii():
+        return [m.span() for m in TOKEN.finditer(text)]
+    letters, places = [], []
+    for at, c in enumerate(text):
+        for x in unicodedata.normalize("NFKD", c).translate(DROPPED):
+            if not unicodedata.combining(x):
+                letters.append(x)
+                places.append(at)
+    low = "".join(letters).lower()
+    if len(low) != len(letters):
+        places = [at for x, at in zip(letters, places) for _ in x.lower()]
+    return [(places[m.start()], places[m.end() - 1] + 1) for m in TOKEN.finditer(low)]
+
+
 class Passage(NamedTuple):
     item: int
     words: list[str]
@@ -113,8 +133,31 @@ def common_words(a: list[str], b: list[str]) -> int:
     return row[-1]
 
 
-def verified(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> list[tuple[int, int, int, int]]:
-    """(sentence, from, to, words matched) found in the document, in the order of the passage; hits are (passage, document) positions."""
+def matched_ends(a: list[str], b: list[str]) -> tuple[int, int]:
+    """First and last place in b (end exclusive) of a longest common subsequence, the shortest stretch where there are several."""
+    rows = [[0] * (len(b) + 1)]
+    for x in a:
+        last, row = rows[-1], [0]
+        for j, y in enumerate(b, 1):
+            row.append(last[j - 1] + 1 if x == y else max(last[j], row[-1]))
+        rows.append(row)
+    i, j = len(a), len(b)
+    while j and rows[i][j - 1] == rows[i][j]:
+        j -= 1
+    end = start = j
+    while i and j and rows[i][j]:
+        if a[i - 1] == b[j - 1]:
+            i, j = i - 1, j - 1
+            start = j
+        elif rows[i - 1][j] >= rows[i][j - 1]:
+            i -= 1
+        else:
+            j -= 1
+    return start, end
+
+
+def verified(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """(sentence, from, to, words of it, words matched) found in the document, in the order of the passage; hits are (passage, document) positions."""
     candidates = []
     for k, (a, b) in enumerate(p.sentences):
         if not p.counted[k]:
@@ -129,15 +172,20 @@ def verified(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> list[
             lo, hi = max(0, s - slack), min(len(words), s + (b - a) + slack)
             matched = common_words(p.words[a:b], words[lo:hi])
             if matched >= SENTENCE_SHARE * (b - a):
-                candidates.append((s, k, b - a, matched))
+                candidates.append((s, k, b - a, matched, lo, hi))
     # heaviest chain with rising sentence numbers and rising places
     candidates.sort()
     best: list[tuple[int, list[int]]] = []
-    for i, (_, k, weight, _) in enumerate(candidates):
+    for i, (_, k, weight, *_) in enumerate(candidates):
         top = max(((w, chain) for (w, chain) in best if candidates[chain[-1]][1] < k), default=(0, []), key=lambda x: x[0])
         best.append((top[0] + weight, [*top[1], i]))
     chain = max(best, default=(0, []), key=lambda x: x[0])[1]
-    return [(candidates[i][1], candidates[i][0], candidates[i][0] + candidates[i][2], candidates[i][3]) for i in chain]
+    out = []
+    for _, k, size, matched, lo, hi in (candidates[i] for i in chain):
+        a, b = p.sentences[k]
+        first, last = matched_ends(p.words[a:b], words[lo:hi])
+        out.append((k, lo + first, lo + last, size, matched))
+    return out
 
 
 def judge(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> tuple | None:
@@ -145,9 +193,9 @@ def judge(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> tuple |
     found = verified(p, words, hits)
     if not found:
         return None
-    size = sum(b - a for _, a, b, _ in found)
-    close = sum(m >= CLOSE_SENTENCE * (b - a) for _, a, b, m in found)
-    return p.item, size / len(p.words), sum(m for *_, m in found) / size, close, [a for _, a, _, _ in found], [b for _, _, b, _ in found]
+    size = sum(n for *_, n, _ in found)
+    close = sum(m >= CLOSE_SENTENCE * n for *_, n, m in found)
+    return p.item, size / len(p.words), sum(m for *_, m in found) / size, close, [x[1] for x in found], [x[2] for x in found]
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -173,8 +221,6 @@ def _scan(items: list[Passage], index: Index):
                 for d, i, q, o in zip(owner[hit].tolist(), index.item[place[hit]].tolist(), index.at[place[hit]].tolist(), at[hit].tolist()):
                     pairs[d, i].append((q, o))
                 for (d, i), hits in pairs.items():
-                    if len(hits) < 3:
-                        continue
                     if verdict := judge(items[i], words[d], hits):
                         rows.append((docs[d], *verdict))
             yield _rows(rows)
@@ -202,7 +248,7 @@ def _by_join(documents: DataFrame, items: DataFrame, ngrams: int) -> DataFrame:
     texts = items.where("item_id is not null and length(passage) > 0").select(F.col("item_id").alias("id"), F.col("passage").alias("text"))
     own = texts.mapInArrow(grams, "h bigint, id bigint, at int").groupBy("h").agg(F.min("id").alias("item_id"), F.max("id").alias("other"), F.min("at").alias("q")).where("item_id = other").drop("other")
     seen = documents.select("doc_id", "text").mapInArrow(grams, "h bigint, id bigint, at int").withColumnRenamed("id", "doc_id")
-    hits = seen.join(own, "h").groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("q", "at")).alias("hits")).where(F.size("hits") >= 3)
+    hits = seen.join(own, "h").groupBy("doc_id", "item_id").agg(F.collect_list(F.struct("q", "at")).alias("hits"))
     def normalised(batches):
         for batch in batches:
             ids, found = batch.column(0).to_pylist(), [{" ".join(t) for s in END.split(x) if (t := tokens(s))} for x in batch.column(1).to_pylist()]
@@ -245,17 +291,55 @@ def leaks(hits: DataFrame) -> DataFrame:
 
 
 def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text less the given word spans; words are those of the normalised text, taken in order from the original."""
-    marks = [m.span() for m in TOKEN.finditer(text)]
+    """The text less the given spans of tokens; all else stays as it is written, and spans may overlap."""
+    marks = token_places(text)
     out, at = [], 0
     for a, b in sorted(spans):
         a, b = max(0, a), min(b, len(marks))
-        if a < b and marks[a][0] >= at:
-            out.append(text[at : marks[a][0]])
-            at = marks[b - 1][1]
+        if a < b:
+            if marks[a][0] > at:
+                out.append(text[at : marks[a][0]])
+            at = max(at, marks[b - 1][1])
     return "".join([*out, text[at:]])
 
 
+def without_passages(documents: DataFrame, leaked: DataFrame, most: float = 0.5) -> DataFrame:
+    """documents(doc_id, text) less the passages of leaked(doc_id, item_id, word_from, word_to).
+
+    (doc_id, text, items, words, words_removed): the leaked spans of all items are cut out of the text as it is written; a
+    document of which more than `most` of the words would go is left out whole, and its text is null. Documents that give
+    nothing away come through unchanged with no items. The spans of a document are as many as its leaked sentences.
+    """
+    spans = leaked.select("doc_id", "item_id", F.explode(F.arrays_zip("word_from", "word_to")).alias("s")).groupBy("doc_id").agg(
+        F.array_sort(F.collect_set("item_id")).alias("items"), F.array_sort(F.collect_set(F.struct(F.col("s.word_from").alias("a"), F.col("s.word_to").alias("b")))).alias("spans")
+    )
+
+    def cut(batches):
+        for batch in batches:
+            rows = []
+            for doc, text, items, found in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "items", "spans"))):
+                if not found or not text:
+                    rows.append((doc, text, items or [], len(tokens(text)), 0))
+                    continue
+                words = len(token_places(text))
+                gone = len(set().union(*(range(x["a"], min(x["b"], words)) for x in found)))
+                rows.append((doc, None if gone > most * words else without_spans(text, [(x["a"], x["b"]) for x in found]), items, words, gone))
+            cols = list(zip(*rows)) or [()] * 5
+            types = (pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["doc_id", "text", "items", "words", "words_removed"])
+
+    whole = documents.where("doc_id is not null").select("doc_id", "text").join(spans, "doc_id", "left").select("doc_id", "text", "items", "spans")
+    return whole.mapInArrow(cut, "doc_id bigint, text string, items array<bigint>, words bigint, words_removed bigint")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     hits = passage_hits(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "eval_items", "item_id", "passage"))
     return leaks(hits).select("doc_id", "item_id").distinct()
+
+
+def p7_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that gave items away, less the passages: words before, words removed, what is left as a digest (null: left out whole)."""
+    documents = read(spark, sf_dir, "documents", "doc_id", "text")
+    leaked = leaks(passage_hits(documents, read(spark, sf_dir, "eval_items", "item_id", "passage")))
+    clean = without_passages(documents, materialize(leaked, "leaks")).where(F.size("items") > 0)
+    return clean.select("doc_id", F.size("items").alias("items"), "words", "words_removed", F.md5(F.col("text").cast("binary")).alias("digest"))

@@ -329,6 +329,42 @@ def test_spans_are_cut_out(leak):
     assert L.tokens(out) == words[:at] + words[at + len(known[0].words) :]
 
 
+@pytest.mark.parametrize("text", ["plain Words here", "so\u00adft hy\u200bphen \u200b next", "\ufb01ne \u0130stanbul Stra\u00dfe e\u0301t\u00e9", "\u2460 x\u00b2", "", " ", "\u03a3\u0391\u03a3 end"])
+def test_token_places_match_the_tokens(text):
+    places = L.token_places(text)
+    assert len(places) == len(L.tokens(text)) and [" ".join(L.tokens(text[a:b])) for a, b in places] == [L.normal(t) for t in L.tokens(text)]
+
+
+def test_a_letter_of_two_tokens_has_one_place():
+    assert L.tokens("\u00bd a") == ["1", "2", "a"] and L.token_places("\u00bd a") == [(0, 1), (0, 1), (2, 3)]
+
+
+def test_removal_keeps_what_is_no_passage(spark, leak):
+    items, docs, want = leak
+    marked = "so\u00adft wo\u200brds \u00e9 before \u200b" + prose_of(90) + " " + items[0][1].replace(" ", "\u00a0") + " " + prose_of(80, 3) + "\u2713 end"
+    rows = [(1, marked), (2, items[1][1]), (3, "nothing to see"), (4, None), (5, "")]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string")
+    e = spark.createDataFrame(items, "item_id bigint, passage string")
+    for limit in (L.BROADCAST_NGRAMS, 10):
+        out = {r.doc_id: r for r in L.without_passages(d, L.leaks(L.passage_hits(d, e, limit))).collect()}
+        assert set(out) == {1, 2, 3, 4, 5} and out[3].text == "nothing to see" and out[4].text is None and out[5].text == "" and out[5]["items"] == []
+        assert out[1]["items"] == [0] and out[1].text.startswith(marked[: marked.index(prose_of(90)) + 200]) and out[1].text.endswith(prose_of(80, 3) + "\u2713 end")
+        assert not set(L.tokens(items[0][1])) & (set(L.tokens(out[1].text)) - set(L.tokens(prose_of(90) + prose_of(80, 3))))
+        assert out[2].text is None and out[2].words_removed == out[2].words - 13  # the stock sentence is nobody's
+
+
+def prose_of(n, seed=2):
+    rnd = random.Random(seed)
+    return " ".join(f"w{rnd.randrange(10**6)}" for _ in range(n))
+
+
+def test_two_short_sentences_are_a_passage(spark):
+    d = spark.createDataFrame([(1, prose_of(9) + ". Aa bb cc dd ee. Ff gg hh ii jj. " + prose_of(9, 4)), (2, "Aa bb cc dd ee. " + prose_of(9))], "doc_id bigint, text string")
+    e = spark.createDataFrame([(7, "Aa bb cc dd ee. Ff gg hh ii jj."), (8, prose_of(50, 8))], "item_id bigint, passage string")
+    for limit in (L.BROADCAST_NGRAMS, 10):
+        assert [(r.doc_id, r.item_id) for r in L.leaks(L.passage_hits(d, e, limit)).collect()] == [(1, 7)]
+
+
 # ---- stuffed pages -----------------------------------------------------------------------------
 
 COMMON = "the of and to a in is that for it with as on be at by this have from or".split()
