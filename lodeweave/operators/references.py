@@ -4,8 +4,12 @@ Every source of references and of records is turned into change deltas: +1 when
 reference is first stored, +1 when a record appears, -1 when it is withdrawn, nothing
 when it is only delivered again. Sums of the deltas per key are the state; a key with
 positive references and zero existence is an orphan. Sums are pre-aggregated before
-the shuffle, so one key with a tenth of the rows is one row a task; the state is
-small and mergeable, and a new batch is its deltas added to it.
+the shuffle, so one key with a tenth of the rows is one row a task.
+
+The state of a key also keeps its last row (time, and whether it withdraws), so the
+deltas of a further batch are taken against what is stored: a record delivered again
+adds nothing, a withdrawal takes its one away, a late row changes only the first time.
+References are counted once, when they are first seen.
 
 Null targets are no reference; null numbers are no record. Repeated rows are one
 reference at their earliest time; a record's rows at the same latest time count as
@@ -57,15 +61,46 @@ def key_state(deltas: DataFrame) -> DataFrame:
     )
 
 
+STATE = "target_key bigint, refs bigint, present bigint, first_row timestamp, last struct<at: timestamp, gone: int>"
+
+
+def batch_deltas(state: DataFrame, new_refs: DataFrame, records: DataFrame, number: str) -> DataFrame:
+    """Signed deltas per key of a batch against the stored state: new references, and rows of records in any order."""
+    gone = F.when(F.col("deleted_at").isNull(), 0).otherwise(1)
+    rows = (
+        records.where(F.col(number).isNotNull())
+        .select(F.col(number).cast("bigint").alias("target_key"), F.struct(F.col("indexed_at").alias("at"), gone.alias("gone")).alias("row"))
+        .groupBy("target_key").agg(F.min("row.at").alias("first_row"), F.max("row").alias("last"))
+    )
+    stored = state.select("target_key", F.col("present").alias("was"), F.col("last").alias("stored"))
+    last = F.greatest("last", "stored")
+    existence = rows.join(stored, "target_key", "left").select(
+        "target_key", F.lit(0).cast("bigint").alias("refs"), (1 - last["gone"] - F.coalesce("was", F.lit(0))).cast("bigint").alias("present"), "first_row", last.alias("last")
+    )
+    nothing = F.lit(None)
+    counted = new_refs.groupBy("target_key").agg(F.count(F.lit(1)).alias("refs")).select(
+        "target_key", "refs", F.lit(0).cast("bigint").alias("present"), nothing.cast("timestamp").alias("first_row"), nothing.cast("struct<at: timestamp, gone: int>").alias("last")
+    )
+    return existence.unionByName(counted)
+
+
 def add_deltas(state: DataFrame, deltas: DataFrame) -> DataFrame:
-    """The state after a further batch of deltas; batches in any split give the same state."""
-    return (
-        state.unionByName(key_state(deltas))
-        .groupBy("target_key")
-        .agg(F.sum("refs").alias("refs"), F.sum("present").alias("present"), F.min("first_row").alias("first_row"), F.max("known").alias("known"))
+    """The state after a batch of deltas: sums of the signed counts, the earliest and the last row."""
+    return state.unionByName(deltas).groupBy("target_key").agg(
+        F.sum("refs").alias("refs"), F.sum("present").alias("present"), F.min("first_row").alias("first_row"), F.max("last").alias("last")
     )
 
 
+def unseen(refs: DataFrame, seen: DataFrame) -> DataFrame:
+    """References of a batch that no batch before it has brought."""
+    return refs.join(seen, ["ref_table", "ref_key", "target_key"], "left_anti")
+
+
+def orphans_of_state(state: DataFrame) -> DataFrame:
+    """Keys with positive references and zero existence: (target_key, refs, reason)."""
+    return state.where("refs > 0 and present = 0").select("target_key", "refs", F.when(F.col("last").isNotNull(), "withdrawn").otherwise("missing").alias("reason"))
+
+
 def orphan_keys(state: DataFrame) -> DataFrame:
     return state.where("refs > 0 and present = 0").select("target_key", "refs", F.when(F.col("known") == 1, "withdrawn").otherwise("missing").alias("reason"))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodeweave.operators import references as R
-from lodeweave.session import read
+from lodeweave.session import materialize, read
 
 
 def _references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -47,6 +47,24 @@ def p1_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.union_all(out)
 
 
+def p1_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current orphan keys from the maintained counts: the tables are folded in month by month, in order of storing."""
+    to_pulls, to_changes = _references(spark, sf_dir)
+    out = []
+    for refs, table, number in ((to_pulls, "pulls", "pr_number"), (to_changes, "changes", "cl_number")):
+        records = read(spark, sf_dir, table, number, "indexed_at", "deleted_at")
+        month = lambda c: F.coalesce(F.date_format(c, "yyyy-MM"), F.lit(""))
+        refs, records = refs.withColumn("month", month("first_at")), records.withColumn("month", month("indexed_at"))
+        months = sorted(r[0] for r in refs.select("month").union(records.select("month")).distinct().collect())  # as many as the calendar has
+        state = spark.createDataFrame([], R.STATE)
+        for one in months:
+            # references come once each here; a feed that repeats them asks unseen() first
+            deltas = R.batch_deltas(state, refs.where(F.col("month") == one), records.where(F.col("month") == one), number)
+            state = materialize(R.add_deltas(state, deltas), "keys")
+        out.append(R.orphans_of_state(state).withColumn("record_table", F.lit(table)))
+    return R.union_all(out)
+
+
 _REFS = """
 with refs as (
   select 'commits' as ref_table, coalesce(sha, '') as ref_key, pr_number as target_key, min(indexed_at) as first_at
@@ -75,11 +93,11 @@ with refs as (
 )
 """
 
-QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_keys": p1_keys}
+QUERIES = {"p1_found": p1_found, "p1_report": p1_report, "p1_keys": p1_keys, "p1_folded": p1_folded}
 SQL = {
     "p1_found": _REFS + "select ref_table, ref_key, target_key from found where reason is not null",
     "p1_report": _REFS
     + """select ref_table, strftime(first_at, '%Y-%m') as month, reason, count(*) as "references", count(distinct target_key) as targets
 from found where reason is not null group by 1, 2, 3""",
-    "p1_keys": _REFS + "select target_key, count(*) as refs, reason, record_table from found where reason in ('missing', 'withdrawn') group by 1, 3, 4",
+    **dict.fromkeys(("p1_keys", "p1_folded"), _REFS + "select target_key, count(*) as refs, reason, record_table from found where reason in ('missing', 'withdrawn') group by 1, 3, 4"),
 }

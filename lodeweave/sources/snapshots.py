@@ -1,43 +1,46 @@
-"""Snapshot store: a table is a folder of snapshots and a pointer; a write is a new folder and a swap of the pointer."""
+"""Keyed tables that batches are merged into, and sinks of samples."""
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
+from lodeweave.session import materialize
 
-class SnapshotStore:
-    """Tables under a folder that all executors share. Readers see the last committed snapshot or none."""
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.removeprefix("file://")
+class KeyedTable:
+    """A Parquet folder partitioned by the hash of its key; a merge rewrites the partitions that a batch touches and no others.
 
-    def _pointer(self, table: str) -> str:
-        return f"{self.root}/{table}/CURRENT"
+    A merge must give the same when it is run again on its own result, for a batch may be delivered twice.
+    """
 
-    def state(self, table: str) -> dict:
-        try:
-            with open(self._pointer(table)) as file:
-                return json.load(file)
-        except FileNotFoundError:
-            return {}
+    def __init__(self, spark: SparkSession, path: str, key: str | list[str], schema: str | StructType, buckets: int = 64):
+        self.spark, self.path, self.buckets = spark, path, buckets
+        self.keys = [key] if isinstance(key, str) else key
+        self.schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
-    def read(self, table: str) -> DataFrame | None:
-        state = self.state(table)
-        return self.spark.read.parquet(f"file://{self.root}/{table}/{state['snapshot']}") if state else None
+    def _bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_bucket", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
 
-    def write(self, table: str, df: DataFrame, **state) -> None:
-        """Writes a whole snapshot, then points to it: a failure before the swap leaves the old one current."""
-        name = uuid.uuid4().hex
-        df.write.option("compression", "zstd").parquet(f"file://{self.root}/{table}/{name}")
-        os.makedirs(f"{self.root}/{table}", exist_ok=True)
-        spare = f"{self._pointer(table)}.{name}"
-        with open(spare, "w") as file:
-            json.dump({"snapshot": name, **state}, file)
-        os.replace(spare, self._pointer(table))
+    def _stored(self) -> DataFrame:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).exists(path):
+            return self._bucketed(self.spark.createDataFrame([], self.schema))
+        return self.spark.read.schema(StructType([*self.schema.fields]).add("_bucket", "integer")).parquet(self.path)
+
+    def read(self) -> DataFrame:
+        return self._stored().drop("_bucket")
+
+    def merge(self, batch: DataFrame, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """combine(stored rows of the touched partitions, batch) -> the rows that stand there afterwards."""
+        touched = [r[0] for r in self._bucketed(batch).select("_bucket").distinct().collect()]  # at most so many as buckets
+        if not touched:
+            return
+        stored = self._stored().where(F.col("_bucket").isin(touched)).drop("_bucket")
+        after = materialize(combine(stored, batch).select(*self.schema.fieldNames()), "merged")  # a folder is not read while it is written
+        self._bucketed(after).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_bucket").parquet(self.path)
 
 
 def write_samples(samples: DataFrame, path: str) -> None:

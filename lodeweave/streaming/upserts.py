@@ -1,12 +1,15 @@
-"""Incremental indexing: bounded streams that fold new rows into snapshots, once each."""
+"""Incremental indexing: bounded streams that fold new rows into keyed tables, once each."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodeweave.operators import references as R
+from lodeweave.operators.history import upsert_links
 from lodeweave.operators.linking import current
-from lodeweave.sources.snapshots import SnapshotStore
+from lodeweave.sources.snapshots import KeyedTable
 
 
 def run_available(stream: DataFrame, checkpoint: str, each) -> None:
@@ -19,31 +22,53 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
 
 
-def upsert_newest(store: SnapshotStore, table: str, key: str, *tie: str):
-    """Batch function: the newest row per key of stored and new rows is the next snapshot.
+def upsert_newest(table: KeyedTable, key: str, *tie: str, time: str = "indexed_at"):
+    """Batch function: the newest row per key of stored and new rows stays. A batch delivered again changes nothing; late rows lose."""
+    return lambda batch, number: table.merge(batch, lambda stored, new: current(stored.unionByName(new), key, *tie, time=time))
 
-    The batch number is kept with the snapshot, so a batch that is delivered again changes nothing;
-    late rows lose to newer stored ones.
-    """
 
-    def each(batch: DataFrame, number: int) -> None:
-        if store.state(table).get("batch", -1) >= number:
-            return
-        stored = store.read(table)
-        both = batch if stored is None else stored.unionByName(batch)
-        mark = batch.agg(F.max("indexed_at")).first()[0]
-        store.write(table, current(both, key, *tie), batch=number, watermark=str(mark))
+def watermark_of(table: KeyedTable, time: str = "indexed_at"):
+    """The time up to which a table is filled: the greatest of all batches, so a late batch never moves it back; null before the first."""
+    return table.read().agg(F.max(time)).first()[0]
+
+
+def upgrade_links(table: KeyedTable):
+    """Batch function over links: a pair keeps its strongest confidence, and a late link of a better source takes a weaker one's place."""
+    return lambda batch, number: table.merge(batch, upsert_links)
 
-    return each
 
+def replace_children(table: KeyedTable, parent: str, version: str = "indexed_at"):
+    """Batch function over the parts of whole records: the parts of the newest version of a parent replace all its older ones."""
 
-def fold_references(store: SnapshotStore, table: str):
-    """Batch function over (target_key, refs, present, at) deltas: the signed counts per key are the snapshot."""
+    def combine(stored: DataFrame, new: DataFrame) -> DataFrame:
+        both = stored.unionByName(new)
+        newest = both.groupBy(parent).agg(F.max(version).alias("_newest"))
+        return both.join(newest, parent).where(F.col(version).eqNullSafe(F.col("_newest"))).drop("_newest").distinct()
+
+    return lambda batch, number: table.merge(batch, combine)
+
+
+def fold_references(keys: KeyedTable, seen: KeyedTable, number_column: str, kinds: Callable[[DataFrame], tuple[DataFrame, DataFrame]]):
+    """Batch function: kinds(batch) -> (references, rows of records); keys holds the signed counts, seen the references counted.
+
+    A row of keys remembers the batch that last changed it and a reference the batch that brought it, so a batch that was
+    interrupted between the two writes, or is delivered again, is counted once.
+    """
 
     def each(batch: DataFrame, number: int) -> None:
-        if store.state(table).get("batch", -1) >= number:
-            return
-        state = store.read(table)
-        store.write(table, R.key_state(batch) if state is None else R.add_deltas(state, batch), batch=number)
+        refs, records = kinds(batch)
+        before = seen.read().where(F.col("batch") < number)
+        fresh = R.unseen(refs, before.select("ref_table", "ref_key", "target_key"))
+        state = keys.read()
+        deltas = R.batch_deltas(state.drop("batch"), fresh, records, number_column)
+        done = state.where(F.col("batch") >= number).select("target_key")
+
+        def add(stored: DataFrame, new: DataFrame) -> DataFrame:
+            touched = new.select("target_key").distinct().withColumn("batch_now", F.lit(number))
+            marks = stored.select("target_key", "batch").join(touched, "target_key", "full").select("target_key", F.greatest("batch", "batch_now").alias("batch"))
+            return R.add_deltas(stored.drop("batch"), new).join(marks, "target_key")
+
+        keys.merge(deltas.join(done, "target_key", "left_anti"), add)
+        seen.merge(fresh.withColumn("batch", F.lit(number)), lambda stored, new: stored.unionByName(new).groupBy("ref_table", "ref_key", "target_key").agg(F.min("first_at").alias("first_at"), F.min("batch").alias("batch")))
 
     return each

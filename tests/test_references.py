@@ -37,10 +37,29 @@ def test_empty_and_null_times(spark):
     assert found(spark, [("a", 1, None, None)], []) == {("a", 1): "missing"}
 
 
-def test_batches_give_the_same_state(spark):
-    rows = [(k % 5, 1 if k % 3 else 0, 0 if k % 3 else 1, T[k]) for k in range(15)]
-    deltas = spark.createDataFrame(rows, "target_key bigint, refs int, present int, at timestamp")
-    whole = sorted(map(tuple, R.key_state(deltas).collect()))
-    for cut in (1, 7, 14):
-        a, b = deltas.where(F.col("at") < T[cut]), deltas.where(F.col("at") >= T[cut])
-        assert sorted(map(tuple, R.add_deltas(R.key_state(a), b).collect())) == whole
+def fold(spark, batches):
+    state, seen = spark.createDataFrame([], R.STATE), None
+    for refs, records in batches:
+        r = R.references(spark.createDataFrame(refs, REF), "t", F.col("k"), "number", "indexed_at")
+        fresh = r if seen is None else R.unseen(r, seen)
+        state = R.add_deltas(state, R.batch_deltas(state, fresh, spark.createDataFrame(records, REC), "number"))
+        seen = r if seen is None else seen.unionByName(fresh)
+    return {r.target_key: (r.refs, r.present, r.reason) for r in R.orphans_of_state(state).select("target_key", "refs", F.lit(0).alias("present"), "reason").collect()}
+
+
+def test_raw_batches_equal_one_pass(spark):
+    refs = [("a", k % 4, T[k], None) for k in range(12)]
+    records = [(0, T[1], None, None), (0, T[8], T[8], None), (1, T[2], None, None), (1, T[5], T[5], None), (1, T[9], None, None), (2, T[3], T[3], None), (1, T[2], None, None)]
+    whole = fold(spark, [(refs, records)])
+    assert {k: v[2] for k, v in whole.items()} == {0: "withdrawn", 2: "withdrawn", 3: "missing"}
+    for cut in (1, 4, 8, 11):
+        early, late = ([x for x in refs if (x[2] < T[cut]) == side] for side in (True, False))
+        before, after = ([x for x in records if (x[1] < T[cut]) == side] for side in (True, False))
+        assert fold(spark, [(early, before), (late, after)]) == whole
+        assert fold(spark, [(late, after), (early, before)]) == whole  # late batches
+        assert fold(spark, [(early, before), (early, before), (late, after), (late, before)]) == whole  # delivered again
+
+
+def test_a_withdrawal_in_a_later_batch_makes_an_orphan(spark):
+    assert fold(spark, [([("a", 1, T[2], None)], [(1, T[1], None, None)]), ([], [(1, T[3], T[3], None)])]) == {1: (1, 0, "withdrawn")}
+    assert fold(spark, [([("a", 1, T[2], None)], [(1, T[1], None, None)]), ([], [(1, T[3], T[3], None)]), ([], [(1, T[4], None, None)])]) == {}

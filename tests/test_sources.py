@@ -86,17 +86,17 @@ def test_sweeps_reports_logs_and_monitor(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("0", "71", "5"), ("1", "", "")]
 
 
-def test_snapshots_are_atomic(spark, tmp_path):
-    store = snapshots.SnapshotStore(spark, str(tmp_path))
-    assert store.read("t") is None
-    store.write("t", spark.range(3), batch=1)
+def test_a_failed_merge_leaves_the_table(spark, tmp_path):
+    table = snapshots.KeyedTable(spark, f"{tmp_path}/t", "id", "id bigint", 4)
+    assert table.read().count() == 0
+    table.merge(spark.range(3), lambda stored, new: stored.union(new).distinct())
 
     def fail(x):
         raise RuntimeError("no")
 
     with pytest.raises(Exception):
-        store.write("t", spark.range(9).select(F.udf(fail, "int")("id").alias("id")), batch=2)
-    assert store.read("t").count() == 3 and store.state("t")["batch"] == 1
+        table.merge(spark.range(9).select(F.udf(fail, "bigint")("id").alias("id")), lambda stored, new: stored.union(new))
+    assert sorted(r.id for r in table.read().collect()) == [0, 1, 2]
 
 
 def test_sample_sink_and_text_source(spark, tmp_path):
