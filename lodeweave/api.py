@@ -28,7 +28,7 @@ def check(query: str, k: int, confidence: float = 0.0) -> None:
 def hybrid(docs: DataFrame, id_col: str, text, queries: DataFrame, k: int, mode: str = "and_or") -> DataFrame:
     """queries(query bigint, text) -> (query, doc, score, rank): nearest hashed vectors and BM25, fused."""
     near = R.nearest(hashing_vectors(queries, "query", F.col("text")), hashing_vectors(docs, id_col, text), CANDIDATES)
-    lexical = R.bm25(R.postings(docs, id_col, text), R.corpus_of(docs, text), R.query_terms(queries, "query", F.col("text")), CANDIDATES, mode)
+    lexical = R.bm25(docs, id_col, text, R.query_terms(queries, "query", F.col("text")), CANDIDATES, mode)
     return R.fuse([near, lexical], k)
 
 

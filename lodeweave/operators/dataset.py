@@ -91,12 +91,19 @@ def diff_instructions(commits: DataFrame, subject: tuple[int, int] = (12, 200),
 def quota(rows: DataFrame, group: str, key: str, shares: dict[str, float]) -> DataFrame:
     """Hash-ordered sample of each group up to its share of the largest total all groups allow.
 
-    A row is kept when its hash rank within the group is within the group's quota; the same rows are kept on every run.
+    A row is kept when its hash rank within the group is within the group's quota; the same rows are kept on every run. The
+    hashes are counted in 4096 ranges, whole ranges below the quota are kept, and only the range at its edge is put in order.
     """
-    counts = rows.where(F.col(group).isin(list(shares))).groupBy(group).agg(F.count(F.lit(1)).alias("have"))
-    have = {r[group]: r["have"] for r in counts.collect()}  # one row a share
+    known = rows.where(F.col(group).isin(list(shares))).withColumn("_h", F.sha2(F.col(key).cast("string"), 256))
+    known = known.withColumn("_range", F.substring("_h", 1, 3))
+    counts = known.groupBy(group, "_range").agg(F.count(F.lit(1)).alias("_here"))
+    have = {r[group]: r["have"] for r in counts.groupBy(group).agg(F.sum("_here").alias("have")).collect()}  # one row a share
     total = min((int(have.get(k, 0) / v) for k, v in shares.items() if v > 0), default=0)
     share = F.create_map(*[x for k, v in shares.items() for x in (F.lit(k), F.lit(int(total * v)))])
-    ranked = rows.where(F.col(group).isin(list(shares))).withColumn("_h", F.sha2(F.col(key).cast("string"), 256))
-    ranked = ranked.withColumn("_rank", F.row_number().over(Window.partitionBy(group).orderBy("_h", key)))
-    return ranked.where(F.col("_rank") <= share[F.col(group)]).drop("_h", "_rank")
+    upto = F.sum("_here").over(Window.partitionBy(group).orderBy("_range"))
+    ranges = counts.withColumn("_left", share[F.col(group)] - (upto - F.col("_here"))).where(F.col("_left") > 0)
+    placed = known.join(ranges, [group, "_range"])
+    whole = placed.where(F.col("_left") >= F.col("_here"))
+    edge = placed.where(F.col("_left") < F.col("_here"))
+    ranked = edge.withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_range").orderBy("_h", key))).where(F.col("_rank") <= F.col("_left"))
+    return whole.select(*rows.columns).unionByName(ranked.select(*rows.columns))

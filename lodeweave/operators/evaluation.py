@@ -41,15 +41,46 @@ def lift(scores: DataFrame, group: str, value: str, baseline: str, threshold: fl
 
 
 def diversity(texts: DataFrame, group: str, words: Column) -> DataFrame:
-    """Share of distinct word pairs and entropy of the words in bits, per group."""
-    w = texts.select(group, words.alias("w")).where(F.size("w") > 1)
-    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.concat(F.get("w", i - 1), F.lit(" "), F.get("w", i)))
-    counted = w.select(group, F.explode(pairs).alias("p")).groupBy(group, "p").agg(F.count(F.lit(1)).alias("n"))
-    ratio = counted.groupBy(group).agg(F.round(F.count(F.lit(1)) / F.sum("n"), 6).alias("distinct_pairs"))
-    single = w.select(group, F.explode("w").alias("t")).groupBy(group, "t").agg(F.count(F.lit(1)).alias("n"))
-    total = single.groupBy(group).agg(F.sum("n").alias("total"), F.sum(F.col("n") * F.log2("n")).alias("s"))
-    entropy = total.select(group, F.round(F.log2("total") - F.col("s") / F.col("total"), 6).alias("entropy"))
-    return ratio.join(entropy, group)
+    """Share of distinct word pairs and entropy of the words in bits, per group; words and pairs are counted as hashes in one pass."""
+    w = texts.select(group, words.alias("w"))
+    single = F.transform("w", lambda x: F.struct(F.lit(False).alias("pair"), F.xxhash64(x).alias("h")))
+    pairs = F.transform(F.sequence(F.lit(1), F.size("w") - 1), lambda i: F.struct(F.lit(True).alias("pair"), F.xxhash64(F.get("w", i - 1), F.get("w", i)).alias("h")))
+    each = w.select(group, F.explode_outer(F.when(F.size("w") > 1, F.concat(single, pairs))).alias("x")).select(group, "x.*")
+    counted = each.where("h is not null").groupBy(group, "pair", "h").agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    word = lambda c: F.sum(F.when(~F.col("pair"), c))
+    return counted.groupBy(group).agg(
+        F.round(F.count_if("pair") / F.sum(F.when(F.col("pair"), n)), 6).alias("distinct_pairs"),
+        F.round(F.log2(word(n)) - word(n * F.log2(n)) / word(n), 6).alias("entropy"),
+    )
+
+
+def exact_percentiles(rows: DataFrame, group: str, value: str, shares: dict[str, float], parts: int = 256) -> DataFrame:
+    """Interpolated percentiles per group: (group, one column a share); null values do not count.
+
+    Approximate quantiles cut the values of a group into parts; the parts are counted, and only the values of those that hold
+    a wanted rank are put in order, counted by value. No buffer holds a group.
+    """
+    known = rows.where(F.col(value).isNotNull()).select(F.col(group).alias("g"), F.col(value).alias("v"))
+    edges = known.groupBy("g").agg(F.percentile_approx("v", F.array(*[F.lit(i / parts) for i in range(1, parts)]), 10 * parts).alias("edges"), F.count(F.lit(1)).alias("n"))
+    # an edge list a group; a value's part is the number of edges below it
+    part = F.size(F.filter("edges", lambda e: e < F.col("v")))
+    placed = known.join(edges, "g").select("g", "v", "n", part.alias("part"))
+    counts = placed.groupBy("g", "part").agg(F.count(F.lit(1)).alias("here"), F.max("n").alias("n"))
+    before = F.sum("here").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    ranks = F.array(*[f(F.lit(p) * (F.col("n") - 1)).cast("bigint") for p in shares.values() for f in (F.floor, F.ceil)])
+    counts = counts.withColumn("before", F.coalesce(before, F.lit(0))).withColumn("ranks", ranks)
+    wanted = counts.where(F.exists("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("here"))))
+    values = placed.join(wanted.select("g", "part", "before", "ranks"), ["g", "part"]).groupBy("g", "part", "v").agg(F.count(F.lit(1)).alias("times"), F.first("before").alias("before"), F.first("n").alias("n"), F.first("ranks").alias("ranks"))
+    last = F.col("before") + F.sum("times").over(Window.partitionBy("g", "part").orderBy("v"))
+    at = values.withColumn("last", last).withColumn("first", F.col("last") - F.col("times"))
+    pick = lambda i: F.max(F.when((F.get("ranks", F.lit(i)) >= F.col("first")) & (F.get("ranks", F.lit(i)) < F.col("last")), F.col("v")))
+    picked = at.groupBy("g").agg(F.max("n").alias("n"), *[pick(i).alias(f"r{i}") for i in range(2 * len(shares))])
+    out = []
+    for i, (name, p) in enumerate(shares.items()):
+        place = F.lit(p) * (F.col("n") - 1)
+        out.append((F.col(f"r{2 * i}") + (F.col(f"r{2 * i + 1}") - F.col(f"r{2 * i}")) * (place - F.floor(place))).alias(name))
+    return picked.select(F.col("g").alias(group), *out)
 
 
 def composition_change(rows: DataFrame, item: Column, time: str, cut: Column) -> DataFrame:

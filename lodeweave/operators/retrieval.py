@@ -9,23 +9,16 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from lodeweave.functions.text import words
+from lodeweave.session import materialize
 
 K1, B = 1.2, 0.75  # fixed values of the ranking formula
 FLOOR_IDF = 1e-6
 
 
-def postings(docs: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """(doc, term, tf, len): one row per document and term."""
-    terms = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), words(F.coalesce(text, F.lit(""))).alias("w"))
-    return (
-        terms.select("doc", F.size("w").alias("len"), F.explode("w").alias("term"))
-        .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
-    )
-
-
 def query_terms(queries: DataFrame, id_col: str, text: Column) -> DataFrame:
     """(query, term, times): repeated words of a query count each."""
     return (
@@ -35,67 +28,149 @@ def query_terms(queries: DataFrame, id_col: str, text: Column) -> DataFrame:
     )
 
 
-def bm25(posts: DataFrame, corpus: DataFrame, terms: DataFrame, k: int, mode: str = "or") -> DataFrame:
-    """(query, doc, score, rank) of the k best documents per query; score is positive, higher is better.
+def wanted_words(docs: DataFrame, id_col: str, text: Column, vocabulary: list[str]) -> DataFrame:
+    """(doc, words, len, lens, rows): the words of the vocabulary in each document; rows of one document are put together.
 
-    corpus(n, total) is one row: documents and words. mode "and" keeps documents with all terms
-    of the query, "or" with any, "and_or" falls back to any where no document has all.
+    A text is cut into words once, and words that no query asks for go before the shuffle.
     """
-    wanted = terms.select("term").distinct()
-    seen = posts.join(wanted, "term", "left_semi")
-    df = seen.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    size = corpus.first()  # one row of two numbers
-    n, mean = F.lit(size["n"]), F.lit((size["total"] or 0) / max(1, size["n"]))
-    idf = F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = df.select("term", F.when(idf > 0, idf).otherwise(FLOOR_IDF).alias("idf"))
-    part = F.col("times") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("len") / mean))
-    scored = (
-        seen.join(weights, "term").join(terms, "term")
-        .groupBy("query", "doc").agg(F.round(F.sum(part), 9).alias("score"), F.count(F.lit(1)).alias("hits"))
+    cut = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc"), words(F.coalesce(text, F.lit(""))).alias("w"))
+    kept = cut.select("doc", F.size("w").alias("len"), F.filter("w", lambda x: x.isin(vocabulary)).alias("w"))
+    return kept.groupBy("doc").agg(
+        F.flatten(F.collect_list("w")).alias("words"), F.first("len").alias("len"), F.sum("len").alias("lens"), F.count(F.lit(1)).alias("rows")
     )
-    if mode != "or":
-        need = terms.groupBy("query").agg(F.count(F.lit(1)).alias("need"))
-        scored = scored.join(need, "query")
-        if mode == "and":
-            scored = scored.where("hits = need")
-        else:
-            full = F.max(F.when(F.col("hits") == F.col("need"), 1).otherwise(0)).over(Window.partitionBy("query"))
-            scored = scored.withColumn("full", full).where("full = 0 or hits = need")
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "doc")
-    return scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "doc", "score", "rank")
 
 
-def corpus_of(docs: DataFrame, text: Column) -> DataFrame:
-    return docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(words(F.coalesce(text, F.lit(""))))).alias("total"))
+SLAB = 1024  # documents whose weights a task multiplies at a time
+
+
+def _score_batches(names: list, vocabulary: dict[str, int], idf: np.ndarray, times: np.ndarray, mean: float, k: int, mode: str):
+    """mapInArrow body over (doc, words, len): (query, doc, score, complete) that can be among the k best of a query."""
+    asked, labels, size = (times > 0).astype(np.float64), pa.array(names), len(vocabulary)
+    need = asked.sum(0)
+    ahead = 1e9  # by which a complete document beats all others
+
+    def run(batches):
+        best = np.full((k, len(names)), -np.inf)  # the k best so far of each query, in rising order
+        for batch in (x.slice(at, SLAB) for x in batches for at in range(0, x.num_rows, SLAB)):
+            found = batch.column("words")
+            codes = pc.dictionary_encode(found.flatten())
+            term = np.array([vocabulary[t] for t in codes.dictionary.to_pylist()], dtype=np.int64)[codes.indices.to_numpy()]
+            row = np.repeat(np.arange(batch.num_rows), np.diff(found.offsets.to_numpy()))
+            tf = np.bincount(row * size + term, minlength=batch.num_rows * size).reshape(batch.num_rows, size).astype(np.float64)
+            length = batch.column("len").to_numpy(zero_copy_only=False).astype(np.float64)
+            w = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[:, None] / mean))
+            score, hits = (w @ times).round(9), (tf > 0) @ asked
+            complete = hits == need
+            value = np.where(complete if mode == "and" else hits > 0, score + ahead * (complete if mode == "and_or" else 0), -np.inf)
+            best = np.sort(np.concatenate([best, value]), axis=0)[-k:]
+            row, query = np.nonzero((value >= best[0]) & np.isfinite(value))
+            yield pa.RecordBatch.from_arrays(
+                [labels.take(pa.array(query)), batch.column("doc").take(pa.array(row)), pa.array(score[row, query]), pa.array(complete[row, query])], names=["query", "doc", "score", "complete"]
+            )
+
+    return run
+
+
+def bm25(docs: DataFrame, id_col: str, text: Column, terms: DataFrame, k: int, mode: str = "or", carried: int = 1 << 22) -> DataFrame:
+    """(query, doc, score, rank) of the k best documents per query; score is positive, higher is better.
+
+    terms(query, term, times). mode "and" keeps documents with all terms of the query, "or" with any, "and_or" falls back to
+    any where no document has all. Queries go to every task in blocks of at most `carried` cells of terms by queries (32 MB);
+    a task multiplies the weights of its documents with them and passes on what can be among the k best, so no row is made
+    for each query and document. The words that a block asks for are written once and give the frequencies as well.
+    """
+    kind = "string" if dict(terms.dtypes)["query"] == "string" else "bigint"
+    size = terms.agg(F.countDistinct("query").alias("queries"), F.countDistinct("term").alias("terms")).first()
+    blocks = max(1, -(-size["queries"] * size["terms"] // carried))
+    scored = None
+    for block in range(blocks):
+        rows = (terms if blocks == 1 else terms.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block)).collect()  # one block
+        names = sorted({r["query"] for r in rows})
+        vocabulary = {t: i for i, t in enumerate(sorted({r["term"] for r in rows}))}
+        times, place = np.zeros((len(vocabulary), len(names))), {q: i for i, q in enumerate(names)}
+        for r in rows:
+            times[vocabulary[r["term"]], place[r["query"]]] = r["times"]
+        if not names:
+            continue
+        found = materialize(wanted_words(docs, id_col, text, list(vocabulary)), "words")
+        corpus = found.agg(F.sum("rows").alias("n"), F.sum("lens").alias("total")).first()
+        n, df = corpus["n"] or 0, np.zeros(len(vocabulary))
+        for r in found.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count().collect():  # the vocabulary
+            df[vocabulary[r["term"]]] = r["count"]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            idf = np.log((n - df + 0.5) / (df + 0.5))
+        idf = np.where(idf > 0, idf, FLOOR_IDF)
+        part = found.select("doc", "words", "len").mapInArrow(
+            _score_batches(names, vocabulary, idf, times, max((corpus["total"] or 0) / max(1, n), 1e-9), k, mode), f"query {kind}, doc {dict(found.dtypes)['doc']}, score double, complete boolean"
+        )
+        scored = part if scored is None else scored.unionByName(part)
+    if scored is None:
+        return docs.limit(0).select(F.lit(None).cast(kind).alias("query"), F.col(id_col).alias("doc"), F.lit(0.0).alias("score"), F.lit(0).alias("rank"))
+    first = [F.desc("complete")] if mode == "and_or" else []
+    order = Window.partitionBy("query").orderBy(*first, F.desc("score"), "doc")
+    top = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    if mode == "and_or":  # complete documents come first, and they are all there is where one is complete
+        top = top.withColumn("best", F.first("complete").over(Window.partitionBy("query").orderBy("rank"))).where("complete or not best")
+    return top.select("query", "doc", "score", "rank")
+
+
+def _topk(qid: np.ndarray, q: np.ndarray, bid: np.ndarray, b: np.ndarray, k: int):
+    """The k nearest rows of b for every row of q: (query, doc, distance) arrays, ties to the smaller id."""
+    d = np.sqrt(np.maximum(0, (q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (q @ b.T))).round(6)
+    order = np.lexsort((np.broadcast_to(bid, d.shape), d), axis=1)[:, :k]
+    rows = np.repeat(np.arange(len(qid)), order.shape[1])
+    return qid[rows], bid[order.ravel()], d[rows, order.ravel()]
+
+
+def _scan_topk(qid: np.ndarray, q: np.ndarray, k: int):
+    """mapInArrow body over base(id, v): keeps the k nearest of each query over all batches of a task."""
+
+    def run(batches):
+        best = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
+        for batch in batches:
+            if not batch.num_rows or not len(qid):
+                continue
+            bid = batch.column(0).to_numpy(zero_copy_only=False)
+            b = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1).astype(np.float64)
+            found = [np.concatenate(x) for x in zip(best, _topk(qid, q, bid, b, k))]
+            order = np.lexsort((found[1], found[2], found[0]))
+            query, doc, distance = (x[order] for x in found)
+            first = np.concatenate(([True], query[1:] != query[:-1]))
+            place = np.arange(len(query)) - np.maximum.accumulate(np.where(first, np.arange(len(query)), 0))
+            best = tuple(x[place < k] for x in (query, doc, distance))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in best], names=["query", "doc", "distance"])
+
+    return run
 
 
 def _block_topk(k: int):
     def run(queries: pa.Table, base: pa.Table) -> pa.Table:
-        empty = pa.table({"query": pa.array([], pa.int64()), "doc": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
         if not queries.num_rows or not base.num_rows:
-            return empty
-        q = np.stack(queries.column("v").to_numpy(zero_copy_only=False)).astype(np.float64)
-        b = np.stack(base.column("v").to_numpy(zero_copy_only=False)).astype(np.float64)
-        qid, bid = queries.column("id").to_numpy(), base.column("id").to_numpy()
-        d = np.sqrt(np.maximum(0, (q * q).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * (q @ b.T))).round(6)
-        order = np.lexsort((np.broadcast_to(bid, d.shape), d), axis=1)[:, :k]
-        rows = np.repeat(np.arange(len(qid)), order.shape[1])
-        cols = order.ravel()
-        return pa.table({"query": pa.array(qid[rows]), "doc": pa.array(bid[cols]), "distance": pa.array(d[rows, cols])})
+            return pa.table({"query": pa.array([], pa.int64()), "doc": pa.array([], pa.int64()), "distance": pa.array([], pa.float64())})
+        q, b = (np.stack(t.column("v").to_numpy(zero_copy_only=False)).astype(np.float64) for t in (queries, base))
+        found = _topk(queries.column("id").to_numpy(), q, base.column("id").to_numpy(), b, k)
+        return pa.table(dict(zip(("query", "doc", "distance"), map(pa.array, found))))
 
     return run
 
 
-def nearest(queries: DataFrame, base: DataFrame, k: int, query_block: int = 1024, base_block: int = 65536) -> DataFrame:
-    """Exact k nearest (query, doc, distance, rank) by L2; queries(id, v) against base(id, v), block by block.
+def nearest(queries: DataFrame, base: DataFrame, k: int, query_block: int = 1024, base_block: int = 65536, carried: int = 1 << 22) -> DataFrame:
+    """Exact k nearest (query, doc, distance, rank) by L2; queries(id, v) against base(id, v).
 
-    Both sides are cut into blocks by hash; a task holds one block of each and keeps k rows a query.
+    The base stays where it is: up to `carried` numbers of query vectors (32 MB) are handed to every task, which scans its
+    part once and keeps k rows a query. More queries than that are met block by block through a shuffle; the rows are the same.
     """
     queries, base = queries.where("id is not null and v is not null"), base.where("id is not null and v is not null")
-    nq, nb = (max(1, -(-df.count() // size)) for df, size in ((queries, query_block), (base, base_block)))
-    q = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
-    b = base.withColumn("bb", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
-    best = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInArrow(_block_topk(k), "query bigint, doc bigint, distance double")
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.size("v")), F.lit(0)).alias("numbers")).first()
+    if size["numbers"] <= carried:
+        rows = queries.select("id", "v").collect()  # bounded by the check above
+        q = np.array([r["v"] for r in rows], dtype=np.float64)
+        best = base.select("id", "v").mapInArrow(_scan_topk(np.array([r["id"] for r in rows], dtype=np.int64), q, k), "query bigint, doc bigint, distance double")
+    else:
+        nq, nb = max(1, -(-size["n"] // query_block)), max(1, -(-base.count() // base_block))
+        q = queries.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(nq)).cast("int")).withColumn("bb", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+        b = base.withColumn("bb", F.pmod(F.xxhash64("id"), F.lit(nb)).cast("int")).withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(nq - 1))))
+        best = q.groupBy("qb", "bb").cogroup(b.groupBy("qb", "bb")).applyInArrow(_block_topk(k), "query bigint, doc bigint, distance double")
     order = Window.partitionBy("query").orderBy("distance", "doc")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 

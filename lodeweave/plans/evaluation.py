@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from lodeweave.functions import text as T
 from lodeweave.operators import evaluation as E, history as H, monitoring as M, retrieval as R
-from lodeweave.session import read
+from lodeweave.session import read, read_spread
 
 
 def _responses(spark, sf_dir) -> DataFrame:
@@ -53,11 +53,12 @@ def ev_perplexity(spark, sf_dir):
 
 
 def ev_percentiles(spark, sf_dir):
-    return read(spark, sf_dir, "events", "event_type", "value").groupBy("event_type").agg(F.round(F.percentile("value", 0.5), 6).alias("p50"), F.round(F.percentile("value", 0.99), 6).alias("p99"))
+    events = read(spark, sf_dir, "events", "event_type", "value")
+    return E.exact_percentiles(events, "event_type", "value", {"p50": 0.5, "p99": 0.99}).select("event_type", F.round("p50", 6).alias("p50"), F.round("p99", 6).alias("p99"))
 
 
 def ev_diversity(spark, sf_dir):
-    docs = read(spark, sf_dir, "documents", "source", "text").where("text is not null")
+    docs = read_spread(spark, sf_dir, "documents", "source", "text").where("text is not null")
     return E.diversity(docs.withColumn("kind", F.split_part("source", F.lit("/"), F.lit(1))), "kind", T.words(F.col("text")))
 
 

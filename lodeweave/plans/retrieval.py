@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from lodeweave.api import Store, hybrid, with_fixes
 from lodeweave.functions import text as T
 from lodeweave.operators import retrieval as R
-from lodeweave.session import read
+from lodeweave.session import read, read_spread
 
 K = 20
 
@@ -17,8 +17,8 @@ def _prompts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bm25(spark, sf_dir, table, id_col, text, k=K, mode="or") -> DataFrame:
-    docs = read(spark, sf_dir, table)
-    return R.bm25(R.postings(docs, id_col, text), R.corpus_of(docs, text), R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")), k, mode)
+    docs = read_spread(spark, sf_dir, table)
+    return R.bm25(docs, id_col, text, R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")), k, mode)
 
 
 def rt_bm25(spark, sf_dir):
@@ -49,8 +49,8 @@ def _hybrid(spark, sf_dir, k=10):
     near = R.nearest(base.where("id % 20 = 0").select("id", "v"), base.select("id", "v"), K)
     # eval_items is a fixed table of 300 rows, so one partition numbers it
     numbered = _prompts(spark, sf_dir).withColumn("query", (F.row_number().over(Window.orderBy("item_id")) - 1) * 20).join(base.select(F.col("id").alias("query")), "query")
-    docs = read(spark, sf_dir, "documents", "doc_id", "text")
-    lexical = R.bm25(R.postings(docs, "doc_id", F.col("text")), R.corpus_of(docs, F.col("text")), R.query_terms(numbered, "query", F.col("prompt")), K)
+    docs = read_spread(spark, sf_dir, "documents", "doc_id", "text")
+    lexical = R.bm25(docs, "doc_id", F.col("text"), R.query_terms(numbered, "query", F.col("prompt")), K)
     return R.fuse([near, lexical], k)
 
 
@@ -62,8 +62,12 @@ def rt_hybrid(spark, sf_dir):
 
 
 def rt_weighted_fusion(spark, sf_dir):
-    """Weighted fusion of two lexical lists: issues by title and by body."""
-    return R.weighted_fusion([(_bm25(spark, sf_dir, "changes", "cl_number", F.col("description")), 0.4), (_bm25(spark, sf_dir, "pulls", "pr_number", F.concat_ws(" ", "title", "body")), 0.6)], 10)
+    """Weighted fusion of two lexical lists over the newest rows: changes by description, pulls by title and body."""
+    terms = R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt"))
+    changes = _current(read(spark, sf_dir, "changes", "cl_number", "description", "indexed_at"), "cl_number", "description")
+    pulls = _current(read(spark, sf_dir, "pulls", "pr_number", "title", "body", "indexed_at"), "pr_number", "title", "body")
+    lists = [(R.bm25(changes, "cl_number", F.col("description"), terms, K), 0.4), (R.bm25(pulls, "pr_number", F.concat_ws(" ", "title", "body"), terms, K), 0.6)]
+    return R.weighted_fusion(lists, 10)
 
 
 def _current(df: DataFrame, key: str, *tie: str) -> DataFrame:
@@ -75,7 +79,7 @@ def rt_similar_issues(spark, sf_dir, k=5, min_confidence=0.8):
     """The k best issues per prompt with their best linked pull: 0.0 where none is linked."""
     issues = _current(read(spark, sf_dir, "issues", "issue_number", "title", "body", "state", "indexed_at", "updated_at"), "issue_number", "updated_at", "state", "title")
     text = F.concat_ws("\n", "title", "body")
-    hits = R.bm25(R.postings(issues, "issue_number", text), R.corpus_of(issues, text), R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")), k)
+    hits = R.bm25(issues, "issue_number", text, R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")), k)
     links = read(spark, sf_dir, "issue_pr_links").where(F.col("confidence") >= min_confidence)
     best = links.withColumn("_r", F.row_number().over(Window.partitionBy("issue_number").orderBy(F.desc("confidence"), "pr_number"))).where("_r = 1").select("issue_number", "pr_number", "confidence")
     meta = issues.select("issue_number", "title", "state", F.substring("body", 1, 500).alias("excerpt")).join(best, "issue_number", "left")
@@ -84,10 +88,10 @@ def rt_similar_issues(spark, sf_dir, k=5, min_confidence=0.8):
 
 def rt_search_commits(spark, sf_dir, k=5):
     """The k best commits per prompt over message and diff, with an excerpt of the diff."""
-    commits = read(spark, sf_dir, "commits", "sha", "message", "diff_text", "indexed_at")
+    commits = read_spread(spark, sf_dir, "commits", "sha", "message", "diff_text", "indexed_at")
     commits = _current(commits, "sha", "message")
     text = F.concat_ws("\n", "message", "diff_text")
-    hits = R.bm25(R.postings(commits, "sha", text), R.corpus_of(commits, text), R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")), k)
+    hits = R.bm25(commits, "sha", text, R.query_terms(_prompts(spark, sf_dir), "item_id", F.col("prompt")), k)
     meta = commits.select("sha", F.substring_index("message", "\n", 1).alias("subject"), F.substring("diff_text", 1, 2000).alias("excerpt"))
     return hits.join(meta, hits.doc == meta.sha).select("query", "rank", "score", "sha", "subject", "excerpt")
 
@@ -183,7 +187,9 @@ from top join cur on doc = cur.issue_number left join best on best.issue_number
 
 def _fusion_sql() -> str:
     one = lambda table, key, text: _bm25_sql(table, key, text, K) + "select query, doc, score from top"
-    return f"""with a as ({one("changes", "cl_number", "coalesce(description, '')")}), b as ({one("pulls", "pr_number", "concat_ws(' ', title, body)")}),
+    return f"""with cc as (select * from changes where cl_number is not null qualify row_number() over (partition by cl_number order by indexed_at desc, description desc nulls last) = 1),
+pp as (select * from pulls where pr_number is not null qualify row_number() over (partition by pr_number order by indexed_at desc, title desc nulls last, body desc nulls last) = 1),
+a as ({one("cc", "cl_number", "coalesce(description, '')")}), b as ({one("pp", "pr_number", "concat_ws(' ', title, body)")}),
 parts as (
   select query, doc, 0.4 * case when hi > lo then (score - lo) / (hi - lo) else 1.0 end as part from (select *, max(score) over (partition by query) as hi, min(score) over (partition by query) as lo from a)
   union all

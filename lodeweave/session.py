@@ -34,10 +34,19 @@ def read(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
+def read_spread(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
+    """The table for work that is heavy a row: dealt to all cores where it lies in fewer pieces than there are cores, else as it is."""
+    df = read(spark, sf_dir, name, *columns)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a folder of our own only where the session names none."""
+    """The shared folder of the cluster; a folder of our own only on a local master where the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -181,9 +181,9 @@ def test_fusion_ties_and_single_lists(spark):
 def test_bm25_prefers_repeated_terms_and_floors_common_ones(spark):
     docs = spark.createDataFrame([(1, "cart crash"), (2, "cart crash crash now"), (3, "cart"), (4, "cart other words"), (5, None)], "id bigint, t string")
     terms = R.query_terms(spark.createDataFrame([(7, "Crash cart"), (8, "zebra"), (9, None)], "q bigint, t string"), "q", F.col("t"))
-    out = R.bm25(R.postings(docs, "id", F.col("t")), R.corpus_of(docs, F.col("t")), terms, 10).orderBy("rank").collect()
+    out = R.bm25(docs, "id", F.col("t"), terms, 10).orderBy("rank").collect()
     assert {r["query"] for r in out} == {7} and {r.doc for r in out[:2]} == {1, 2} and len(out) == 4
-    both = R.bm25(R.postings(docs, "id", F.col("t")), R.corpus_of(docs, F.col("t")), terms, 10, "and")
+    both = R.bm25(docs, "id", F.col("t"), terms, 10, "and")
     assert {r.doc for r in both.collect()} == {1, 2}
 
 
@@ -191,10 +191,12 @@ def test_nearest_in_blocks_equals_brute_force(spark):
     rnd = random.Random(1)
     vs = [(i, [rnd.random() for _ in range(8)]) for i in range(120)]
     df = spark.createDataFrame(vs + [(999, None)], "id bigint, v array<float>")
-    got = {(r["query"], r["rank"]): r.doc for r in R.nearest(df.where("id % 20 = 0"), df, 3, 2, 17).collect()}
-    for q in range(0, 120, 20):
-        best = sorted(range(120), key=lambda j: (round(sum((a - b) ** 2 for a, b in zip(vs[q][1], vs[j][1])) ** 0.5, 5), j))[:3]
-        assert [got[q, k] for k in (1, 2, 3)] == best
+    for carried in (1 << 20, 0):  # queries handed to every task, and met block by block
+        got = {(r["query"], r["rank"]): r.doc for r in R.nearest(df.where("id % 20 = 0"), df, 3, 2, 17, carried).collect()}
+        for q in range(0, 120, 20):
+            best = sorted(range(120), key=lambda j: (round(sum((a - b) ** 2 for a, b in zip(vs[q][1], vs[j][1])) ** 0.5, 5), j))[:3]
+            assert [got[q, k] for k in (1, 2, 3)] == best
+        assert R.nearest(df.limit(0), df, 3, 2, 17, carried).count() == 0 == R.nearest(df, df.limit(0), 3, 2, 17, carried).count()
 
 
 def test_unit_norm_is_asserted(spark):
