@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.plans import dataset, evaluation, history, linking, orphans, retrieval
+from lodeweave.plans import citations, dataset, evaluation, history, linking, orphans, retrieval
 
-MODULES = [orphans, retrieval, linking, dataset, history, evaluation]
+MODULES = [orphans, retrieval, linking, citations, dataset, history, evaluation]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -215,3 +215,44 @@ def test_task_scores(spark):
 def test_runs(spark):
     rows = spark.createDataFrame([(1, i, s) for i, s in enumerate("eexeeex")] + [(2, 0, "x")], "u int, t int, s string")
     assert pairs(H.runs(rows, ["u"], F.col("s") == "e", ["t"])) == {(1, 0, 2), (1, 3, 3)}
+
+
+# ---- citations ---------------------------------------------------------------------------------
+
+
+def test_cited_numbers(spark):
+    from lodeweave.operators import citations as C
+
+    texts = [("CL 1234, cl#5678 and changelist 1234; /changes/9999", [1234, 5678, 9999]), ("CL 999 change 123", []), ("submitted as 4321 @p4/7777", [4321, 7777]), (None, []), ("CL 99999999999999999999999", [])]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, t string")
+    got = {r.i: r.n for r in df.select("i", C.cited_numbers(F.col("t"), C.CHANGE_PATTERNS).alias("n")).collect()}
+    assert got == {i: want for i, (_, want) in enumerate(texts)}
+    bugs = spark.createDataFrame([("Fixes bug 1001 and BZ-1002, show_bug.cgi?id=1003 closes 1004 bug #1001",)], "t string").select(C.cited_numbers(F.col("t"), C.BUG_PATTERNS, 1002).alias("n"))
+    assert bugs.first().n == [1002, 1003, 1004]
+
+
+def test_scored_pairs_at_every_threshold_equal_all_pairs(spark):
+    from datetime import datetime as dt, timedelta
+
+    from lodeweave.operators import citations as C
+
+    rnd = random.Random(4)
+    t = dt(2024, 3, 1)
+    bugs = [(1000 + i, rnd.choice(["a", "b", "", None]), rnd.random() < 0.5, t + timedelta(hours=rnd.randrange(-2000, 2000)), rnd.choice(["CL 2003", "change 2005 and CL#2001", None, "nothing"])) for i in range(25)]
+    changes = [(2000 + i, rnd.choice(["a", "b", ""]), t + timedelta(hours=rnd.randrange(-2000, 2000)), rnd.choice(["fixes 1003", "bug 1010, bug 1011", None])) for i in range(20)]
+    b = spark.createDataFrame(bugs, "bug bigint, assigned_to string, fixed boolean, changed timestamp, comments string")
+    c = spark.createDataFrame(changes, "cl bigint, author string, submitted timestamp, description string")
+    import re
+
+    numbers = lambda s: {int(x) for x in re.findall(r"\d{4}", s or "")}
+    for threshold in (0.8, 0.6, 0.3):
+        want = {}
+        for bug, who, fixed, changed, comments in bugs:
+            for cl, author, submitted, description in changes:
+                if abs(submitted - changed) <= timedelta(days=60):
+                    points = 50 * (cl in numbers(comments)) + 50 * (bug in numbers(description)) + 30 * (abs((submitted - changed).days) <= 7) + 20 * (bool(who) and who == author) + 10 * fixed
+                    if min(points, 100) >= threshold * 100:
+                        want[bug, cl] = min(points, 100) / 100
+        got = {(r.bug, r.cl): r.confidence for r in C.scored_pairs(b, c, f"{threshold:.2f}").collect()}
+        assert got == want and want
+    assert C.scored_pairs(b.limit(0), c).count() == 0
