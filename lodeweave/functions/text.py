@@ -51,3 +51,19 @@ def hash_fraction(key: Column) -> Column:
 def hash_int(key: Column, modulus: Column) -> Column:
     """A number from 0 below the modulus, from the first 7 hex digits of SHA-256."""
     return F.pmod(F.conv(F.substring(F.sha2(key, 256), 1, 7), 16, 10).cast("bigint"), modulus)
+
+
+def cut_short(text: Column, limit: int, number: Column | None = None) -> Column:
+    """The text, or its first `limit` characters and a short marker, with the number of the change where one is given."""
+    marker = F.lit("\n... (truncated)") if number is None else F.concat(F.lit("\n... (truncated; CL "), number.cast("string"), F.lit(")"))
+    return F.when(F.length(text) <= limit, text).otherwise(F.concat(F.substring(text, 1, limit), marker))
+
+
+def was_cut(diff: Column, limit: int = 1_000_000) -> Column:
+    """Whether a diff was truncated where it came from: it says so, or it is longer than any that is kept whole."""
+    return F.coalesce(F.contains(diff, F.lit("... truncated")) | (F.length(diff) > limit), F.lit(False))
+
+
+def code_words(text: Column) -> Column:
+    """Lower-cased runs of letters, digits and underlines: an identifier is one word."""
+    return F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))

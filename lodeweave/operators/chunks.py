@@ -71,3 +71,82 @@ def packed(rows: DataFrame, keys: list[str], order: list, text: str, budget: int
     """Rows in rank order while they fit a budget of characters per key, with the running size."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return rows.withColumn("used", F.sum(F.length(F.coalesce(text, F.lit("")))).over(w)).where(F.col("used") <= budget)
+
+
+HUNK_HEADER = r"(?m)(?=^@@ [^@]+ @@)"
+FILE_MARKER = r"(?m)(?=^\+\+\+ b/)"
+
+
+def marker_files(rows: DataFrame, key: str, diff: str) -> DataFrame:
+    """(key, file_index, file_path, block): a block from each line "+++ b/path" to the next; what stands before the first belongs to it."""
+    parts = rows.where(F.length(diff) > 0).select(key, F.split(diff, FILE_MARKER).alias("_p"))
+    lead = F.when(~F.get("_p", F.lit(0)).startswith("+++ b/"), F.get("_p", F.lit(0))).otherwise("")
+    blocks = F.filter("_p", lambda x: x.startswith("+++ b/"))
+    each = parts.select(key, lead.alias("_lead"), F.posexplode(blocks).alias("file_index", "_b"))
+    path = F.rtrim(F.regexp_extract("_b", r"^\+\+\+ b/([^\r\n]*)", 1))
+    return each.select(key, "file_index", path.alias("file_path"), F.when(F.col("file_index") == 0, F.concat("_lead", "_b")).otherwise(F.col("_b")).alias("block"))
+
+
+def marker_hunks(files: DataFrame, key: str) -> DataFrame:
+    """(key, file_index, file_path, hunk_index, hunk): the lines before the first hunk header are hunk 0; a block without headers is whole."""
+    return files.select(key, "file_index", "file_path", F.posexplode(F.split("block", HUNK_HEADER)).alias("hunk_index", "hunk"))
+
+
+def byte_pieces(text: Column, most: int) -> Column:
+    """The text in pieces of at most `most` bytes of UTF-8, no character cut in two; a null text has none."""
+
+    def cut(value):
+        if value is None:
+            return None
+        data, out, at = value.encode("utf-8"), [], 0
+        if len(data) <= most:
+            return [value]
+        while at < len(data):
+            end = min(at + most, len(data))
+            while end < len(data) and end > at + 1 and data[end] & 0xC0 == 0x80:
+                end -= 1
+            if end < len(data) and data[end] & 0xC0 == 0x80:  # one character is longer than a piece may be
+                end = min(at + 4, len(data))
+                while end < len(data) and data[end] & 0xC0 == 0x80:
+                    end -= 1
+            out.append(data[at:end].decode("utf-8", errors="replace"))
+            at = end
+        return out
+
+    return F.udf(cut, "array<string>", useArrow=True)(text)
+
+
+def marker_chunks(rows: DataFrame, key: str, diff: str, most: int = 4000) -> DataFrame:
+    """(key, file_index, file_path, hunk_index, piece, chunk): hunks of marked files, cut where they are too long."""
+    hunks_ = marker_hunks(marker_files(rows, key, diff), key)
+    long = F.octet_length("hunk") > most  # only those go through Python
+    whole = hunks_.where(~long).select(key, "file_index", "file_path", "hunk_index", F.lit(0).alias("piece"), F.col("hunk").alias("chunk"))
+    return whole.unionByName(hunks_.where(long).select(key, "file_index", "file_path", "hunk_index", F.posexplode(byte_pieces(F.col("hunk"), most)).alias("piece", "chunk")))
+
+
+def symbol_windows(rows: DataFrame, key: str, text: str, pattern: str, before: int = 10, after: int = 19) -> DataFrame:
+    """(key, symbol, start_line, end_line, window): the lines around each line that names a symbol, counted from 1."""
+    lines = rows.where(F.length(text) > 0).select(key, F.split(text, "\n").alias("_l"))
+    marked = lines.withColumn("_m", F.transform("_l", lambda x, i: F.struct((i + 1).alias("at"), F.regexp_extract(x, pattern, 1).alias("symbol"))))
+    each = marked.withColumn("_s", F.explode(F.filter("_m", lambda x: x["symbol"] != "")))
+    start = F.greatest(F.lit(1), F.col("_s.at") - before)
+    end = F.least(F.size("_l"), F.col("_s.at") + after)
+    return each.select(key, F.col("_s.symbol").alias("symbol"), start.alias("start_line"), end.alias("end_line"), F.array_join(F.slice("_l", start, end - start + 1), "\n").alias("window"))
+
+
+# fixed values: what makes a line a heading; an underline makes one of the line above it
+HEADINGS = {"atx": r"^#{1,6}[ \t]+(\S.*?)\s*$", "numbered": r"^(\d+(?:\.\d+)*\.?[ \t]+[A-Z]\S.*?)\s*$"}
+UNDERLINE = r"^(?:=|-){3,}\s*$"
+
+
+def headed_lines(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, line_no, line, heading): lines without quote marks, and the heading each stands under, by three kinds of headings."""
+    quoted = F.transform(F.split(text, "\n"), lambda x: F.regexp_replace(x, r"^(?:> ?)+", ""))
+    lines = rows.where(F.length(text) > 0).select(key, quoted.alias("_l")).select(key, "_l", F.posexplode("_l").alias("line_no", "line"))
+    below = F.coalesce(F.get("_l", F.col("line_no") + 1), F.lit(""))
+    mark = F.when(F.col("line").rlike(HEADINGS["atx"]), F.regexp_extract("line", HEADINGS["atx"], 1)).when(
+        F.col("line").rlike(HEADINGS["numbered"]), F.regexp_extract("line", HEADINGS["numbered"], 1)
+    ).when(below.rlike(UNDERLINE) & F.col("line").rlike(r"^\w"), F.trim("line"))
+    w = Window.partitionBy(key).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.select(key, (F.col("line_no") + 1).alias("line_no"), "line", mark.alias("_h"))
+    return marked.withColumn("heading", F.coalesce(F.last("_h", ignorenulls=True).over(w), F.lit(""))).drop("_h")

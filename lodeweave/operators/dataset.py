@@ -107,3 +107,44 @@ def quota(rows: DataFrame, group: str, key: str, shares: dict[str, float]) -> Da
     edge = placed.where(F.col("_left") < F.col("_here"))
     ranked = edge.withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_range").orderBy("_h", key))).where(F.col("_rank") <= F.col("_left"))
     return whole.select(*rows.columns).unionByName(ranked.select(*rows.columns))
+
+
+def chat_pairs(rows: DataFrame, key: str, user: Column, assistant: Column, system: str | None = None) -> DataFrame:
+    """(key, messages): a conversation as a JSON array of roles and contents; rows without either side are left out."""
+    turns = ([("system", F.lit(system))] if system else []) + [("user", user), ("assistant", assistant)]
+    said = F.array(*[F.struct(F.lit(role).alias("role"), content.alias("content")) for role, content in turns])
+    return rows.where((F.length(user) > 0) & (F.length(assistant) > 0)).select(key, F.to_json(said).alias("messages"))
+
+
+def time_split(rows: DataFrame, time: str, key: str, share: float = 0.8) -> DataFrame:
+    """Adds split: the older `share` of the rows is train, the newer eval; rows without a time are train.
+
+    Days are counted and summed up, and only the day at the edge is put in order (by time, then key).
+    """
+    dated = rows.withColumn("_day", F.to_date(time))
+    days = dated.where("_day is not null").groupBy("_day").agg(F.count(F.lit(1)).alias("_here"))
+    upto = F.sum("_here").over(Window.orderBy("_day"))  # one row a day
+    total = F.sum("_here").over(Window.orderBy("_day").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    edge = days.withColumn("_left", F.floor(total * share) - (upto - F.col("_here")))
+    placed = dated.join(edge, "_day", "left")
+    whole = placed.where((F.col("_left") >= F.col("_here")) | (F.col("_left") <= 0) | F.col("_day").isNull())
+    cut = placed.where((F.col("_left") < F.col("_here")) & (F.col("_left") > 0))
+    ranked = cut.withColumn("split", F.when(F.row_number().over(Window.partitionBy("_day").orderBy(time, key)) <= F.col("_left"), "train").otherwise("eval"))
+    return whole.withColumn("split", F.when(F.col("_left") <= 0, "eval").otherwise("train")).select(*rows.columns, "split").unionByName(ranked.select(*rows.columns, "split"))
+
+
+def capped_share(rows: DataFrame, flag: Column, key: str, most: float) -> DataFrame:
+    """All rows without the flag, and in hash order so many with it that they are at most that share of the result."""
+    known = rows.withColumn("_kind", F.when(flag, "capped").otherwise("free"))
+    have = {r["_kind"]: r["count"] for r in known.groupBy("_kind").count().collect()}  # two rows
+    allowed = min(have.get("capped", 0), int(most * have.get("free", 0) / (1 - most))) if most < 1 else have.get("capped", 0)
+    return known.where("_kind = 'free'").select(*rows.columns).unionByName(_first_by_hash(known.where("_kind = 'capped'"), key, allowed).select(*rows.columns))
+
+
+def _first_by_hash(rows: DataFrame, key: str, n: int) -> DataFrame:
+    hashed = rows.withColumn("_h", F.sha2(F.col(key).cast("string"), 256)).withColumn("_range", F.substring("_h", 1, 3))
+    counts = hashed.groupBy("_range").agg(F.count(F.lit(1)).alias("_here"))
+    ranges = counts.withColumn("_left", F.lit(n) - (F.sum("_here").over(Window.orderBy("_range")) - F.col("_here"))).where("_left > 0")  # 4096 rows
+    placed = hashed.join(ranges, "_range")
+    edge = placed.where("_left < _here").withColumn("_rank", F.row_number().over(Window.partitionBy("_range").orderBy("_h", key))).where("_rank <= _left")
+    return placed.where("_left >= _here").select(*rows.columns).unionByName(edge.select(*rows.columns))

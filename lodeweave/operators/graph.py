@@ -49,3 +49,13 @@ def best_paths(edges: DataFrame, sources: DataFrame, depth: int) -> DataFrame:
             break
         seen = seen.unionByName(frontier)
     return seen.where("hops > 0")
+
+
+def exhausted(edges: DataFrame, sources: DataFrame, depth: int) -> DataFrame:
+    """(src, explored, complete): how many nodes lie within the depth, and whether there is none beyond it.
+
+    Where it is complete, the lack of a path to any other node is proved; where it is not, it was only cut off.
+    """
+    beyond = reach(edges, sources, depth + 1)
+    counts = beyond.groupBy("src").agg(F.count_if(F.col("hops") <= depth).alias("explored"), (F.count_if(F.col("hops") > depth) == 0).alias("complete"))
+    return sources.select("src").distinct().join(counts, "src", "left").select("src", F.coalesce("explored", F.lit(0)).alias("explored"), F.coalesce("complete", F.lit(True)).alias("complete"))
