@@ -94,3 +94,40 @@ def composition_change(rows: DataFrame, item: Column, time: str, cut: Column) ->
 def ranked_summary(rows: DataFrame, value: str, key: str) -> DataFrame:
     """Rows in the order of a report: best value first, missing values last, ties by key."""
     return rows.orderBy(F.desc_nulls_last(value), key)
+
+
+def recall_at(hits: DataFrame, relevant: DataFrame, group: str, cuts: tuple[int, ...] = (3, 10)) -> DataFrame:
+    """hits(group, query, rank, relevant), relevant(query, total) -> mean share of the relevant rows among the first k, per group."""
+    found = hits.groupBy(group, "query").agg(*[F.count_if(F.col("relevant") & (F.col("rank") <= k)).alias(f"f{k}") for k in cuts])
+    shares = [F.round(F.avg(F.when(F.col("total") > 0, F.col(f"f{k}") / F.col("total")).otherwise(0.0)), 6).alias(f"recall_{k}") for k in cuts]
+    return found.join(relevant, "query", "left").groupBy(group).agg(F.count(F.lit(1)).alias("queries"), *shares)
+
+
+def answer_quality(answers: DataFrame, cited: DataFrame, known: DataFrame, sets: list[list[str]], *columns: str) -> DataFrame:
+    """Per grouping set: answers, share that cites, precision of what is cited, share that cites something unknown, mean cost.
+
+    answers(answer, cost, columns...), cited(answer, ref), known(ref).
+    """
+    marked = cited.distinct().join(known.distinct().withColumn("_known", F.lit(True)), "ref", "left")
+    per = marked.groupBy("answer").agg(F.count(F.lit(1)).alias("refs"), F.count_if("_known").alias("good"))
+    each = answers.join(per, "answer", "left").na.fill(0, ["refs", "good"])
+    refs, good = F.col("refs"), F.col("good")
+    return each.groupingSets([[F.col(c) for c in s] for s in sets], *columns).agg(
+        F.count(F.lit(1)).alias("answers"), F.round(F.avg((refs > 0).cast("int")), 6).alias("citation_rate"),
+        F.round(F.coalesce(F.sum(good) / F.nullif(F.sum(refs), F.lit(0)), F.lit(0.0)), 6).alias("precision"),
+        F.round(F.avg((good < refs).cast("int")), 6).alias("hallucination_rate"), F.round(F.avg("cost"), 6).alias("mean_cost"),
+    )
+
+
+def fabrication(answers: DataFrame, words: Column, grounds: Column) -> DataFrame:
+    """answers(answer, ...) -> (answer, named, made_up): identifiers of an answer, and those that stand in none of its grounds."""
+    named = F.array_distinct(words)
+    return answers.select("answer", F.size(named).alias("named"), F.size(F.array_except(named, grounds)).alias("made_up"))
+
+
+def promotion(baseline: DataFrame, candidate: DataFrame, group: str, value: str, guarded: list[str], tolerance: float = 0.0) -> DataFrame:
+    """One row: whether a candidate is strictly better in the mean and loses in no guarded group by more than the tolerance."""
+    both = baseline.select(group, F.col(value).alias("old")).join(candidate.select(group, F.col(value).alias("new")), group, "full")
+    lost = F.count_if(F.col(group).isin(guarded) & (F.coalesce("new", F.lit(0.0)) < F.coalesce("old", F.lit(0.0)) - tolerance))
+    out = both.agg(F.round(F.avg("new"), 6).alias("candidate"), F.round(F.avg("old"), 6).alias("baseline"), lost.alias("regressions"))
+    return out.withColumn("promoted", F.coalesce((F.col("candidate") > F.col("baseline")) & (F.col("regressions") == 0), F.lit(False)))

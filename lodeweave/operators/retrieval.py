@@ -206,3 +206,63 @@ def assert_unit(df: DataFrame, column: str, tolerance: float = 0.01) -> DataFram
     norm = F.sqrt(F.aggregate(column, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
     ok = F.assert_true(F.abs(norm - 1) <= tolerance, F.lit(f"{column} is not a unit vector"))
     return df.where(ok.isNull())
+
+
+def recency(score: Column, at: Column, now: Column, years: float = 3.0) -> Column:
+    """A score that fades with age: exp(-age / years); what has no time, or lies ahead, does not fade."""
+    age = F.greatest(F.lit(0.0), (F.unix_micros(now) - F.unix_micros(at)) / F.lit(31_557_600_000_000.0))
+    return score * F.coalesce(F.exp(-age / years), F.lit(1.0))
+
+
+def after_lexical(lexical: DataFrame, dense: DataFrame, k: int, least: float | None = None) -> DataFrame:
+    """Lexical hits first, then dense ones that are not among them: (query, doc, rank, arm); no dense hit beyond the distance `least`."""
+    near = dense if least is None else dense.where(F.col("distance") <= least)
+    both = lexical.select("query", "doc", F.lit(0).alias("arm"), F.col("rank").alias("place")).unionByName(near.select("query", "doc", F.lit(1).alias("arm"), F.col("rank").alias("place")))
+    first = both.groupBy("query", "doc").agg(F.min(F.struct("arm", "place")).alias("s")).select("query", "doc", "s.*")
+    order = Window.partitionBy("query").orderBy("arm", "place", "doc")
+    return first.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query", "doc", "rank", "arm")
+
+
+def folded(words: Column, aliases: dict[str, list[str]]) -> Column:
+    """Words with every alias replaced by the name it stands for, and identifiers of several parts followed by their parts."""
+    names = F.create_map(*[F.lit(x) for name, others in sorted(aliases.items()) for other in sorted(others) for x in (other, name)]) if aliases else None
+    each = F.transform(words, lambda w: F.coalesce(F.get(F.array(F.element_at(names, w)), F.lit(0)), w)) if names is not None else words
+    parts = lambda w: F.filter(F.split(w, "_"), lambda p: p != "")
+    return F.flatten(F.transform(each, lambda w: F.when(F.size(parts(w)) > 1, F.concat(F.array(w), parts(w))).otherwise(F.array(w))))
+
+
+def to_embed(rows: DataFrame, stored: DataFrame, key: str, text: Column, model: str) -> DataFrame:
+    """(key, src_hash, text) of rows that have no vector of this model for the text they now have."""
+    now = rows.select(key, F.sha2(text, 256).alias("src_hash"), text.alias("text")).where("text is not null")
+    return now.join(stored.where(F.col("model") == model).select(key, "src_hash"), [key, "src_hash"], "left_anti")
+
+
+def augmented(hits: DataFrame, path: Column, start: Column, end: Column, text: Column) -> DataFrame:
+    """(query, prompt): the chunks of each query under `path:start-end` lines, the most relevant last."""
+    piece = F.concat(path, F.lit(":"), start.cast("string"), F.lit("-"), end.cast("string"), F.lit("\n"), text)
+    ordered = F.array_sort(F.collect_list(F.struct((-F.col("rank")).alias("r"), piece.alias("p"))))
+    return hits.groupBy("query").agg(F.array_join(F.transform(ordered, lambda x: x["p"]), "\n\n").alias("prompt"))
+
+
+def shared_budget(hits: DataFrame, text: str, budget: int) -> DataFrame:
+    """(query, packed): chunks in rank order, each given an equal share of what is left of a budget of characters.
+
+    What a short chunk does not use goes to those after it; a longer one is cut at the last line end that fits.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct("rank", "doc", F.coalesce(F.col(text), F.lit("")).alias("t"))))
+    n = F.col("n")
+
+    def step(acc, x):
+        share = F.floor((F.lit(budget) - acc["used"]) / (n - acc["seen"])).cast("int")
+        fits = F.length(x["t"]) <= share
+        head = F.substring(x["t"], F.lit(1), share)
+        lines = F.regexp_extract(head, r"(?s)^(.*)\n", 1)  # up to the last line end
+        piece = F.when(fits, x["t"]).otherwise(lines)
+        pieces = F.when(F.length(piece) > 0, F.concat(acc["pieces"], F.array(F.struct(x["doc"].alias("doc"), F.length(piece).alias("size"))))).otherwise(acc["pieces"])
+        return F.struct((acc["used"] + F.length(piece)).cast("int").alias("used"), (acc["seen"] + 1).cast("int").alias("seen"), pieces.alias("pieces"))
+
+    each = hits.groupBy("query").agg(ordered.alias("xs"), F.count(F.lit(1)).cast("int").alias("n"))
+    kind = dict(hits.dtypes)["doc"]
+    start = F.struct(F.lit(0).alias("used"), F.lit(0).alias("seen"), F.array().cast(f"array<struct<doc: {kind}, size: int>>").alias("pieces"))
+    packed = each.select("query", F.aggregate("xs", start, step).alias("a"))
+    return packed.select("query", "a.used", F.posexplode("a.pieces").alias("place", "p")).select("query", "place", "p.doc", "p.size", "used")

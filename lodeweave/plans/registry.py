@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodeweave.plans import building, citations, dataset, evaluation, facts, history, linking, orphans, retrieval
+from lodeweave.plans import building, citations, context, dataset, evaluation, facts, history, linking, orphans, retrieval
 
-MODULES = [orphans, retrieval, linking, citations, facts, building, dataset, history, evaluation]
+MODULES = [orphans, retrieval, linking, citations, facts, building, context, dataset, history, evaluation]
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
