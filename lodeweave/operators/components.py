@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lodeweave.session import materialize
+from lodeweave.session import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -59,5 +59,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     for _ in range(max_rounds):
         if _are_stars(e):
             return e.select(F.col("a").alias("root"), F.col("b").alias("node"))
-        e = materialize(_small_star(_large_star(e)), "cc")
+        before, e = e, materialize(_small_star(_large_star(e)), "cc")
+        discard(before)
     raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from lodeweave.session import materialize
+from lodeweave.session import discard, materialize
 
 TIERS = {"det": 2, "heur": 1, "llm": 0}  # a fact is not retired by one of a lower tier
 TRIPLE = ["subject", "predicate", "object"]
@@ -95,10 +95,11 @@ def terminals(pointers: DataFrame, max_rounds: int = 40) -> DataFrame:
     nodes = at.count()
     for turn in range(1, max_rounds + 1):
         ahead = at.select(F.col("node").alias("next"), F.col("next").alias("far"))
-        step = materialize(at.join(ahead, "next", "left").select("node", F.coalesce("far", "next").alias("next"), F.col("far").isNotNull().alias("moved")), "chains")
+        step = materialize(at.select("node", "next").join(ahead, "next", "left").select("node", F.coalesce("far", "next").alias("next"), F.col("far").isNotNull().alias("moved")), "chains")
         if step.where("moved").isEmpty():
             return step.select("node", F.col("next").alias("terminal"), F.lit(False).alias("cyclic"))
-        at = step.select("node", "next")
+        discard(at)
+        at = step
         if 2**turn > nodes:  # what still moves after as many steps as there are nodes stands in a circle
             break
     ends = at.join(p.select(F.col("node").alias("next")), "next", "left_semi").select("node").distinct().withColumn("cyclic", F.lit(True))

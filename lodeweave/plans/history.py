@@ -93,15 +93,15 @@ def _edges(spark, sf_dir) -> DataFrame:
 
 
 def gr_reach(spark, sf_dir):
-    """Everything within three links of every issue whose number is divisible by 20."""
+    """Everything within three links of every issue."""
     edges = _edges(spark, sf_dir)
-    return G.reach(edges, edges.where("src > 0 and src % 20 = 0").select("src").distinct(), 3)
+    return G.reach(edges, edges.where("src > 0").select("src").distinct(), 3)
 
 
 def gr_paths(spark, sf_dir):
     """Shortest paths of at most three links with their weakest confidence."""
     edges = _edges(spark, sf_dir)
-    found = G.best_paths(edges, edges.where("src > 0 and src % 20 = 0").select("src").distinct(), 3)
+    found = G.best_paths(edges, edges.where("src > 0").select("src").distinct(), 3)
     return found.select("src", "dst", "hops", "confidence", F.array_join(F.transform("path", lambda x: x.cast("string")), ">").alias("path"))
 
 
@@ -141,9 +141,9 @@ SQL = {
 from (select distinct source as repo, meta.src_path as relpath from samples where source is not null and meta.src_path is not null) left join (select distinct repo, relpath, 1 as ok from file_records) using (repo, relpath) group by 1""",
     "jo_uncontaminated": """select sample_id from samples where meta.src_path is null or meta.src_path not in (select unnest(regexp_extract_all(passage, '\\b[a-z]+(?:/[a-z_]+)+\\.[a-z]+\\b')) from eval_items)""",
     "ag_fact_health": _FACTS + "select state, sum(times)::bigint as facts, sum(open)::bigint as current, sum(case when times > 1 then 1 else 0 end)::bigint as reopened from (select issue_number, state, count(*) as times, max(case when valid_to is null then 1 else 0 end) as open from facts group by 1, 2) group by 1",
-    "gr_reach": "with recursive " + _EDGES + """, r as (select distinct src, src as dst, 0 as hops from e where src > 0 and src % 20 = 0 union select r.src, e.dst, r.hops + 1 from r join e on r.dst = e.src where r.hops < 3)
+    "gr_reach": "with recursive " + _EDGES + """, r as (select distinct src, src as dst, 0 as hops from e where src > 0 union select r.src, e.dst, r.hops + 1 from r join e on r.dst = e.src where r.hops < 3)
 select src, dst, min(hops) as hops from r group by 1, 2 having min(hops) > 0""",
-    "gr_paths": "with recursive " + _EDGES + """, r as (select distinct src, src as dst, 0 as hops, 1.0::double as c, [src] as path from e where src > 0 and src % 20 = 0
+    "gr_paths": "with recursive " + _EDGES + """, r as (select distinct src, src as dst, 0 as hops, 1.0::double as c, [src] as path from e where src > 0
   union all select r.src, e.dst, r.hops + 1, least(r.c, e.confidence), list_append(r.path, e.dst) from r join e on r.dst = e.src where r.hops < 3 and not list_contains(r.path, e.dst))
 select src, dst, hops, c as confidence, array_to_string(path, '>') as path from r where hops > 0 qualify row_number() over (partition by src, dst order by hops, c desc, path) = 1""",
     "gr_components": "with recursive " + _EDGES + """, r as (select src as node, src as root from e union select r.node, e.dst from r join e on r.root = e.src)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodeweave.operators import references as R
-from lodeweave.session import materialize, read
+from lodeweave.session import discard, materialize, read
 
 
 def _references(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -48,19 +48,20 @@ def p1_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p1_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current orphan keys from the maintained counts: the tables are folded in month by month, in order of storing."""
+    """Current orphan keys from the maintained counts: the tables are folded in quarter by quarter, in order of storing."""
     to_pulls, to_changes = _references(spark, sf_dir)
     out = []
     for refs, table, number in ((to_pulls, "pulls", "pr_number"), (to_changes, "changes", "cl_number")):
         records = read(spark, sf_dir, table, number, "indexed_at", "deleted_at")
-        month = lambda c: F.coalesce(F.date_format(c, "yyyy-MM"), F.lit(""))
-        refs, records = refs.withColumn("month", month("first_at")), records.withColumn("month", month("indexed_at"))
-        months = sorted(r[0] for r in refs.select("month").union(records.select("month")).distinct().collect())  # as many as the calendar has
+        quarter = lambda c: F.coalesce(F.date_format(F.date_trunc("quarter", c), "yyyy-MM"), F.lit(""))
+        refs, records = refs.withColumn("quarter", quarter("first_at")), records.withColumn("quarter", quarter("indexed_at"))
+        quarters = sorted(r[0] for r in refs.select("quarter").union(records.select("quarter")).distinct().collect())  # as many as the calendar has
         state = spark.createDataFrame([], R.STATE)
-        for one in months:
+        for one in quarters:
             # references come once each here; a feed that repeats them asks unseen() first
-            deltas = R.batch_deltas(state, refs.where(F.col("month") == one), records.where(F.col("month") == one), number)
-            state = materialize(R.add_deltas(state, deltas), "keys")
+            deltas = R.batch_deltas(state, refs.where(F.col("quarter") == one), records.where(F.col("quarter") == one), number)
+            before, state = state, materialize(R.add_deltas(state, deltas), "keys")
+            discard(before)
         out.append(R.orphans_of_state(state).withColumn("record_table", F.lit(table)))
     return R.union_all(out)
 

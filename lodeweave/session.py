@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -47,7 +49,9 @@ def scratch_root(spark: SparkSession) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
+        folder = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        root = "file://" + folder
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -59,4 +63,14 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Removes a scratch table that nothing reads any more: rounds of a loop do not pile up in the shared folder."""
+    if path := getattr(table, "_scratch", None):
+        spark = table.sparkSession
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(target, True)

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import marshal
-from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from lodeweave.functions.text import iso_to_utc, pull_of_subject
 
@@ -28,48 +28,56 @@ def numstat(lines: DataFrame, key: str) -> DataFrame:
     return lines.where(F.size(p) == 3).select(key, p[2].alias("path"), n(0).alias("added"), n(1).alias("deleted"))
 
 
-class _File(InputPartition):
-    def __init__(self, path: str):
-        self.path = path
+def commit_details(shown: DataFrame) -> DataFrame:
+    """shown(sha, value = numstat lines, an empty line, the patch) -> (sha, files array of path, added, deleted; added, deleted, diff_text).
 
+    A commit without a patch has an empty one; "-" of binary files counts 0.
+    """
+    parts = F.split("value", r"\n(?=diff --git )", 2)
+    lines = F.filter(F.transform(F.split(parts[0], "\n"), lambda x: F.split(x, "\t", 3)), lambda p: F.size(p) == 3)
+    n = lambda x: F.coalesce(x.try_cast("int"), F.lit(0))
+    files = F.transform(lines, lambda p: F.struct(p[2].alias("path"), n(p[0]).alias("added"), n(p[1]).alias("deleted")))
+    total = lambda name: F.aggregate("files", F.lit(0), lambda a, x: a + x[name])
+    out = shown.where(F.col("sha").isNotNull()).select("sha", files.alias("files"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("diff_text"))
+    return out.select("sha", "files", total("added").alias("added"), total("deleted").alias("deleted"), "diff_text")
 
-class ChangeRecordReader(DataSourceReader):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
-
-    def partitions(self) -> list[_File]:
-        return [_File(p) for p in self.paths]
 
-    def read(self, part: _File) -> Iterator[tuple]:
-        with open(part.path, "rb") as file:
-            while True:
-                try:
-                    record = marshal.load(file)
-                except EOFError:
-                    return
-                text = lambda x: x.decode("utf-8", "replace") if isinstance(x, bytes) else str(x)
-                yield ({text(k): text(v) for k, v in record.items()},)
+def change_records(spark: SparkSession, path: str) -> DataFrame:
+    """Files of marshalled dictionaries, wherever Spark reads files from -> one row a dictionary: record map<string,string>."""
 
+    def decode(batches):
+        text = lambda x: x.decode("utf-8", "replace") if isinstance(x, bytes) else str(x)
+        for batch in batches:
+            rows = []
+            for content in batch.column(0).to_pylist():
+                file = io.BytesIO(content)
+                while file.tell() < len(content):
+                    try:
+                        record = marshal.load(file)
+                    except EOFError:  # a record that was cut off
+                        break
+                    rows.append([(text(k), text(v)) for k, v in record.items()])
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.map_(pa.string(), pa.string()))], names=["record"])
 
-class ChangeRecords(DataSource):
-    """Files of marshalled dictionaries, one task a file: spark.read.format("change_records").load(path)."""
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decode, "record map<string,string>")
 
-    @classmethod
-    def name(cls) -> str:
-        return "change_records"
 
-    def schema(self) -> str:
-        return "record map<string,string>"
+def page_after(rows: DataFrame, key: str, last, size: int) -> DataFrame:
+    """The next `size` rows after a cursor, in order of the key; null keys are on no page. The greatest key is the next cursor."""
+    later = rows.where(F.col(key).isNotNull()) if last is None else rows.where(F.col(key) > last)
+    return later.orderBy(key).limit(size)
 
-    def reader(self, schema) -> ChangeRecordReader:
-        import glob
 
-        return ChangeRecordReader(sorted(glob.glob(self.options["path"])))
+def after_commit(commits: DataFrame, sha: str, time: str = "authored_at") -> DataFrame:
+    """Commits newer than a known one, it excluded; all where it is unknown."""
+    known = commits.where(F.col("sha") == sha).agg(F.max(time).alias("at")).first()["at"]
+    return commits if known is None else commits.where((F.col(time) >= known) & (F.col("sha") != sha))
 
 
-def change_records(spark: SparkSession, path: str) -> DataFrame:
-    spark.dataSource.register(ChangeRecords)
-    return spark.read.format("change_records").load(path)
+def with_diffs(pulls: DataFrame, diffs: DataFrame) -> DataFrame:
+    """Pulls with the diff that was fetched for them; one that could not be fetched is empty."""
+    one = diffs.groupBy("pr_number").agg(F.max("diff_text").alias("diff_text"))
+    return pulls.drop("diff_text").join(one, "pr_number", "left").withColumn("diff_text", F.coalesce("diff_text", F.lit("")))
 
 
 def described_changes(records: DataFrame) -> DataFrame:

@@ -23,14 +23,27 @@ def tree(spark: SparkSession, root: str, tracked: DataFrame | None = None, conte
     return out.join(tracked.select("relpath").distinct(), "relpath", "left_semi") if tracked is not None else out
 
 
-DOC_PATTERNS = ["*.md", "*.rst", "*.txt", "*.adoc", "docs/**"]
-SKIPPED_PARTS = (".git", "node_modules", "vendor", "build", "dist", ".venv", "target")
+# fixed values: documentation files of a checkout (a leading slash ties a pattern to the root), and directories that are passed over
+DOC_PATTERNS = [
+    "/README*.md",
+    "/Makefile",
+    "/makefile",
+    "docs/**/*.md",
+    "/docker-compose*.yml",
+    "/docker-compose*.yaml",
+    "/Dockerfile",
+    "/Dockerfile.*",
+    "**/Dockerfile",
+    "**/Dockerfile.*",
+    "/*.sh",
+]
+SKIPPED_PARTS = (".git", "node_modules", ".venv", "venv", "__pycache__", "dist", "build")
 
 
 def documents(files: DataFrame, patterns: list[str] | None = None, skipped: tuple[str, ...] = SKIPPED_PARTS) -> DataFrame:
-    """Files whose path matches a document pattern and has no skipped directory in it."""
+    """Files whose path matches a document pattern and has no skipped directory in it, once each."""
     parts = F.split("relpath", "/")
-    return files.where(F.col("relpath").rlike(any_of(patterns or DOC_PATTERNS)) & ~F.exists(parts, lambda p: p.isin(*skipped)))
+    return files.where(F.col("relpath").rlike(any_of(patterns or DOC_PATTERNS)) & ~F.exists(parts, lambda p: p.isin(*skipped))).dropDuplicates(["relpath"])
 
 
 def without_nested(files: DataFrame, markers: DataFrame) -> DataFrame:
@@ -39,3 +52,11 @@ def without_nested(files: DataFrame, markers: DataFrame) -> DataFrame:
     above = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n - 1), "/"))
     under = files.select("relpath", F.explode(F.filter(above, lambda d: d != "")).alias("dir")).join(markers.select("dir").distinct(), "dir", "left_semi").select("relpath").distinct()
     return files.join(under, "relpath", "left_anti")
+
+
+def below(files: DataFrame, scope: str, patterns: list[str] | None = None) -> DataFrame:
+    """Files below a directory, or all for "", whose path from there matches one of the patterns."""
+    scope = scope.strip("/")
+    rest = F.col("relpath") if not scope else F.expr(f"substring(relpath, {len(scope) + 2})")
+    out = files if not scope else files.where(F.startswith("relpath", F.lit(scope + "/")))
+    return out.where(rest.rlike(any_of(patterns))) if patterns else out

@@ -19,10 +19,28 @@ def test_tree_with_tracked_files(spark, tmp_path):
 
 
 def test_documents_and_nested_checkouts(spark):
-    files = spark.createDataFrame([("docs/a.png",), ("x/README.md",), ("vendor/README.md",), ("a.py",), ("wt/one/b.md",)], "relpath string")
-    assert {r[0] for r in repository.documents(files).collect()} == {"docs/a.png", "x/README.md", "wt/one/b.md"}
+    there = ["README.md", "README.de.md", "Makefile", "docs/a.md", "docs/x/b.md", "docker-compose.dev.yml", "Dockerfile", "api/Dockerfile", "api/Dockerfile.prod", "run.sh", "wt/one/Dockerfile"]
+    away = ["docs/a.png", "x/README.md", "x/Makefile", "x/run.sh", "venv/Dockerfile", "docs/build/a.md", "a.py", "Dockerfiles/x"]
+    files = spark.createDataFrame([(x,) for x in [*there, *away, "README.md"]], "relpath string")
+    assert sorted(r[0] for r in repository.documents(files).collect()) == sorted(there)
     markers = spark.createDataFrame([("wt/one",)], "dir string")
-    assert "wt/one/b.md" not in {r[0] for r in repository.without_nested(files, markers).collect()}
+    assert "wt/one/Dockerfile" not in {r[0] for r in repository.without_nested(files, markers).collect()}
+    assert {r[0] for r in repository.below(files, "docs/").collect()} == {"docs/a.md", "docs/x/b.md", "docs/a.png", "docs/build/a.md"}
+    assert {r[0] for r in repository.below(files, "docs", ["/*.md"]).collect()} == {"docs/a.md"}
+
+
+def test_commit_details_and_cursors(spark):
+    shown = [("a", "3\t1\tx y.py\n-\t-\tb.bin\n\ndiff --git a/x b/x\n+1\n\ndiff --git a/b b/b\n"), ("b", ""), (None, "x")]
+    rows = {r.sha: r for r in history.commit_details(spark.createDataFrame(shown, "sha string, value string")).collect()}
+    assert rows["a"].diff_text.startswith("diff --git a/x") and rows["a"].diff_text.count("diff --git") == 2 and (rows["a"].added, rows["a"].deleted) == (3, 1)
+    assert [f.path for f in rows["a"].files] == ["x y.py", "b.bin"] and rows["b"].diff_text == "" and rows["b"].files == []
+    numbers = spark.createDataFrame([(i,) for i in (5, 3, 9, 7, None)], "cl_number int")
+    page = lambda last: [r[0] for r in history.page_after(numbers, "cl_number", last, 2).collect()]
+    assert page(None) == [3, 5] and page(5) == [7, 9] and page(9) == []
+    commits = spark.createDataFrame([("a", 1), ("b", 2), ("c", 2), ("d", 3)], "sha string, authored_at int")
+    assert {r.sha for r in history.after_commit(commits, "b").collect()} == {"c", "d"} and history.after_commit(commits, "zz").count() == 4
+    pulls = spark.createDataFrame([(1,), (2,)], "pr_number int")
+    assert {r.pr_number: r.diff_text for r in history.with_diffs(pulls, spark.createDataFrame([(1, "d")], "pr_number int, diff_text string")).collect()} == {1: "d", 2: ""}
 
 
 def test_commit_log_lines(spark):
