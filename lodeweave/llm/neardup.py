@@ -31,6 +31,8 @@ give no rows.
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -42,7 +44,8 @@ from .paths import SLIPS, by_directories, meeting, path_nodes, spelled_alike
 from .shingles import shingle_batches
 
 WIDTH, THRESHOLD = 3, 0.5
-BITS, PIVOTS = 1024, 16
+BITS, PIVOTS = 1024, 64
+DRAWN = 512  # texts among which the references are chosen
 SAMPLED, LEAST_CROWD, CROWDED, SALTS = 64, 32, 10_000, 256  # one text in 64 is asked which shingles are crowded: no row depends on it
 LIGHT = 48  # a shingle of so many texts at most pairs all of them
 
@@ -63,8 +66,20 @@ def fingerprints(lists: pa.ListArray, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def distance_table(references: np.ndarray, bits: int = BITS):
-    """mapInArrow body: adds p1 and p2, the distances to 16 references in steps of bits/256, 8 bits each."""
+def spread_references(fp: np.ndarray, pivots: int) -> np.ndarray:
+    """So many of the fingerprints that each lies far from those before it: the next is the one farthest from its nearest."""
+    if len(fp) <= pivots:
+        return fp
+    chosen = [0]
+    gap = np.abs(fp - fp[0]).sum(1)
+    while len(chosen) < pivots:
+        chosen.append(int(gap.argmax()))
+        gap = np.minimum(gap, np.abs(fp - fp[chosen[-1]]).sum(1))
+    return fp[chosen]
+
+
+def distance_table(references: np.ndarray, pivots: int, bits: int = BITS):
+    """mapInArrow body: adds p1, p2, ..., the distances to the references in steps of bits/256, eight of 8 bits in each."""
     step = bits // 256
     ref = references.astype(np.float32)
     ones = ref.sum(1)
@@ -74,33 +89,38 @@ def distance_table(references: np.ndarray, bits: int = BITS):
             fp = fingerprints(batch.column("hs"), bits)
             d = fp.sum(1)[:, None] + ones[None, :] - 2 * (fp @ ref.T)
             q = np.minimum(255, d // step).astype(np.uint64)
-            packed = [np.zeros(len(q), np.uint64), np.zeros(len(q), np.uint64)]
+            packed = np.zeros((pivots // 8, len(q)), np.uint64)
             for i in range(q.shape[1]):
                 packed[i // 8] |= q[:, i] << np.uint64(8 * (i % 8))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(packed[0].view(np.int64)), pa.array(packed[1].view(np.int64))],
-                names=[*batch.schema.names, "p1", "p2"],
-            )
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(p.view(np.int64)) for p in packed]], names=[*batch.schema.names, *pivot_columns(pivots)])
 
     return run
 
 
+def pivot_columns(pivots: int) -> list[str]:
+    return [f"p{i + 1}" for i in range(pivots // 8)]
+
+
 def with_pivots(sets: DataFrame, order: str, bits: int = BITS, pivots: int = PIVOTS) -> DataFrame:
-    """sets(..., hs) with its distance table; the references are `pivots` rows spread by hash."""
-    rows = sets.orderBy(F.xxhash64(order, F.lit(7)), order).limit(pivots).select("hs").collect()
-    ref = fingerprints(pa.array([r["hs"] for r in rows], pa.list_(pa.int64())), bits) if rows else np.zeros((1, bits))
-    schema = T.StructType([*sets.schema.fields, T.StructField("p1", T.LongType()), T.StructField("p2", T.LongType())])
-    return sets.mapInArrow(distance_table(ref, bits), schema)
+    """sets(..., hs) with its distance table; the references are spread out among DRAWN rows taken by hash."""
+    if not pivots:
+        return sets
+    rows = sets.orderBy(F.xxhash64(order, F.lit(7)), order).limit(DRAWN).select("hs").collect()
+    fp = fingerprints(pa.array([r["hs"] for r in rows], pa.list_(pa.int64())), bits) if rows else np.zeros((1, bits), np.float32)
+    schema = T.StructType([*sets.schema.fields, *[T.StructField(c, T.LongType()) for c in pivot_columns(pivots)]])
+    return sets.mapInArrow(distance_table(spread_references(fp, pivots), pivots, bits), schema)
 
 
-def pivots_allow(a: str, b: str, bound: Column, step: int = BITS // 256, slack: int | None = None) -> Column:
+def pivots_allow(a: str, b: str, bound: Column, pivots: int, step: int = BITS // 256, slack: int | None = None) -> Column:
     """True unless some coordinate of the distance table differs by more than the bound; slack is what rounding to steps may hide."""
+    if not pivots:
+        return F.lit(True)
     parts = [
         F.abs(
             F.shiftrightunsigned(F.col(f"{a}.{p}"), 8 * i).bitwiseAND(F.lit(255))
             - F.shiftrightunsigned(F.col(f"{b}.{p}"), 8 * i).bitwiseAND(F.lit(255))
         )
-        for p in ("p1", "p2")
+        for p in pivot_columns(pivots)
         for i in range(8)
     ]
     return F.greatest(*parts) * F.lit(step) <= bound + F.lit(step if slack is None else slack)
@@ -109,14 +129,15 @@ def pivots_allow(a: str, b: str, bound: Column, step: int = BITS // 256, slack:
 # ---- texts -----------------------------------------------------------------------------------
 
 
-def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, light: int | None = None, check=None) -> DataFrame:
+def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOLD, light: int | None = None, check=None, pivots: int = PIVOTS) -> DataFrame:
     """texts(id bigint, text string) -> links (a, b) that join every pair of alike texts into one group.
 
     Every alike pair of different shingle sets is either a row or joined by rows; equal sets
     are linked to their smallest id. `check(pairs, table, threshold)` keeps the alike pairs
-    of the candidates.
+    of the candidates; without pivots no table is made.
     """
-    light_texts, check = light or LIGHT, check or verify
+    light_texts, check = light or LIGHT, check or partial(verify, pivots=pivots)
+    p = pivot_columns(pivots)
     sets = texts.where("id is not null and text is not null and length(text) > 0").mapInArrow(
         shingle_batches(width), "id bigint, n int, hs array<bigint>"
     )
@@ -144,27 +165,27 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
         .where("a < id").select("a", F.col("id").alias("b"))
     )
     copies = materialize(copies, "copies")
-    table = with_pivots(docs.join(copies.select(F.col("b").alias("id")), "id", "left_anti"), "id")
+    table = with_pivots(docs.join(copies.select(F.col("b").alias("id")), "id", "left_anti"), "id", pivots=pivots)
     table = materialize(table, "pivots")
 
     # prefix: the rarest n - ceil(tn) + 1, of which n - size(hs) are shingles nobody else has
     keep = (F.col("n") - least + 1 - (F.col("n") - F.size("hs"))).cast("int")
     prefix = table.select(
-        "id", "n", "p1", "p2",
+        "id", "n", *p,
         F.explode(F.arrays_zip(F.slice("cs", F.lit(1), keep).alias("c"), F.slice("hs", F.lit(1), keep).alias("h"))).alias("x"),
-    ).select("id", "n", "p1", "p2", "x.c", "x.h")
+    ).select("id", "n", *p, "x.c", "x.h")
     light, hot = prefix.where(F.col("c") <= light_texts), prefix.where(F.col("c") > light_texts)
     bound = (F.col("x.n") + F.col("y.n")) * F.lit(pivot_bound(threshold))
     sizes = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold)
     near = (
         light.alias("x").join(light.alias("y"), F.col("x.h") == F.col("y.h"))
-        .where((F.col("x.id") < F.col("y.id")) & sizes & pivots_allow("x", "y", bound))
+        .where((F.col("x.id") < F.col("y.id")) & sizes & pivots_allow("x", "y", bound, pivots))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     )
     star = hot.groupBy("h").agg(F.min("id").alias("a")).join(hot.select("h", F.col("id").alias("b")), "h").where("a < b").select("a", "b")
     found = materialize(check(near.unionByName(star).distinct(), table, threshold), "links")
     if not hot.isEmpty():
-        found = found.unionByName(hot_links(hot, found, table, threshold, check))
+        found = found.unionByName(hot_links(hot, found, table, threshold, check, pivots))
     return copies.unionByName(found)
 
 
@@ -174,7 +195,7 @@ def crowded_shingles(sets: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("c"), "h").limit(CROWDED).select("h", (F.col("c") * SAMPLED).alias("much"))
 
 
-def verify(pairs: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
+def verify(pairs: DataFrame, table: DataFrame, threshold: float, pivots: int = PIVOTS) -> DataFrame:
     """Pairs (a, b) whose sets have similarity of at least the threshold; the pivot table is asked first."""
     x, y = table.alias("x"), table.alias("y")
     bound = (F.col("x.n") + F.col("y.n")) * F.lit(pivot_bound(threshold))
@@ -182,24 +203,24 @@ def verify(pairs: DataFrame, table: DataFrame, threshold: float) -> DataFrame:
     return (
         pairs.join(x, F.col("a") == F.col("x.id"))
         .join(y, F.col("b") == F.col("y.id"))
-        .where(pivots_allow("x", "y", bound))
+        .where(pivots_allow("x", "y", bound, pivots))
         .select("a", "b", meet.alias("meet"), (F.col("x.n") + F.col("y.n")).alias("nn"))
         .where(F.col("meet") >= F.lit(threshold) * (F.col("nn") - F.col("meet")))
         .select("a", "b")
     )
 
 
-def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: float, check=verify) -> DataFrame:
+def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: float, check=verify, pivots: int = PIVOTS) -> DataFrame:
     """Second look at shingles of many texts: only members of different groups are still compared."""
     comps = connected_components(found)
     marked = hot.join(comps.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("g", F.coalesce("root", "id"))
     mixed = marked.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("h")
-    left = marked.join(mixed, "h").select("id", "n", "p1", "p2", "h", "g")
+    left = marked.join(mixed, "h").select("id", "n", *pivot_columns(pivots), "h", "g")
     bound = (F.col("x.n") + F.col("y.n")) * F.lit(pivot_bound(threshold))
     sizes = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold)
     pairs = (
         left.alias("x").join(left.alias("y"), F.col("x.h") == F.col("y.h"))
-        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g")) & sizes & pivots_allow("x", "y", bound))
+        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g")) & sizes & pivots_allow("x", "y", bound, pivots))
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     )
     return check(pairs, table, threshold)
@@ -250,7 +271,7 @@ def path_links(files: DataFrame) -> DataFrame:
     right = table.select("*", *[low(c, 0).alias(f"b{c}") for c in bands])
     left = left.withColumn("k", F.xxhash64("at", *bands)).drop("at", *bands)
     right = right.withColumn("k", F.xxhash64("at", *[f"b{c}" for c in bands])).drop("at", *bands, *[f"b{c}" for c in bands])
-    pairs = meeting(left, right, pivots_allow("x", "y", F.lit(SLIPS), step=1, slack=0))
+    pairs = meeting(left, right, pivots_allow("x", "y", F.lit(SLIPS), REFERENCES, step=1, slack=0))
     return inside.unionByName(spelled_alike(pairs))
 
 

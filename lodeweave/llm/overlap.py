@@ -160,7 +160,7 @@ def path_segment_links(files: DataFrame) -> DataFrame:
 def segment_links(texts: DataFrame) -> DataFrame:
     """texts(id, text) -> links (a, b) that join all alike texts into groups."""
     texts = texts.where("id is not null and length(text) > 0").select("id", "text")
-    return text_links(texts, light=LIGHT, check=lambda pairs, table, threshold: verify(pairs, texts))
+    return text_links(texts, light=LIGHT, check=lambda pairs, table, threshold: verify(pairs, texts), pivots=0)
 
 
 def cross_pairs(links: DataFrame, records: DataFrame) -> DataFrame:

@@ -20,6 +20,7 @@ import base64
 import os
 
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lodeweave.session import materialize, read

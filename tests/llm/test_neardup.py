@@ -129,7 +129,7 @@ def test_pivots_never_discard_an_alike_pair(spark, texts):
         for b in table:
             meet, total = len(set(a.hs) & set(b.hs)), len(set(a.hs) | set(b.hs))
             if meet * 2 >= total:
-                for p, q in ((a.p1, b.p1), (a.p2, b.p2)):
+                for p, q in ((a[c], b[c]) for c in N.pivot_columns(N.PIVOTS)):
                     for i in range(8):
                         gap = abs((p >> 8 * i & 255) - (q >> 8 * i & 255)) * (N.BITS // 256)
                         assert gap <= (a.n + b.n) / 3 + N.BITS // 256
