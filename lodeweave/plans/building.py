@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lodeweave.functions import text as T
 from lodeweave.operators import chunks as C, dataset as D
 from lodeweave.operators.linking import current
 from lodeweave.session import read
+from lodeweave.sources import code as S
 
 SYMBOL = r"^\s*(?:pub fn|fn|def|class|export function|export const|func)\s+(\w+)"
 
@@ -105,6 +106,34 @@ def fi_grep_scoped(spark, sf_dir):
     return C.matching_lines(scoped, "sample_id", "text", r"^\s*(?:def|pub fn) \w+\(").select("sample_id", "line_no", "line")
 
 
+def sc_code_facts(spark, sf_dir):
+    """Facts of the whole files among the samples, without the lines that name repository and path."""
+    rows = read(spark, sf_dir, "samples", F.col("meta.src_path").alias("path"), F.col("meta.format").alias("format"), "text").where("format = 'document' and path is not null")
+    return S.code_facts(rows.select("path", F.regexp_replace("text", r"^<\|repo_name\|>[^\n]*\n<\|file_sep\|>[^\n]*\n", "").alias("content")))
+
+
+def _declared(spark, sf_dir) -> DataFrame:
+    rows = read(spark, sf_dir, "samples", "sample_id", "source", F.col("meta.src_path").alias("path"), "text").where("text is not null and path is not null")
+    return C.symbol_windows(rows.withColumn("key", F.struct("source", "path")), "key", "text", SYMBOL).select("key.source", "key.path", "symbol", "start_line", "window")
+
+
+def rt_definition_hop(spark, sf_dir):
+    """Calls `thing.member(` in documents whose member is declared in one file alone: the document and that file."""
+    sites = _declared(spark, sf_dir).select("symbol", "path").distinct()
+    single = sites.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.first("path").alias("path")).where("n = 1")
+    docs = read(spark, sf_dir, "documents", "doc_id", "text").where("text is not null")
+    calls = docs.select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit(r"\w+\.(\w+)\("), F.lit(1)))).alias("symbol"))
+    return calls.join(single, "symbol").select("doc_id", "symbol", "path")
+
+
+def tc_contrast(spark, sf_dir):
+    """Pairs for training by contrast: a symbol, the window that declares it, and a window of another file of the repository that does not."""
+    each = _declared(spark, sf_dir).where("source is not null").select("source", "path", "symbol", F.md5("window").alias("digest")).distinct()
+    order = Window.partitionBy("source").orderBy(F.md5(F.concat_ws("|", "path", "symbol", "digest")), "path", "symbol", "digest")
+    after = each.withColumn("next", F.lead(F.struct("path", "symbol", "digest")).over(order))
+    return after.where((F.col("next.path") != F.col("path")) & (F.col("next.symbol") != F.col("symbol"))).select("source", "path", "symbol", F.col("digest").alias("positive"), F.col("next.digest").alias("negative"))
+
+
 _CHANGES = "with live as (select * from (select * from changes where cl_number is not null qualify row_number() over (partition by cl_number order by indexed_at desc) = 1) where deleted_at is null and length(diff_text) > 0)"
 _MARKED = _CHANGES + """, raw as (select cl_number, string_split(chr(10) || diff_text, chr(10) || '+++ b/') as p from live),
 files as (select cl_number, i - 2 as file_index, rtrim(split_part(p[i], chr(10), 1)) as file_path,
@@ -112,7 +141,7 @@ files as (select cl_number, i - 2 as file_index, rtrim(split_part(p[i], chr(10),
 hs as (select cl_number, file_index, string_split(regexp_replace(block, '(?m)^(@@ [^@]+ @@)', chr(1) || '\\1', 'g'), chr(1)) as h from files),
 hunks as (select cl_number, file_index, unnest(range(0, len(h))) as hunk_index, unnest(h) as hunk from hs)
 """
-QUERIES = {f.__name__: f for f in (tc_marker_files, tc_marker_hunks, tc_marker_chunks, tc_cut_short, fi_cut_diffs, tc_symbols, tc_headings, ds_chats, se_samples, ds_time_split, ds_capped, tk_recent_commits, tk_first_examples, up_replaced_parts, fi_grep_scoped)}
+QUERIES = {f.__name__: f for f in (tc_marker_files, tc_marker_hunks, tc_marker_chunks, tc_cut_short, fi_cut_diffs, tc_symbols, tc_headings, ds_chats, se_samples, ds_time_split, ds_capped, tk_recent_commits, tk_first_examples, up_replaced_parts, fi_grep_scoped, sc_code_facts, rt_definition_hop, tc_contrast)}
 _SPLIT = "case when x < 0.8 then 'train' when x < 0.9 then 'val' else 'test' end"
 SQL = {
     "tc_marker_files": _MARKED + "select cl_number, file_index, file_path, md5(block) as digest from files",
@@ -156,3 +185,12 @@ select distinct cl_number, chunk_id from c join (select cl_number, max(v) as v f
   where length(text) > 0 and regexp_matches(meta.src_path, '\\.(?:py|rs)$') and (contains(lower(meta.src_path), '/s') or starts_with(lower(meta.src_path), 'a')))
 select sample_id, line_no, line from l where regexp_matches(line, '^\\s*(?:def|pub fn) \\w+\\(')""",
 }
+_DECLARED = """with l as (select distinct source, meta.src_path as path, string_split(text, chr(10)) as l, sample_id from samples where length(text) > 0 and meta.src_path is not null), m as (select source, path, l, unnest(range(1, len(l) + 1)) as n from l),
+s as (select source, path, l, n, regexp_extract(l[n], '^\\s*(?:pub fn|fn|def|class|export function|export const|func)\\s+(\\w+)', 1) as symbol from m),
+d as (select source, path, symbol, greatest(1, n - 10) as start_line, array_to_string(l[greatest(1, n - 10):least(len(l), n + 19)], chr(10)) as win from s where symbol <> '')
+"""
+SQL["rt_definition_hop"] = _DECLARED + """, one as (select symbol, min(path) as path from d group by 1 having count(distinct path) = 1),
+c as (select doc_id, unnest(list_distinct(regexp_extract_all(text, '\\w+\\.(\\w+)\\(', 1))) as symbol from documents where text is not null) select doc_id, symbol, path from c join one using (symbol)"""
+SQL["tc_contrast"] = _DECLARED + """, e as (select distinct source, path, symbol, md5(win) as digest from d where source is not null),
+n as (select *, lead(path) over w as p2, lead(symbol) over w as s2, lead(digest) over w as d2 from e window w as (partition by source order by md5(concat_ws('|', path, symbol, digest)), path, symbol, digest))
+select source, path, symbol, digest as positive, d2 as negative from n where p2 <> path and s2 <> symbol"""

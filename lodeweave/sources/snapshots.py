@@ -43,6 +43,24 @@ class KeyedTable:
         self._bucketed(after).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_bucket").parquet(self.path)
 
 
+    def remove(self, keys: DataFrame) -> None:
+        """Drops the rows of some keys. A partition that is left without rows keeps an empty file, so that it is overwritten."""
+        touched = [r[0] for r in self._bucketed(keys).select("_bucket").distinct().collect()]
+        if touched:
+            stored = self._stored().where(F.col("_bucket").isin(touched))
+            after = materialize(stored.join(keys.select(*self.keys).distinct(), self.keys, "left_anti"), "removed")
+            left = {r[0] for r in after.select("_bucket").distinct().collect()}
+            after.select(*self.schema.fieldNames(), "_bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy("_bucket").parquet(self.path)
+            for bucket in set(touched) - left:
+                self.spark.createDataFrame([], self.schema).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_bucket={bucket}")
+
+
+def write_report(tasks: DataFrame, path: str, **summary) -> None:
+    """Evaluation rows as JSON lines beside one line of figures; the text of responses is not stored."""
+    tasks.drop("response").write.mode("overwrite").option("ignoreNullFields", "true").json(f"{path}/tasks")
+    tasks.sparkSession.createDataFrame([summary]).coalesce(1).write.mode("overwrite").json(f"{path}/summary")
+
+
 def write_samples(samples: DataFrame, path: str) -> None:
     """JSON lines in one folder per split; null fields are left out."""
     samples.write.partitionBy("split").option("ignoreNullFields", "true").json(path)

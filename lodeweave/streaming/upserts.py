@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lodeweave.operators import references as R
 from lodeweave.operators.history import upsert_links
 from lodeweave.operators.linking import current
+from lodeweave.session import materialize
 from lodeweave.sources.snapshots import KeyedTable
 
 
@@ -72,3 +73,27 @@ def fold_references(keys: KeyedTable, seen: KeyedTable, number_column: str, kind
         seen.merge(fresh.withColumn("batch", F.lit(number)), lambda stored, new: stored.unionByName(new).groupBy("ref_table", "ref_key", "target_key").agg(F.min("first_at").alias("first_at"), F.min("batch").alias("batch")))
 
     return each
+
+
+def refresh_all(table: KeyedTable, rows: DataFrame) -> None:
+    """The table is what the source holds now: every row comes in, and keys that are gone from the source go."""
+    rows = rows.select(*table.schema.fieldNames())
+    gone = materialize(table.read().select(*table.keys).distinct().join(rows.select(*table.keys).distinct(), table.keys, "left_anti"), "gone")
+    table.merge(rows, lambda stored, new: new.distinct())
+    table.remove(gone)
+
+
+def refresh_if_moved(table: KeyedTable, rows: DataFrame, time: str = "indexed_at", *tie: str) -> bool:
+    """Takes in rows newer than the watermark, if there are any; whether there were. A second call does nothing."""
+    mark = watermark_of(table, time)
+    fresh = rows if mark is None else rows.where(F.col(time) > mark)
+    if fresh.isEmpty():
+        return False
+    upsert_newest(table, table.keys[0], *tie, time=time)(fresh.select(*table.schema.fieldNames()), 0)
+    return True
+
+
+def refresh_one(table: KeyedTable, rows: DataFrame, value) -> None:
+    """Takes one key from the source as it is there now: its rows replace the stored ones."""
+    key = table.keys[0]
+    table.merge(rows.where(F.col(key) == value).select(*table.schema.fieldNames()), lambda stored, new: stored.where(F.col(key) != value).unionByName(new))

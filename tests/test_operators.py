@@ -232,8 +232,6 @@ def test_cited_numbers(spark):
 
 
 def test_scored_pairs_at_every_threshold_equal_all_pairs(spark):
-    from datetime import datetime as dt, timedelta
-
     from lodeweave.operators import citations as C
 
     rnd = random.Random(4)
@@ -256,3 +254,150 @@ def test_scored_pairs_at_every_threshold_equal_all_pairs(spark):
         got = {(r.bug, r.cl): r.confidence for r in C.scored_pairs(b, c, f"{threshold:.2f}").collect()}
         assert got == want and want
     assert C.scored_pairs(b.limit(0), c).count() == 0
+
+
+# ---- facts -------------------------------------------------------------------------------------
+
+
+FACT = "subject string, predicate string, object string, confidence double, tier string, since timestamp"
+
+
+def day(n):
+    return dt(2024, 1, 1) + timedelta(days=n)
+
+
+def test_inserting_again_adds_nothing_and_nulls_are_equal(spark):
+    from lodeweave.operators import facts as K
+
+    rows = [("a", "p", "x", 1.0, "det", day(2)), ("a", "p", "x", 0.5, "llm", day(1)), ("a", "p", None, 1.0, "det", day(1)), (None, "p", "x", 1.0, "det", day(3))]
+    df = spark.createDataFrame(rows, FACT)
+    once = K.insert_facts(df.limit(0), df)
+    assert once.count() == 3 and K.insert_facts(once, df).count() == 3
+    assert {r.since for r in once.where("subject = 'a' and object = 'x'").collect()} == {day(1)}
+
+
+def test_a_lower_tier_retires_nothing(spark):
+    from lodeweave.operators import facts as K
+
+    rows = [("s", "p", "a", 1.0, "llm", day(1)), ("s", "p", "b", 1.0, "det", day(2)), ("s", "p", "c", 1.0, "heur", day(3)), ("s", "p", "d", 1.0, "det", day(4)), ("t", "p", "a", 1.0, "heur", day(1))]
+    got = {(r.subject, r.object): r.valid_to for r in K.superseded(spark.createDataFrame(rows, FACT)).collect()}
+    assert got == {("s", "a"): day(2), ("s", "b"): day(4), ("s", "c"): day(3), ("s", "d"): None, ("t", "a"): None}
+
+
+def test_entities_keep_a_known_path(spark):
+    from lodeweave.operators import facts as K
+
+    none = spark.createDataFrame([], "kind string, name string, repo string, path string, first_seen timestamp, last_seen timestamp")
+    rows = lambda *xs: spark.createDataFrame(list(xs), "kind string, name string, repo string, path string, since timestamp")
+    one = K.get_or_create(none, rows(("file", "n", None, None, day(1)), ("file", "n", None, None, day(2))))
+    two = K.get_or_create(one, rows(("file", "n", None, "p/n", day(3))))
+    three = K.get_or_create(two, rows(("file", "n", None, "q/n", day(0)), ("file", "n", "r", "z", day(5))))
+    assert {(r.repo, r.path, r.first_seen, r.last_seen) for r in three.collect()} == {(None, "p/n", day(0), day(3)), ("r", "z", day(5), day(5))}
+
+
+def test_chains_end_and_circles_are_marked(spark):
+    from lodeweave.operators import facts as K
+
+    long = [(i, i - 1) for i in range(2, 40)]
+    rows = [*long, (100, 101), (101, 102), (102, 100), (103, 100), (200, 200), (None, 3)]
+    got = {r.node: (r.terminal, r.cyclic) for r in K.terminals(spark.createDataFrame(rows, "node bigint, next bigint")).collect()}
+    assert got == {i: (1, False) for i in range(2, 40)} | {i: (None, True) for i in (100, 101, 102, 103)}
+    assert K.terminals(spark.createDataFrame([], "node bigint, next bigint")).count() == 0
+
+
+def test_proof_of_no_path(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (9, 8)], "src bigint, dst bigint")
+    sources = spark.createDataFrame([(1,), (9,), (7,)], "src bigint")
+    assert {r.src: (r.explored, r.complete) for r in G.exhausted(edges, sources, 2).collect()} == {1: (2, False), 9: (1, True), 7: (0, True)}
+
+
+def test_caps_tell_what_is_left_away(spark):
+    from lodeweave.operators import facts as K
+
+    df = spark.createDataFrame([("s", "p", str(i), i / 10, "det", day(i)) for i in range(5)] + [("t", "p", "x", 1.0, "det", day(1))], FACT)
+    assert {(r.subject, r.object, r.left_away) for r in K.capped(df, 2).collect()} == {("s", "4", 3), ("s", "3", 3), ("t", "x", 0)}
+
+
+# ---- second chunker and samples ----------------------------------------------------------------
+
+
+def test_marker_chunks_cover_the_diff(spark):
+    diff = "--- a/Foo.java\n+++ b/Foo.java\n@@ -1,2 +1,3 @@\n-x\n+y\n--- a/Bar.java\n+++ b/Bar.java \n@@ -5,1 +5,2 @@\n-p\n+q\n@@ -9 +9 @@ f\n" + "+é✓é\n" * 300
+    rows = spark.createDataFrame([(1, diff), (2, None), (3, ""), (4, "no marker"), (5, "+++ b/x\nrest")], "k int, d string")
+    files = {(r.k, r.file_index): r.file_path for r in C.marker_files(rows, "k", "d").collect()}
+    assert files == {(1, 0): "Foo.java", (1, 1): "Bar.java", (5, 0): "x"}
+    chunks = C.marker_chunks(rows, "k", "d", 100).orderBy("k", "file_index", "hunk_index", "piece").collect()
+    assert "".join(r.chunk for r in chunks if r.k == 1) == diff and all(len(r.chunk.encode()) <= 100 for r in chunks)
+    assert [r.hunk_index for r in chunks if r.file_path == "Bar.java" and r.piece == 0] == [0, 1, 2]
+
+
+@pytest.mark.parametrize("most", [1, 2, 3, 5, 64])
+def test_pieces_never_cut_a_character(spark, most):
+    text = "aé✓\U0001f600b" * 7
+    pieces = spark.createDataFrame([(text,), (None,), ("",)], "t string").select(C.byte_pieces(F.col("t"), most).alias("p")).collect()
+    assert "".join(pieces[0].p) == text and all(len(p.encode()) <= max(most, 4) for p in pieces[0].p) and pieces[1].p is None and pieces[2].p == [""]
+
+
+def test_time_split_and_caps_are_exact(spark):
+    rows = [(i, day(i // 7)) for i in range(50)] + [(99, None)]
+    df = spark.createDataFrame(rows, "k int, t timestamp")
+    train = {r.k for r in D.time_split(df, "t", "k").where("split = 'train'").collect()}
+    assert train == set(range(40)) | {99}
+    flagged = spark.createDataFrame([(i, i % 2 == 0) for i in range(200)], "k int, f boolean")
+    kept = D.capped_share(flagged, F.col("f"), "k", 0.1).collect()
+    assert sum(not r.f for r in kept) == 100 and sum(r.f for r in kept) == 11
+    assert D.capped_share(flagged.where("not f"), F.col("f"), "k", 0.1).count() == 100 and D.capped_share(flagged.limit(0), F.col("f"), "k", 0.1).count() == 0
+
+
+def test_exact_percentiles(spark):
+    rnd = random.Random(3)
+    rows = [("a", rnd.choice([1.0, 2.0, rnd.random()])) for _ in range(700)] + [("b", 5.0), ("c", None)]
+    got = {r.g: (r.p50, r.p99) for r in E.exact_percentiles(spark.createDataFrame(rows, "g string, v double"), "g", "v", {"p50": 0.5, "p99": 0.99}, 16).collect()}
+    import numpy as np
+
+    values = [v for g, v in rows if g == "a"]
+    assert abs(got["a"][0] - np.quantile(values, 0.5)) < 1e-9 and abs(got["a"][1] - np.quantile(values, 0.99)) < 1e-9 and got["b"] == (5.0, 5.0) and set(got) == {"a", "b"}
+
+
+def test_headings_of_three_kinds(spark):
+    text = "lead\n> # One\nbody\nTwo\n===\nx\n3.1 Three Things\ny"
+    got = [(r.line, r.heading) for r in C.headed_lines(spark.createDataFrame([(1, text), (2, None)], "k int, t string"), "k", "t").orderBy("line_no").collect()]
+    assert got == [("lead", ""), ("# One", "One"), ("body", "One"), ("Two", "Two"), ("===", "Two"), ("x", "Two"), ("3.1 Three Things", "3.1 Three Things"), ("y", "3.1 Three Things")]
+
+
+# ---- context -----------------------------------------------------------------------------------
+
+
+def test_shared_budget_carries_forward(spark):
+    hits = spark.createDataFrame([(1, 1, 10, "ab\n"), (1, 2, 11, "line one\nline two\nline three"), (1, 3, 12, None), (2, 1, 13, "x" * 50)], "query bigint, rank int, doc bigint, t string")
+    got = {(r["query"], r.doc): r["size"] for r in R.shared_budget(hits, "t", 30).collect()}
+    assert got == {(1, 10): 3, (1, 11): 8}  # an equal share of what is left, cut at a line end; one long line fits nowhere
+
+
+def test_folded_words_and_lexical_first(spark):
+    df = spark.createDataFrame([(["cfg", "load_user_cache", "_x", "plain"],)], "w array<string>")
+    assert df.select(R.folded(F.col("w"), {"config": ["cfg", "conf"]}).alias("f")).first().f == ["config", "load_user_cache", "load", "user", "cache", "_x", "plain"]
+    lexical = spark.createDataFrame([(1, 5, 1), (1, 6, 2)], "query bigint, doc bigint, rank int")
+    dense = spark.createDataFrame([(1, 6, 1, 0.1), (1, 7, 2, 0.2), (1, 8, 3, 0.9)], "query bigint, doc bigint, rank int, distance double")
+    assert [(r.doc, r.arm) for r in R.after_lexical(lexical, dense, 5, 0.5).orderBy("rank").collect()] == [(5, 0), (6, 0), (7, 1)]
+
+
+def test_vectors_are_made_once_per_text_and_model(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "k bigint, t string")
+    first = R.to_embed(rows, spark.createDataFrame([], "k bigint, src_hash string, model string"), "k", F.col("t"), "m")
+    assert {r.k for r in first.collect()} == {1, 2}
+    stored = first.select("k", "src_hash", F.lit("m").alias("model"))
+    assert R.to_embed(rows, stored, "k", F.col("t"), "m").count() == 0 and R.to_embed(rows, stored, "k", F.col("t"), "n").count() == 2
+    assert {r.k for r in R.to_embed(rows.withColumn("t", F.concat("t", F.lit("!"))), stored, "k", F.col("t"), "m").collect()} == {1, 2}
+
+
+def test_answer_quality_and_promotion(spark):
+    answers = spark.createDataFrame([(1, "x", 10.0), (2, "x", 20.0), (3, "y", 30.0)], "answer int, kind string, cost double")
+    cited = spark.createDataFrame([(1, "a"), (1, "a"), (1, "z"), (3, "a")], "answer int, ref string")
+    known = spark.createDataFrame([("a",), ("b",)], "ref string")
+    got = {r.kind: (r.answers, r.citation_rate, r.precision, r.hallucination_rate, r.mean_cost) for r in E.answer_quality(answers, cited, known, [["kind"], []], "kind").collect()}
+    assert got == {"x": (2, 0.5, 0.5, 0.5, 15.0), "y": (1, 1.0, 1.0, 0.0, 30.0), None: (3, 0.666667, 0.666667, 0.333333, 20.0)}
+    frame = lambda a, b: spark.createDataFrame([("g", a), ("h", b)], "group string, v double")
+    assert E.promotion(frame(0.5, 0.5), frame(0.4, 0.9), "group", "v", ["h"]).first().promoted
+    assert not E.promotion(frame(0.5, 0.5), frame(0.4, 0.9), "group", "v", ["g"]).first().promoted
+    assert not E.promotion(frame(0.5, 0.5), frame(0.5, 0.5), "group", "v", []).first().promoted

@@ -122,3 +122,19 @@ def test_sample_sink_and_text_source(spark, tmp_path):
     snapshots.write_samples(rows, f"{tmp_path}/out")
     assert sorted(r.text for r in snapshots.read_text_only(spark, f"{tmp_path}/out").collect()) == ["a", "b", "c"]
     assert snapshots.manifest(rows, repo="r") == {"repo": "r", "totals": {"train": 2, "test": 1}}
+
+
+def test_code_facts(spark):
+    from lodeweave.sources import code
+
+    files = [("a.py", "import os\nfrom .x import y\nclass A:\n    def f(self):\n        os.walk(g())\n        raise ValueError('x')\n"), ("bad.py", "def (:\n"), ("b.rs", "use crate::m::N;\npub fn run() {}\nfn go() {}\n"), ("c.py", None), (None, "x = 1")]
+    got = {tuple(r) for r in code.code_facts(spark.createDataFrame(files, "path string, content string")).collect()}
+    want = {("a.py", *x) for x in [("imports", "os"), ("imports", ".x"), ("defines", "A"), ("defines", "f"), ("calls", "walk"), ("calls", "g"), ("calls", "ValueError"), ("raises", "ValueError")]}
+    assert got == want | {("b.rs", "imports", "crate::m::N"), ("b.rs", "defines", "run"), ("b.rs", "defines", "go")}
+
+
+def test_reports_hold_no_responses(spark, tmp_path):
+    tasks = spark.createDataFrame([("t1", 0.5, "secret answer"), ("t2", None, "x")], "id string, score double, response string")
+    snapshots.write_report(tasks, f"{tmp_path}/r", perplexity=1.5, task_mean=0.5)
+    assert {tuple(r) for r in spark.read.schema("id string, score double").json(f"{tmp_path}/r/tasks").collect()} == {("t1", 0.5), ("t2", None)}
+    assert "response" not in spark.read.json(f"{tmp_path}/r/tasks").columns and spark.read.json(f"{tmp_path}/r/summary").first().perplexity == 1.5

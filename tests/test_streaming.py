@@ -100,3 +100,20 @@ def test_streamed_windows_and_duplicates(spark, tmp_path):
     got = {(r.window_start, r.n) for r in spark.sql("select * from windows").collect()}
     want = {(r.window_start, r.n) for r in M.tumbling(spark.createDataFrame(rows, schema), "ts", "1 hour", "kind").collect()}
     assert got and got <= want
+
+
+def test_refreshes_of_all_one_and_what_moved(spark, tmp_path):
+    schema = "path string, body string, indexed_at timestamp"
+    table = KeyedTable(spark, f"{tmp_path}/docs", "path", schema, 4)
+    t, u = dt(2024, 1, 1), dt(2024, 1, 2)
+    frame = lambda *rows: spark.createDataFrame(list(rows), schema)
+    stored = lambda: {(r.path, r.body) for r in table.read().collect()}
+    upserts.refresh_all(table, frame(("a", "1", t), ("b", "1", t), ("c", "1", t)))
+    upserts.refresh_all(table, frame(("a", "2", t), ("d", "1", t)))
+    assert stored() == {("a", "2"), ("d", "1")}
+    source = frame(("a", "3", u), ("d", "1", t))
+    assert upserts.refresh_if_moved(table, source) and not upserts.refresh_if_moved(table, source)
+    upserts.refresh_one(table, frame(("d", "9", t), ("a", "9", t)), "d")
+    assert stored() == {("a", "3"), ("d", "9")} and upserts.watermark_of(table) == u
+    upserts.refresh_all(table, frame())
+    assert stored() == set()
