@@ -21,7 +21,7 @@ Paths. Records of one path and size are one node (see paths). The fingerprint of
 has a bit for each occurrence of each letter; a slip of the pen changes its Hamming
 distance to any reference set of letters by one at most. The table of these distances
 makes the candidates: a band join on three coordinates within equal directories, or
-directories less one on one side; the largest difference of all sixteen discards, and an
+directories less one on one side; the largest difference of all twenty-one discards, and an
 edit test word by word verifies.
 
 Nulls: a null or short text, or a null id, is in no group; a null repo or path is in
@@ -44,7 +44,9 @@ from .paths import SLIPS, by_directories, meeting, path_nodes, spelled_alike
 from .shingles import shingle_batches
 
 WIDTH, THRESHOLD = 3, 0.5
-BITS, PIVOTS = 1024, 64
+BITS, PIVOTS = 1024, 70
+LANES, TOP = 7, 63  # coordinates are kept in steps, from 0 to TOP, seven to a long
+STEP = BITS // (TOP + 1)
 DRAWN = 512  # texts among which the references are chosen
 SAMPLED, LEAST_CROWD, CROWDED, SALTS = 64, 32, 10_000, 256  # one text in 64 is asked which shingles are crowded: no row depends on it
 LIGHT = 48  # a shingle of so many texts at most pairs all of them
@@ -79,8 +81,8 @@ def spread_references(fp: np.ndarray, pivots: int) -> np.ndarray:
 
 
 def distance_table(references: np.ndarray, pivots: int, bits: int = BITS):
-    """mapInArrow body: adds p1, p2, ..., the distances to the references in steps of bits/256, eight of 8 bits in each."""
-    step = bits // 256
+    """mapInArrow body: adds p1, p2, ..., the distances to the references in steps of bits/64, seven of 8 bits in each."""
+    step = bits // (TOP + 1)
     ref = references.astype(np.float32)
     ones = ref.sum(1)
 
@@ -88,17 +90,17 @@ def distance_table(references: np.ndarray, pivots: int, bits: int = BITS):
         for batch in batches:
             fp = fingerprints(batch.column("hs"), bits)
             d = fp.sum(1)[:, None] + ones[None, :] - 2 * (fp @ ref.T)
-            q = np.minimum(255, d // step).astype(np.uint64)
-            packed = np.zeros((pivots // 8, len(q)), np.uint64)
+            q = np.minimum(TOP, d // step).astype(np.int64)
+            packed = np.zeros((len(pivot_columns(pivots)), len(q)), np.int64)
             for i in range(q.shape[1]):
-                packed[i // 8] |= q[:, i] << np.uint64(8 * (i % 8))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *[pa.array(p.view(np.int64)) for p in packed]], names=[*batch.schema.names, *pivot_columns(pivots)])
+                packed[i // LANES] |= q[:, i] << np.int64(8 * (i % LANES))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, packed)], names=[*batch.schema.names, *pivot_columns(pivots)])
 
     return run
 
 
 def pivot_columns(pivots: int) -> list[str]:
-    return [f"p{i + 1}" for i in range(pivots // 8)]
+    return [f"p{i + 1}" for i in range(-(-pivots // LANES))]
 
 
 def with_pivots(sets: DataFrame, order: str, bits: int = BITS, pivots: int = PIVOTS) -> DataFrame:
@@ -111,19 +113,26 @@ def with_pivots(sets: DataFrame, order: str, bits: int = BITS, pivots: int = PIV
     return sets.mapInArrow(distance_table(spread_references(fp, pivots), pivots, bits), schema)
 
 
-def pivots_allow(a: str, b: str, bound: Column, pivots: int, step: int = BITS // 256, slack: int | None = None) -> Column:
-    """True unless some coordinate of the distance table differs by more than the bound; slack is what rounding to steps may hide."""
+def each_lane(value: int) -> int:
+    return sum(value << 8 * i for i in range(LANES))
+
+
+def pivots_allow(a: str, b: str, bound: Column, pivots: int, step: int = STEP) -> Column:
+    """True unless some coordinate of the distance table differs by more than the bound (and by what rounding to steps may hide).
+
+    Seven coordinates are compared at once: a lane of (x + bound + 128) - y keeps its highest bit exactly when y is not above
+    x by more than the bound, and no lane borrows from the next.
+    """
     if not pivots:
         return F.lit(True)
-    parts = [
-        F.abs(
-            F.shiftrightunsigned(F.col(f"{a}.{p}"), 8 * i).bitwiseAND(F.lit(255))
-            - F.shiftrightunsigned(F.col(f"{b}.{p}"), 8 * i).bitwiseAND(F.lit(255))
-        )
-        for p in pivot_columns(pivots)
-        for i in range(8)
-    ]
-    return F.greatest(*parts) * F.lit(step) <= bound + F.lit(step if slack is None else slack)
+    reach = F.least(F.lit(TOP), F.floor(bound / step) + (1 if step > 1 else 0)).cast("bigint") * F.lit(each_lane(1))
+    high = F.lit(each_lane(128))
+    over = lambda x, y: ((x + reach).bitwiseOR(high) - y).bitwiseAND(high) == high
+    out = F.lit(True)
+    for p in pivot_columns(pivots):
+        x, y = F.col(f"{a}.{p}"), F.col(f"{b}.{p}")
+        out = out & over(x, y) & over(y, x)
+    return out
 
 
 # ---- texts -----------------------------------------------------------------------------------
@@ -229,7 +238,7 @@ def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: flo
 # ---- paths -----------------------------------------------------------------------------------
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz"
-REFERENCES = 16  # of names: reference j holds the letters whose number meets j in an odd number of bits
+REFERENCES = 21  # of names: reference j holds the letters whose number meets j in an odd number of bits
 BAND, BANDED = 4, 3  # width of a band, and how many coordinates are cut into bands
 
 
@@ -244,12 +253,13 @@ def name_coordinate(letters: Column, j: int) -> Column:
 
 
 def name_table(nodes: DataFrame) -> DataFrame:
-    """Adds p1 and p2, the distances of a name to all references, 8 bits each, and c1 to c3, those cut into bands."""
-    shifted = lambda j: F.greatest(F.lit(0), F.least(F.lit(255), name_coordinate(F.col("letters"), j) + 128)).cast("bigint")
-    packed = lambda js: sum((F.shiftleft(shifted(j), 8 * i) for i, j in enumerate(js)), F.lit(0).cast("bigint"))
-    half = REFERENCES // 2
+    """Adds p1 to p3, the distances of a name to all references, and c1 to c3, those cut into bands."""
+    middle = (TOP + 1) // 2
+    lane = lambda j: F.greatest(F.lit(0), F.least(F.lit(TOP), name_coordinate(F.col("letters"), j) + middle)).cast("bigint")
+    packed = lambda js: sum((F.shiftleft(lane(j), 8 * i) for i, j in enumerate(js)), F.lit(0).cast("bigint"))
+    columns = pivot_columns(REFERENCES)
     return nodes.select(
-        "*", packed(range(1, half + 1)).alias("p1"), packed(range(half + 1, REFERENCES + 1)).alias("p2"),
+        "*", *[packed(range(LANES * i + 1, LANES * (i + 1) + 1)).alias(c) for i, c in enumerate(columns)],
         *[name_coordinate(F.col("letters"), 1 << n).alias(f"c{n + 1}") for n in range(BANDED)],
     )
 
@@ -271,7 +281,7 @@ def path_links(files: DataFrame) -> DataFrame:
     right = table.select("*", *[low(c, 0).alias(f"b{c}") for c in bands])
     left = left.withColumn("k", F.xxhash64("at", *bands)).drop("at", *bands)
     right = right.withColumn("k", F.xxhash64("at", *[f"b{c}" for c in bands])).drop("at", *bands, *[f"b{c}" for c in bands])
-    pairs = meeting(left, right, pivots_allow("x", "y", F.lit(SLIPS), REFERENCES, step=1, slack=0))
+    pairs = meeting(left, right, pivots_allow("x", "y", F.lit(SLIPS), REFERENCES, step=1))
     return inside.unionByName(spelled_alike(pairs))
 
 

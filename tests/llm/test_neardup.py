@@ -130,9 +130,24 @@ def test_pivots_never_discard_an_alike_pair(spark, texts):
             meet, total = len(set(a.hs) & set(b.hs)), len(set(a.hs) | set(b.hs))
             if meet * 2 >= total:
                 for p, q in ((a[c], b[c]) for c in N.pivot_columns(N.PIVOTS)):
-                    for i in range(8):
-                        gap = abs((p >> 8 * i & 255) - (q >> 8 * i & 255)) * (N.BITS // 256)
-                        assert gap <= (a.n + b.n) / 3 + N.BITS // 256
+                    for i in range(N.LANES):
+                        gap = abs((p >> 8 * i & 255) - (q >> 8 * i & 255)) * N.STEP
+                        assert gap <= (a.n + b.n) / 3 + N.STEP
+
+
+def test_lanes_compare_like_numbers(spark):
+    rnd = random.Random(6)
+    rows = []
+    for i in range(400):
+        x = [rnd.randrange(64) for _ in range(14)]
+        t = rnd.randrange(0, 70)
+        y = [min(63, max(0, v + rnd.randrange(-t - 2, t + 3) // rnd.choice((1, 2)))) for v in x]
+        pack = lambda v: sum(n << 8 * j for j, n in enumerate(v))
+        rows.append((i, pack(x[:7]), pack(x[7:]), pack(y[:7]), pack(y[7:]), t, max(abs(m - n) for m, n in zip(x, y)) <= t))
+    df = spark.createDataFrame(rows, "i int, a1 bigint, a2 bigint, b1 bigint, b2 bigint, t int, want boolean")
+    x, y = df.select("i", "t", "want", F.col("a1").alias("p1"), F.col("a2").alias("p2")).alias("x"), df.select("i", F.col("b1").alias("p1"), F.col("b2").alias("p2")).alias("y")
+    got = x.join(y, F.col("x.i") == F.col("y.i")).select("want", N.pivots_allow("x", "y", F.col("t"), 14, step=1).alias("got")).collect()
+    assert all(r.want == r.got for r in got) and len({r.want for r in got}) == 2
 
 
 def test_crowded_shingles_change_no_group(spark, texts, monkeypatch):
