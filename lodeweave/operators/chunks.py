@@ -67,10 +67,21 @@ def matching_lines(rows: DataFrame, key: str, text: str, pattern: str) -> DataFr
     return lines.where(F.col("line").rlike(pattern)).select(key, (F.col("line_no") + 1).alias("line_no"), "line")
 
 
-def packed(rows: DataFrame, keys: list[str], order: list, text: str, budget: int) -> DataFrame:
-    """Rows in rank order while they fit a budget of characters per key, with the running size."""
+def packed(rows: DataFrame, keys: list[str], order: list, text: str, budget: int, parts: int = 256) -> DataFrame:
+    """Rows in rank order while they fit a budget of characters per key, with the running size.
+
+    The first column of the order is a number; its range within a key is cut into parts whose sizes are summed up first, and
+    only parts that begin within the budget are put in order: a key with very many rows is not sorted in one task.
+    """
+    size = F.length(F.coalesce(text, F.lit("")))
+    ends = rows.groupBy(*keys).agg(F.min(order[0]).alias("_lo"), F.max(order[0]).alias("_hi"))
+    part = F.coalesce(F.floor((F.col(order[0]) - F.col("_lo")) * parts / (F.col("_hi") - F.col("_lo") + 1)), F.lit(-1))
+    placed = rows.join(ends, keys).withColumn("_part", part).drop("_lo", "_hi")
+    sums = placed.groupBy(*keys, "_part").agg(F.sum(size).alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_part")) - F.col("_size")
+    begins = sums.withColumn("_before", before).where(F.col("_before") <= budget).select(*keys, "_part")
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumn("used", F.sum(F.length(F.coalesce(text, F.lit("")))).over(w)).where(F.col("used") <= budget)
+    return placed.join(begins, [*keys, "_part"]).drop("_part").withColumn("used", F.sum(size).over(w)).where(F.col("used") <= budget)
 
 
 HUNK_HEADER = r"(?m)(?=^@@ [^@]+ @@)"
