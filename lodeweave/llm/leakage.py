@@ -188,6 +188,13 @@ def verified(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> list[
     return out
 
 
+def can_leak(p: Passage, hits: list[tuple[int, int]]) -> bool:
+    """Whether the sentences that hits point to could give the item away if all of them were found: two at least, of a quarter of the passage."""
+    at = [q for q, _ in hits]
+    sizes = [b - a for k, (a, b) in enumerate(p.sentences) if p.counted[k] and any(a - NGRAM < q < b for q in at)]
+    return len(sizes) >= 2 and sum(sizes) >= SHARE * len(p.words)
+
+
 def judge(p: Passage, words: list[str], hits: list[tuple[int, int]]) -> tuple | None:
     """(item, share of the passage, share of the words unchanged, close sentences, word spans), None when nothing is found."""
     found = verified(p, words, hits)
@@ -204,7 +211,7 @@ def _rows(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["doc_id", "item_id", "share", "unchanged", "close", "word_from", "word_to"])
 
 
-def _scan(items: list[Passage], index: Index):
+def _scan(items: list[Passage], index: Index, leaks_only: bool):
     def run(batches):
         cache = WordHashes()
         for batch in batches:
@@ -221,6 +228,8 @@ def _scan(items: list[Passage], index: Index):
                 for d, i, q, o in zip(owner[hit].tolist(), index.item[place[hit]].tolist(), index.at[place[hit]].tolist(), at[hit].tolist()):
                     pairs[d, i].append((q, o))
                 for (d, i), hits in pairs.items():
+                    if leaks_only and not can_leak(items[i], hits):
+                        continue
                     if verdict := judge(items[i], words[d], hits):
                         rows.append((docs[d], *verdict))
             yield _rows(rows)
@@ -231,7 +240,7 @@ def _scan(items: list[Passage], index: Index):
 SCHEMA = "doc_id bigint, item_id bigint, share double, unchanged double, close int, word_from array<int>, word_to array<int>"
 
 
-def _by_join(documents: DataFrame, items: DataFrame, ngrams: int) -> DataFrame:
+def _by_join(documents: DataFrame, items: DataFrame, leaks_only: bool) -> DataFrame:
     """The same pairs when the n-grams are too many for every task: hits by join, verified per document and item."""
     spark = documents.sparkSession
 
@@ -267,22 +276,28 @@ def _by_join(documents: DataFrame, items: DataFrame, ngrams: int) -> DataFrame:
                 p = passages([(r["item_id"], r["passage"])])[0]
                 shared = set(r["stock"] or [])
                 p = p._replace(counted=[" ".join(p.words[a:b]) not in shared for a, b in p.sentences])
-                if verdict := judge(p, tokens(r["text"]), [(x["q"], x["at"]) for x in r["hits"]]):
+                hits = [(x["q"], x["at"]) for x in r["hits"]]
+                if leaks_only and not can_leak(p, hits):
+                    continue
+                if verdict := judge(p, tokens(r["text"]), hits):
                     out.append((r["doc_id"], *verdict))
             yield _rows(out)
 
     return rows.mapInArrow(verify, SCHEMA)
 
 
-def passage_hits(documents: DataFrame, items: DataFrame, broadcast_ngrams: int = BROADCAST_NGRAMS) -> DataFrame:
-    """(doc_id, item_id, share, unchanged, close, word_from, word_to) for every document that holds a counted sentence of an item."""
+def passage_hits(documents: DataFrame, items: DataFrame, broadcast_ngrams: int = BROADCAST_NGRAMS, leaks_only: bool = False) -> DataFrame:
+    """(doc_id, item_id, share, unchanged, close, word_from, word_to) for every document that holds a counted sentence of an item.
+
+    With leaks_only, pairs that cannot be leaks whatever is found are not verified; leaks() of the rows is the same.
+    """
     documents = documents.where("doc_id is not null and length(text) > 0")
     words = items.agg(F.coalesce(F.sum(F.size(F.split("passage", r"\s+"))), F.lit(0))).first()[0]
     if words > broadcast_ngrams:
-        return _by_join(documents, items, words)
+        return _by_join(documents, items, leaks_only)
     rows = [(r["item_id"], r["passage"]) for r in items.select("item_id", "passage").where("item_id is not null and passage is not null").collect()]
     known = passages(rows)
-    return documents.select("doc_id", "text").mapInArrow(_scan(known, ngram_index(known)), SCHEMA)
+    return documents.select("doc_id", "text").mapInArrow(_scan(known, ngram_index(known), leaks_only), SCHEMA)
 
 
 def leaks(hits: DataFrame) -> DataFrame:
@@ -333,13 +348,13 @@ def without_passages(documents: DataFrame, leaked: DataFrame, most: float = 0.5)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = passage_hits(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "eval_items", "item_id", "passage"))
+    hits = passage_hits(read(spark, sf_dir, "documents", "doc_id", "text"), read(spark, sf_dir, "eval_items", "item_id", "passage"), leaks_only=True)
     return leaks(hits).select("doc_id", "item_id").distinct()
 
 
 def p7_removed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that gave items away, less the passages: words before, words removed, what is left as a digest (null: left out whole)."""
     documents = read(spark, sf_dir, "documents", "doc_id", "text")
-    leaked = leaks(passage_hits(documents, read(spark, sf_dir, "eval_items", "item_id", "passage")))
+    leaked = leaks(passage_hits(documents, read(spark, sf_dir, "eval_items", "item_id", "passage"), leaks_only=True))
     clean = without_passages(documents, materialize(leaked, "leaks")).where(F.size("items") > 0)
     return clean.select("doc_id", F.size("items").alias("items"), "words", "words_removed", F.md5(F.col("text").cast("binary")).alias("digest"))

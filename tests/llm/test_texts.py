@@ -304,6 +304,7 @@ def test_leaks_by_broadcast_and_by_join(spark, leak):
     e = spark.createDataFrame([*items, (99, None), (None, "a b c"), (98, "")], "item_id bigint, passage string")
     for limit in (L.BROADCAST_NGRAMS, 10):
         assert {(r.doc_id, r.item_id) for r in L.leaks(L.passage_hits(d, e, limit)).collect()} == want
+        assert {(r.doc_id, r.item_id) for r in L.leaks(L.passage_hits(d, e, limit, leaks_only=True)).collect()} == want
     assert L.passage_hits(d.limit(0), e).count() == 0 and L.passage_hits(d, e.limit(0)).count() == 0
 
 
