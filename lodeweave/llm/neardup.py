@@ -146,7 +146,6 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
     of the candidates; without pivots no table is made.
     """
     light_texts, check = light or LIGHT, check or partial(verify, pivots=pivots)
-    p = pivot_columns(pivots)
     sets = texts.where("id is not null and text is not null and length(text) > 0").mapInArrow(
         shingle_batches(width), "id bigint, n int, hs array<bigint>"
     )
@@ -180,21 +179,21 @@ def text_links(texts: DataFrame, width: int = WIDTH, threshold: float = THRESHOL
     # prefix: the rarest n - ceil(tn) + 1, of which n - size(hs) are shingles nobody else has
     keep = (F.col("n") - least + 1 - (F.col("n") - F.size("hs"))).cast("int")
     prefix = table.select(
-        "id", "n", *p,
+        "id", "n",
         F.explode(F.arrays_zip(F.slice("cs", F.lit(1), keep).alias("c"), F.slice("hs", F.lit(1), keep).alias("h"))).alias("x"),
-    ).select("id", "n", *p, "x.c", "x.h")
+    ).select("id", "n", "x.c", "x.h")
     light, hot = prefix.where(F.col("c") <= light_texts), prefix.where(F.col("c") > light_texts)
-    bound = (F.col("x.n") + F.col("y.n")) * F.lit(pivot_bound(threshold))
+    # a pair meets in many shingles: it is told once, and then the table is asked about it
     sizes = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold)
     near = (
         light.alias("x").join(light.alias("y"), F.col("x.h") == F.col("y.h"))
-        .where((F.col("x.id") < F.col("y.id")) & sizes & pivots_allow("x", "y", bound, pivots))
+        .where((F.col("x.id") < F.col("y.id")) & sizes)
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
     )
     star = hot.groupBy("h").agg(F.min("id").alias("a")).join(hot.select("h", F.col("id").alias("b")), "h").where("a < b").select("a", "b")
     found = materialize(check(near.unionByName(star).distinct(), table, threshold), "links")
     if not hot.isEmpty():
-        found = found.unionByName(hot_links(hot, found, table, threshold, check, pivots))
+        found = found.unionByName(hot_links(hot, found, table, threshold, check))
     return copies.unionByName(found)
 
 
@@ -219,17 +218,16 @@ def verify(pairs: DataFrame, table: DataFrame, threshold: float, pivots: int = P
     )
 
 
-def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: float, check=verify, pivots: int = PIVOTS) -> DataFrame:
+def hot_links(hot: DataFrame, found: DataFrame, table: DataFrame, threshold: float, check=verify) -> DataFrame:
     """Second look at shingles of many texts: only members of different groups are still compared."""
     comps = connected_components(found)
     marked = hot.join(comps.select(F.col("node").alias("id"), "root"), "id", "left").withColumn("g", F.coalesce("root", "id"))
     mixed = marked.groupBy("h").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where("lo < hi").select("h")
-    left = marked.join(mixed, "h").select("id", "n", *pivot_columns(pivots), "h", "g")
-    bound = (F.col("x.n") + F.col("y.n")) * F.lit(pivot_bound(threshold))
+    left = marked.join(mixed, "h").select("id", "n", "h", "g")
     sizes = F.least("x.n", "y.n") >= F.greatest("x.n", "y.n") * F.lit(threshold)
     pairs = (
         left.alias("x").join(left.alias("y"), F.col("x.h") == F.col("y.h"))
-        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g")) & sizes & pivots_allow("x", "y", bound, pivots))
+        .where((F.col("x.id") < F.col("y.id")) & (F.col("x.g") != F.col("y.g")) & sizes)
         .select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
     )
     return check(pairs, table, threshold)
