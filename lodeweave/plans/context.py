@@ -130,7 +130,7 @@ def ev_fabrication(spark, sf_dir):
 def ev_promotion(spark, sf_dir):
     """Whether answers of one kind may take the place of another's: better in the mean, no worse in the guarded categories."""
     means = _responses(spark, sf_dir).groupBy("kind", "category").agg(F.round(E.mean_or_zero("score"), 6).alias("task_mean"))
-    return E.promotion(means.where("kind = 'wiki'"), means.where("kind = 'docs'"), "category", "task_mean", ["debugging", "api"], 0.05)
+    return E.promotion(means.where("kind = 'wiki'"), means.where("kind = 'docs'"), "category", "task_mean", ["debugging", "qa"], 0.05)
 
 
 def ag_status_counts(spark, sf_dir):
@@ -199,5 +199,5 @@ from lodeweave.plans.evaluation import _ITEMS  # noqa: E402
 
 SQL["ev_promotion"] = _ITEMS + """, m as (select kind, category, round(coalesce(avg(score::double), 0), 6) as v from resp group by 1, 2),
 b as (select coalesce(o.category, n.category) as category, o.v as old, n.v as new from (select * from m where kind = 'wiki') o full join (select * from m where kind = 'docs') n on o.category = n.category)
-select round(avg(new), 6) as candidate, round(avg(old), 6) as baseline, count(*) filter (category in ('debugging', 'api') and coalesce(new, 0) < coalesce(old, 0) - 0.05) as regressions,
-  coalesce(round(avg(new), 6) > round(avg(old), 6) and count(*) filter (category in ('debugging', 'api') and coalesce(new, 0) < coalesce(old, 0) - 0.05) = 0, false) as promoted from b"""
+select round(avg(new), 6) as candidate, round(avg(old), 6) as baseline, count(*) filter (category in ('debugging', 'qa') and coalesce(new, 0) < coalesce(old, 0) - 0.05) as regressions,
+  coalesce(round(avg(new), 6) > round(avg(old), 6) and count(*) filter (category in ('debugging', 'qa') and coalesce(new, 0) < coalesce(old, 0) - 0.05) = 0, false) as promoted from b"""
