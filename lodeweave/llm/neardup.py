@@ -107,7 +107,7 @@ def with_pivots(sets: DataFrame, order: str, bits: int = BITS, pivots: int = PIV
     """sets(..., hs) with its distance table; the references are spread out among DRAWN rows taken by hash."""
     if not pivots:
         return sets
-    rows = sets.orderBy(F.xxhash64(order, F.lit(7)), order).limit(DRAWN).select("hs").collect()
+    rows = sets.orderBy(F.xxhash64(order, F.lit(7)), order).limit(DRAWN).select(F.array_distinct(F.transform("hs", lambda h: F.pmod(h, F.lit(bits)))).alias("hs")).collect()  # DRAWN fingerprints
     fp = fingerprints(pa.array([r["hs"] for r in rows], pa.list_(pa.int64())), bits) if rows else np.zeros((1, bits), np.float32)
     schema = T.StructType([*sets.schema.fields, *[T.StructField(c, T.LongType()) for c in pivot_columns(pivots)]])
     return sets.mapInArrow(distance_table(spread_references(fp, pivots), pivots, bits), schema)
