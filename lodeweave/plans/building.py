@@ -70,6 +70,12 @@ def se_samples(spark, sf_dir):
     return plain.unionByName(hidden, allowMissingColumns=True).unionByName(diffs, allowMissingColumns=True)
 
 
+def ds_allowed(spark, sf_dir):
+    """Files of the allowed extensions, of which one is denied after all."""
+    files = D.keep_files(read(spark, sf_dir, "file_records", "file_id", "relpath", "size_bytes"), 1, 1 << 20, allow=[".PY", "go", " rs ", "json"], deny=["json"])
+    return files.select("file_id", D.extension(F.col("relpath")).alias("extension"))
+
+
 def ds_time_split(spark, sf_dir):
     """The older four fifths of the samples for training, the newer for evaluation."""
     return D.time_split(read(spark, sf_dir, "samples", "sample_id", "built_at"), "built_at", "sample_id").select("sample_id", F.col("split").alias("part"))
@@ -141,7 +147,7 @@ files as (select cl_number, i - 2 as file_index, rtrim(split_part(p[i], chr(10),
 hs as (select cl_number, file_index, string_split(regexp_replace(block, '(?m)^(@@ [^@]+ @@)', chr(1) || '\\1', 'g'), chr(1)) as h from files),
 hunks as (select cl_number, file_index, unnest(range(0, len(h))) as hunk_index, unnest(h) as hunk from hs)
 """
-QUERIES = {f.__name__: f for f in (tc_marker_files, tc_marker_hunks, tc_marker_chunks, tc_cut_short, fi_cut_diffs, tc_symbols, tc_headings, ds_chats, se_samples, ds_time_split, ds_capped, tk_recent_commits, tk_first_examples, up_replaced_parts, fi_grep_scoped, sc_code_facts, rt_definition_hop, tc_contrast)}
+QUERIES = {f.__name__: f for f in (tc_marker_files, tc_marker_hunks, tc_marker_chunks, tc_cut_short, fi_cut_diffs, tc_symbols, tc_headings, ds_chats, se_samples, ds_allowed, ds_time_split, ds_capped, tk_recent_commits, tk_first_examples, up_replaced_parts, fi_grep_scoped, sc_code_facts, rt_definition_hop, tc_contrast)}
 _SPLIT = "case when x < 0.8 then 'train' when x < 0.9 then 'val' else 'test' end"
 SQL = {
     "tc_marker_files": _MARKED + "select cl_number, file_index, file_path, md5(block) as digest from files",
@@ -173,6 +179,7 @@ i as (select sha, split_part(message, chr(10), 1) as s, len(string_split(diff_te
 select key, 'document' as format, """ + _SPLIT + """ as split, length(text) as characters, null::int as middle_lines, null::int as start_line, null::bigint as diff_lines from d
 union all select key, 'fim', """ + _SPLIT + """, null, m, 1 + ('0x' || substr(sha256('0:' || key || ':at'), 1, 7))::bigint % (n - 1 - m), null from g
 union all select sha, 'diff_instr', 'train', null, null, null, n from i where length(s) between 12 and 200 and n between 2 and 400""",
+    "ds_allowed": "select file_id, e as extension from (select file_id, size_bytes, lower(regexp_extract(relpath, '[^/.][^/]*\\.([^./]+)$', 1)) as e from file_records) where size_bytes between 1 and 1048576 and e in ('py', 'go', 'rs')",
     "ds_time_split": "select sample_id, case when built_at is null or r <= floor(n * 0.8) then 'train' else 'eval' end as part from (select sample_id, built_at, row_number() over (partition by built_at is null order by built_at, sample_id) as r, count(built_at) over () as n from samples)",
     "ds_capped": """with s as (select sample_id, meta.format as format, coalesce(meta.format = 'fim', false) as f from samples), a as (select floor(0.1 * count(*) filter (not f) / 0.9) as most from s)
 select sample_id, format from s where not f union all select sample_id, format from (select *, row_number() over (order by sha256(sample_id::varchar), sample_id) as r from s where f), a where r <= most""",

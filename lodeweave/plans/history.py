@@ -24,7 +24,7 @@ def up_issue_facts(spark, sf_dir):
 
 
 def up_links_replayed(spark, sf_dir):
-    """Links stored month by month, each overwritten only by strictly higher confidence."""
+    """Links stored in two halves, each overwritten only by strictly higher confidence."""
     links = read(spark, sf_dir, "issue_pr_links", "issue_number", "pr_number", "confidence", "extracted_at").where("extracted_at is not null")
     early, late = links.where("extracted_at < timestamp '2024-07-01'"), links.where("extracted_at >= timestamp '2024-07-01'")
     first = lambda df: H.upsert_links(df.limit(0), df)

@@ -401,3 +401,8 @@ def test_answer_quality_and_promotion(spark):
     assert E.promotion(frame(0.5, 0.5), frame(0.4, 0.9), "group", "v", ["h"]).first().promoted
     assert not E.promotion(frame(0.5, 0.5), frame(0.4, 0.9), "group", "v", ["g"]).first().promoted
     assert not E.promotion(frame(0.5, 0.5), frame(0.5, 0.5), "group", "v", []).first().promoted
+
+
+def test_summaries_put_missing_values_last(spark):
+    df = spark.createDataFrame([("a", 0.5), ("b", None), ("c", 0.9), ("d", 0.5)], "k string, v double")
+    assert [r.k for r in E.ranked_summary(df, "v", "k").collect()] == ["c", "a", "d", "b"]
