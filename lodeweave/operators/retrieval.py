@@ -40,6 +40,7 @@ def wanted_words(docs: DataFrame, id_col: str, text: Column, vocabulary: list[st
     )
 
 
+QUERY_ROWS = 1 << 20  # terms of queries that go to the tasks at a time
 SLAB = 1024  # documents whose weights a task multiplies at a time
 
 
@@ -80,11 +81,14 @@ def bm25(docs: DataFrame, id_col: str, text: Column, terms: DataFrame, k: int, m
     for each query and document. The words that a block asks for are written once and give the frequencies as well.
     """
     kind = "string" if dict(terms.dtypes)["query"] == "string" else "bigint"
-    size = terms.agg(F.countDistinct("query").alias("queries"), F.countDistinct("term").alias("terms")).first()
-    blocks = max(1, -(-size["queries"] * size["terms"] // carried))
+    few = terms.limit(QUERY_ROWS + 1).collect()
+    blocks = 1
+    if len(few) > QUERY_ROWS or len({r["query"] for r in few}) * len({r["term"] for r in few}) > carried:
+        size = terms.agg(F.countDistinct("query").alias("queries"), F.countDistinct("term").alias("terms"), F.count(F.lit(1)).alias("rows")).first()
+        blocks = max(1, -(-size["queries"] * size["terms"] // carried), -(-size["rows"] // QUERY_ROWS))
     scored = None
     for block in range(blocks):
-        rows = (terms if blocks == 1 else terms.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block)).collect()  # one block
+        rows = few if blocks == 1 else terms.where(F.pmod(F.xxhash64("query"), F.lit(blocks)) == block).collect()  # one block
         names = sorted({r["query"] for r in rows})
         vocabulary = {t: i for i, t in enumerate(sorted({r["term"] for r in rows}))}
         times, place = np.zeros((len(vocabulary), len(names))), {q: i for i, q in enumerate(names)}
@@ -93,15 +97,19 @@ def bm25(docs: DataFrame, id_col: str, text: Column, terms: DataFrame, k: int, m
         if not names:
             continue
         found = materialize(wanted_words(docs, id_col, text, list(vocabulary)), "words")
-        corpus = found.agg(F.sum("rows").alias("n"), F.sum("lens").alias("total")).first()
-        n, df = corpus["n"] or 0, np.zeros(len(vocabulary))
-        for r in found.select(F.explode(F.array_distinct("words")).alias("term")).groupBy("term").count().collect():  # the vocabulary
-            df[vocabulary[r["term"]]] = r["count"]
+        each = found.select("rows", "lens", F.explode(F.array_append(F.array_distinct("words"), F.lit(""))).alias("term"))
+        n = total = 0
+        df = np.zeros(len(vocabulary))
+        for r in each.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("rows").alias("rows"), F.sum("lens").alias("total")).collect():  # the vocabulary, and "" for all
+            if r["term"]:
+                df[vocabulary[r["term"]]] = r["df"]
+            else:
+                n, total = r["rows"], r["total"]
         with np.errstate(divide="ignore", invalid="ignore"):
             idf = np.log((n - df + 0.5) / (df + 0.5))
         idf = np.where(idf > 0, idf, FLOOR_IDF)
         part = found.select("doc", "words", "len").mapInArrow(
-            _score_batches(names, vocabulary, idf, times, max((corpus["total"] or 0) / max(1, n), 1e-9), k, mode), f"query {kind}, doc {dict(found.dtypes)['doc']}, score double, complete boolean"
+            _score_batches(names, vocabulary, idf, times, max(total / max(1, n), 1e-9), k, mode), f"query {kind}, doc {dict(found.dtypes)['doc']}, score double, complete boolean"
         )
         scored = part if scored is None else scored.unionByName(part)
     if scored is None:

@@ -187,6 +187,17 @@ def test_bm25_prefers_repeated_terms_and_floors_common_ones(spark):
     assert {r.doc for r in both.collect()} == {1, 2}
 
 
+@pytest.mark.parametrize("mode", ["or", "and", "and_or"])
+def test_bm25_in_blocks_of_queries_gives_the_same(spark, mode):
+    rnd = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(30)]
+    docs = spark.createDataFrame([(i, " ".join(rnd.choice(vocabulary) for _ in range(rnd.randrange(0, 40)))) for i in range(150)] + [(151, None), (None, "w1")], "id bigint, t string").repartition(5)
+    terms = R.query_terms(spark.createDataFrame([(i, " ".join(rnd.sample(vocabulary, 4))) for i in range(12)], "q bigint, t string"), "q", F.col("t"))
+    rows = lambda carried: sorted(map(tuple, R.bm25(docs, "id", F.col("t"), terms, 5, mode, carried).collect()))
+    assert rows(1 << 22) == rows(60) != []
+    assert R.bm25(docs.limit(0), "id", F.col("t"), terms, 5, mode).count() == 0 == R.bm25(docs, "id", F.col("t"), terms.limit(0), 5, mode).count()
+
+
 def test_nearest_in_blocks_equals_brute_force(spark):
     rnd = random.Random(1)
     vs = [(i, [rnd.random() for _ in range(8)]) for i in range(120)]
