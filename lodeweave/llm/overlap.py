@@ -33,7 +33,7 @@ from lodeweave.operators.components import connected_components
 from lodeweave.session import materialize, read
 
 from .neardup import LIGHT, text_links
-from .paths import SLIPS, by_directories, meeting, path_nodes, spelled_alike
+from .paths import SLIPS, by_directories, meeting, path_nodes, spelled_alike, under_directories
 from .shingles import WORD
 
 EDIT_SHARE = 9
@@ -140,17 +140,22 @@ def name_segments(letters: str) -> Column:
     letter is one edit of one segment, so two names with two slips have a segment whole in both, at its own number.
     """
     return F.expr(
-        f"transform(sequence(0, {SLIPS}), s -> concat(s, array_join(array_sort("
-        f"filter(split({letters}, ''), x -> x <> '' and pmod(ascii(x), {SLIPS + 1}) = s)), '')))"
+        f"transform(array(sort_array(split({letters}, ''))), cs -> transform(sequence(0, {SLIPS}), s -> concat(s, array_join("
+        f"filter(cs, x -> x <> '' and pmod(ascii(x), {SLIPS + 1}) = s), ''))))[0]"
     )
 
 
+def path_segments(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes by segment (k): under their directories, and under those or those less one. A name is cut once, and not under each directory."""
+    cut = nodes.withColumn("segments", name_segments("letters")).drop("letters")
+    keyed = lambda rows: rows.withColumn("k", F.explode(F.transform("segments", lambda s: F.xxhash64("at", s)))).drop("at", "segments")
+    return keyed(under_directories(cut)), keyed(by_directories(cut))
+
+
 def path_segment_links(files: DataFrame) -> DataFrame:
     """file_records -> links (a, b) of records whose relpaths name one file of one repo: segment join, banded verification."""
     nodes, inside = path_nodes(files, "relpath")
-    cut = by_directories(nodes).withColumn("segment", F.explode(name_segments("letters")))
-    cut = cut.withColumn("k", F.xxhash64("at", "segment")).drop("at", "segment", "letters")
-    pairs = meeting(cut.where("not less"), cut)
+    pairs = meeting(*path_segments(nodes))
     return inside.unionByName(spelled_alike(pairs, banded_slips))
 
 

@@ -286,3 +286,27 @@ def test_clashing_extra_columns(spark):
     files = spark.createDataFrame([(1, "r", "/x/r/a/b_c.py", "a/b_c.py", 5, "train", 1), (2, "r", "/y/r/a/b_c.py", "a/b_c.py", 5, "test", 1)], "file_id bigint, repo string, abspath string, relpath string, size_bytes bigint, split string, p int")
     assert {tuple(r) for r in N.near_duplicates(samples, files).collect()} == {("samples", 1, 2), ("file_records", 1, 2)}
     assert {tuple(r) for r in O.overlaps(samples, files).collect()} == {("samples", 1, 2), ("file_records", 1, 2)}
+
+
+def test_shared_shingles_are_put_in_order_by_one_number(spark):
+    sets = spark.createDataFrame([(1, 3, [5, 6, 7]), (2, 2, [6, 7]), (3, 2, [7, 8]), (4, 0, [])], "id bigint, n int, hs array<bigint>")
+    for crowd in ([], [(6, 2 * N.MOST), (8, 90)]):
+        much = {5: 1, 6: 2, 7: 3, 8: 1} | dict(crowd)
+        crowded = spark.createDataFrame(crowd, "h bigint, much bigint")
+        rows = N.shared_shingles(sets, crowded)
+        want = [(i, n, min(much[h], N.MOST) << N.HASH_BITS | h) for i, n, hs in sets.collect() for h in hs if much[h] > 1]
+        assert sorted(map(tuple, rows.collect())) == sorted(want)
+    plan = rows._jdf.queryExecution().sparkPlan().toString()
+    assert re.search(r"Window \[count\(1\)[^\n]*\], \[k#\d+L?\]", plan), plan
+
+
+def test_names_are_cut_once_a_node(spark):
+    files = spark.createDataFrame([(i, "r", f"a/b{i}/b{i}/c/na.me{i}.py", 10 + i) for i in range(3)], "file_id bigint, repo string, relpath string, size_bytes bigint")
+    nodes, _ = P2.path_nodes(files, "relpath")
+    same = lambda df: sorted(map(tuple, df.select(*sorted(df.columns)).collect()), key=repr)
+    assert same(P2.under_directories(nodes)) == same(P2.by_directories(nodes).where("not less"))
+    left, right = O.path_segments(nodes)
+    assert left.count() == 3 * (P2.SLIPS + 1) and right.count() == 3 * 4 * (P2.SLIPS + 1)
+    # below the explosion into directories, and not above it
+    plan = right._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.rindex("array_join") > plan.rindex("Generate")
