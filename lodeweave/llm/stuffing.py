@@ -3,8 +3,9 @@
 A page is cut into lines and sentences. Lines of marks (code, settings, log and table
 rows, headings) are set aside: a page that is mostly such lines is no case. What
 remains is running text; a link counts as one word, a tag as another. One Arrow pass
-reduces it to its frequency spectrum (how many words occur how often) and to its
-divergence (Kullback-Leibler) from the prose of its languages over three bins: the
+reads the pages and writes their words with counts; a second one reduces those to the
+frequency spectrum (how many words occur how often) and to the divergence
+(Kullback-Leibler) from the prose of its languages over three bins: the
 head words of the languages, links and tags, all others. SQL windows turn the spectrum
 into ranks and fit log frequency against log rank; slope, residual and divergence are
 set against the median page of prose of the same language and a comparable length.
@@ -25,13 +26,13 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from lodeweave.session import materialize, read
+from lodeweave.session import discard, materialize, read
 
 HEAD = 60
 MIN_WORDS = 20
@@ -94,6 +95,38 @@ def running(text: str) -> Running:
     return Running(words, marked / total if total else 0.0)
 
 
+# ---- words of all pages ----------------------------------------------------------------------
+
+COUNTS = "array<struct<w: string, c: int>>"
+SLICE = 1000  # pages whose words are in memory at once
+
+
+def _word_batches(batches):
+    for batch in (part.slice(at, SLICE) for part in batches for at in range(0, part.num_rows, SLICE)):
+        sizes, marks, ends, flat, times = [], [], [0], [], []
+        texts = batch.column("text").to_pylist()
+        for text in texts:
+            words, marked = running(text)
+            counts = Counter(words)
+            flat += counts.keys()
+            times += counts.values()
+            ends.append(len(flat))
+            sizes.append(len(words))
+            marks.append(marked)
+        pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), pa.array(times, pa.int32())], names=["w", "c"])
+        # the text itself is asked for again only where a page can be a case
+        texts = pa.array([t if n >= MIN_WORDS and m <= MARKED_SHARE else None for t, n, m in zip(texts, sizes, marks)], pa.string())
+        langs = pa.array(map(language, batch.column("lang").to_pylist()), pa.string())
+        columns = [batch.column("doc_id"), langs, texts, pa.array(sizes, pa.int32()), pa.array(marks, pa.float64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "lang", "text", "words", "marked", "counts"])
+
+
+def page_words(documents: DataFrame) -> DataFrame:
+    """documents(doc_id, text, lang) -> (doc_id, lang, text, words, marked, counts), written: the running text is cut into words once."""
+    pages = documents.where("length(text) > 0").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "lang")
+    return materialize(pages.mapInArrow(_word_batches, f"doc_id bigint, lang string, text string, words int, marked double, counts {COUNTS}"), "words")
+
+
 # ---- head words of each language -------------------------------------------------------------
 
 
@@ -103,28 +136,14 @@ class Prose(NamedTuple):
     links: dict[str, float]  # language -> share of links and tags
 
 
-def _word_batches(batches):
-    for batch in batches:
-        pages: dict[str, Counter] = defaultdict(Counter)
-        times: dict[str, Counter] = defaultdict(Counter)
-        for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if (code := language(lang)) and text:
-                counts = Counter(running(text).words)
-                short = {w: n for w, n in counts.items() if len(w) <= 12}
-                times[code].update(short)
-                pages[code].update(short.keys())
-                times[code][""] += sum(counts.values())
-                pages[code][""] += 1
-        rows = [(code, w, n, times[code][w]) for code, c in pages.items() for w, n in c.items()]
-        cols = list(zip(*rows)) or [()] * 4
-        types = (pa.string(), pa.string(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["lang", "word", "pages", "times"])
-
-
-def head_words(documents: DataFrame, head: int = HEAD) -> Prose:
+def head_words(pages: DataFrame, head: int = HEAD) -> Prose:
     """The `head` most widespread words of each language and how often prose has them; the size is bounded by its parameters."""
-    counts = documents.where("text is not null").select("text", "lang").mapInArrow(_word_batches, "lang string, word string, pages bigint, times bigint")
-    total = counts.groupBy("lang", "word").agg(F.sum("pages").alias("pages"), F.sum("times").alias("times"))
+    told = pages.where("lang <> ''")
+    words = told.select("lang", F.explode("counts").alias("x")).select("lang", F.col("x.w").alias("word"), F.col("x.c").alias("times")).where("length(word) <= 12")
+    pages_and_times = F.count(F.lit(1)).alias("pages"), F.sum("times").alias("times")
+    total = words.groupBy("lang", "word").agg(*pages_and_times).unionByName(
+        told.select("lang", F.lit("").alias("word"), F.col("words").alias("times")).groupBy("lang", "word").agg(*pages_and_times)
+    )
     special = F.col("word").isin("", LINK_WORD, TAG_WORD)
     order = Window.partitionBy("lang").orderBy(F.desc(special), F.desc("pages"), "word")
     rows = total.withColumn("r", F.row_number().over(order)).where((F.col("r") <= head) | special).collect()  # so many rows a language
@@ -213,20 +232,21 @@ def spam_share(text: str, prose_words) -> float:
 
 def _page_batches(prose: Prose):
     def run(batches):
-        for batch in batches:
+        for batch in (part.slice(at, SLICE) for part in batches for at in range(0, part.num_rows, SLICE)):
             out: list[list] = [[] for _ in range(9)]
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words, marked = running(text)
-                if len(words) < MIN_WORDS or marked > MARKED_SHARE:
-                    continue
-                counts = Counter(words)
-                code, mass, d, ratio = divergence(counts, len(words), prose)
+            lists = batch.column("counts")
+            flat, ends = lists.flatten(), lists.offsets.to_pylist()
+            words, times = flat.field("w").to_pylist(), flat.field("c").to_pylist()
+            for i, (doc, text, n, marked) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "words", "marked")))):
+                own = slice(ends[i] - ends[0], ends[i + 1] - ends[0])
+                counts = Counter(dict(zip(words[own], times[own])))
+                code, mass, d, ratio = divergence(counts, n, prose)
                 spectrum = sorted(Counter(counts.values()).items(), reverse=True)
                 top = max((c for w, c in counts.items() if w not in prose.owner), default=0)
                 # the count can matter only between the limits, or where some word repeats enough to bend the curve
-                tie = ratio < CERTAIN and (ratio >= DOUBTFUL or top * 25 >= len(words))
+                tie = ratio < CERTAIN and (ratio >= DOUBTFUL or top * 25 >= n)
                 share = spam_share(text, prose.owner) if tie else 0.0
-                for column, value in zip(out, (doc, code, len(words), marked, mass, d, ratio, share, [{"f": f, "c": c} for f, c in spectrum])):
+                for column, value in zip(out, (doc, code, n, marked, mass, d, ratio, share, [{"f": f, "c": c} for f, c in spectrum])):
                     column.append(value)
             types = (pa.int64(), pa.string(), pa.int32(), *[pa.float64()] * 5, pa.list_(pa.struct([("f", pa.int32()), ("c", pa.int32())])))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], names=["doc_id", "lang", "words", "marked", "mass", "divergence", "ratio", "share", "spectrum"])
@@ -276,12 +296,14 @@ def deviations(scored: DataFrame) -> DataFrame:
 
 def score_pages(documents: DataFrame) -> DataFrame:
     """documents(doc_id, text, lang) -> one row a page of words: divergence, ratio, slope, residual, their deviations, share."""
-    prose = head_words(documents)
+    words = page_words(documents)
     pages = (
-        documents.where("doc_id is not null and length(text) > 0").select("doc_id", "text")
-        .mapInArrow(_page_batches(prose), "doc_id bigint, lang string, words int, marked double, mass double, divergence double, ratio double, share double, spectrum array<struct<f: int, c: int>>")
+        words.where(f"doc_id is not null and words >= {MIN_WORDS} and marked <= {MARKED_SHARE}").select("doc_id", "text", "words", "marked", "counts")
+        .mapInArrow(_page_batches(head_words(words)), "doc_id bigint, lang string, words int, marked double, mass double, divergence double, ratio double, share double, spectrum array<struct<f: int, c: int>>")
     )
-    return deviations(materialize(curves(pages.dropDuplicates(["doc_id"])), "curves"))
+    scored = materialize(curves(pages.dropDuplicates(["doc_id"])), "curves")
+    discard(words)
+    return deviations(scored)
 
 
 def stuffed_pages(documents: DataFrame) -> DataFrame:

@@ -1,6 +1,8 @@
 import base64
 import random
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -431,6 +433,27 @@ def test_running_text(text, words, marked):
     assert got.words == words and got.marked == marked
 
 
+def test_a_page_is_cut_into_words_once(monkeypatch):
+    read, running = [], K.running
+    monkeypatch.setattr(K, "running", lambda text: read.append(text) or running(text))
+    monkeypatch.setattr(K, "SLICE", 3)
+    rnd = random.Random(4)
+    texts = [prose(rnd, n) for n in (3, 5, 8)] + ["buy now", "x = f(1)\n" * 9, "see https://a.example/b #one " + prose(rnd, 2), "caf\u00e9 " * 30]
+    docs = pa.RecordBatch.from_pydict({"doc_id": list(range(7)), "text": texts, "lang": ["EN-gb", None, "und", "de", "en", "fr", " it"]})
+    parts = list(K._word_batches([docs]))
+    rows = [r for part in parts for r in part.to_pylist()]
+    assert [p.num_rows for p in parts] == [3, 3, 1] and [r["lang"] for r in rows] == ["en", "", "", "de", "en", "fr", "it"]
+    for r, text in zip(rows, texts):
+        words, marked = running(text)
+        assert [(x["w"], x["c"]) for x in r["counts"]] == list(Counter(words).items()) and (r["words"], r["marked"]) == (len(words), marked)
+        assert r["text"] == (text if len(words) >= K.MIN_WORDS and marked <= K.MARKED_SHARE else None)
+    kept = pa.Table.from_batches(parts).combine_chunks().to_batches()[0].slice(0, 3)
+    scored = [r for b in K._page_batches(K.Prose({w: "en" for w in COMMON}, {"en": 0.5}, {"en": 0.0}))([kept.slice(1, 2)]) for r in b.to_pylist()]
+    for r, text in zip(scored, texts[1:3], strict=True):
+        assert {(x["f"], x["c"]) for x in r["spectrum"]} == set(Counter(Counter(running(text).words).values()).items()) and r["words"] == len(running(text).words)
+    assert read == texts
+
+
 def test_rank_frequency_slope_of_a_power_law(spark):
     spectrum = [(max(1, round(1000 / r)), 1) for r in range(1, 60)]
     merged = {}
